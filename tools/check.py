@@ -32,6 +32,8 @@ def session(cores: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
     spark = configure(builder).getOrCreate()
