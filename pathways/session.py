@@ -38,13 +38,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def reuse(df: DataFrame) -> DataFrame:
     """Compute a frame that is read more than once only once.
 
-    Writes a reliable checkpoint when the cluster names a checkpoint folder;
-    otherwise the frame stays lazy and is computed again by each reader.
+    Writes it as a table in the cluster's shared folder and reads that back:
+    columnar, so each reader fetches only its columns, and safe when executors
+    are lost. Where no folder is named the frame stays lazy and is recomputed.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not folder:
+    if not shared_dir(spark):
         return df
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

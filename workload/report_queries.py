@@ -344,11 +344,11 @@ query(
 )
 query(
     "district_history", "R11", "SELECT * FROM file_history WHERE district_no = 10",
-    lambda b: M.district_history(b.history, 10),
+    lambda b: M.district_history(b.file_history, 10),
 )
 query(
     "status_flips", "A23",
     """SELECT * FROM file_history WHERE student_key IN (
       SELECT student_key FROM file_history GROUP BY 1 HAVING count(DISTINCT ready_graduate) > 1)""",
-    lambda b: M.status_flips(b.history),
+    lambda b: M.status_flips(b.file_history),
 )

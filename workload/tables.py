@@ -9,10 +9,10 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pathways.operators.crosswalk import best_conversion, title_type
 from pathways.operators.exams import sdc_exams
-from pathways.plans.inputs import Inputs
 from pathways.rules import CERT_NAMES
 
 from .names import PATTERNS, SNAPSHOT_SCORES, VENDOR_CERTS
@@ -36,14 +36,30 @@ def _jan10(year: Column, days: Column) -> Column:
     return F.date_add(F.make_date(year, F.lit(1), F.lit(10)), _int(days))
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Bound:
-    """Domain views over one folder of supplied tables."""
+    """Domain views over one folder of supplied tables, made when first used.
+
+    The views carry the names of ``Inputs``, so plans take this object as is.
+    """
+
+    history = None
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A supplied table; the schema in the file footer is looked up once."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+    @property
+    def inputs(self) -> Bound:
+        return self
 
     @cached_property
     def cohort(self) -> DataFrame:
@@ -388,18 +404,9 @@ class Bound:
         )
 
     @cached_property
-    def history(self) -> DataFrame:
+    def file_history(self) -> DataFrame:
         """Earlier files of the student table with their times."""
         columns = ["student_key", "district_no", "n_cambridge", "n_adv_placement", "ready_graduate"]
         files = ((self.snapshot_orig, "2019-01-01"), (self.snapshot_prev, "2019-02-01"), (self.snapshot_cur, "2019-03-01"))
         parts = [df.select(*columns, F.lit(day).cast("date").alias("file_time")) for df, day in files]
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-    @cached_property
-    def inputs(self) -> Inputs:
-        return Inputs(
-            cohort=self.cohort, isp=self.isp, sca=self.sca, cs=self.cs, calendar=self.calendar,
-            catalog=self.catalog, crosswalk=self.crosswalk, exams=self.exams, sdc=self.sdc,
-            college_reported=self.college_reported, certs=self.certs, approved=self.approved,
-            conversion=self.conversion, act=self.act,
-        )
