@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.skew import join_unique
 from ..rules import GRADUATE_TYPES
 
 
@@ -92,7 +93,7 @@ def trace_student(df: DataFrame, key: int) -> DataFrame:
 
 def only_students(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of students found in another list."""
-    return df.join(ids.select("student_key"), "student_key", "left_semi")
+    return join_unique(df, ids.select("student_key"), ["student_key"], "left_semi")
 
 
 def select_cols(

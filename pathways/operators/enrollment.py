@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, join_na, not_in_keep_null, share_at_least, sum0
+from ..functions.nulls import n_distinct as count_values
+from ..functions.skew import join_unique
 from ..rules import HALF, NON_CREDIT_COURSES
 
 SECTION_KEYS = ["instructional_program_num", "local_class_number", "school_bu_id", "school_year"]
@@ -103,7 +105,8 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
 
 def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left") -> DataFrame:
     """Enrollments with the calendar of their school and school year."""
-    return enrollments.join(
+    return join_unique(
+        enrollments,
         index.withColumnRenamed("school_year", "isp_school_year"),
         ["school_bu_id", "isp_school_year"],
         how,
@@ -312,7 +315,7 @@ def with_group_counts(
     """
     counts = df.groupBy(*keys).agg(
         F.count("*").alias(n),
-        (F.count_distinct(distinct) + F.coalesce(F.max(F.col(distinct).isNull().cast("int")), F.lit(0))).alias(n_distinct),
+        count_values(distinct).alias(n_distinct),
     )
     return join_na(df, counts, list(keys))
 
@@ -324,12 +327,12 @@ def repeated_segments(segments: DataFrame, cohort: DataFrame, students: DataFram
     course, so the group repeats when it holds more than one row.
     """
     kept = ends_within_assignment(
-        active_enrollments(segments.join(students, "student_key", "left_semi"))
+        active_enrollments(join_unique(segments, students, ["student_key"], "left_semi"))
     )
     counted = with_group_counts(kept, ["student_key", "course_code"], "course_code")
     repeated = min_share(counted.where(F.col("n_distinct") != F.col("n")))
     place = [c for c in ("system", "school") if c in cohort.columns]
-    return repeated.join(cohort.select("student_key", *place), "student_key", "left")
+    return join_unique(repeated, cohort.select("student_key", *place), ["student_key"])
 
 
 def by_district(df: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, join_na, to_number
+from ..functions.skew import join_unique
 from ..functions.text import replace_first
 from ..rules import AP_PASSING, CLEP_PASSING
 
@@ -97,9 +98,17 @@ def exam_only_credit(
 
 
 def cohort_exams(students: DataFrame, exams: DataFrame, how: str = "inner") -> DataFrame:
-    """Counted students with their exam records."""
+    """Counted students, each once, with their exam records."""
     records = exams.withColumn("student_key", F.col("student_id").cast("bigint")).drop("student_id")
-    return students.select("student_key").join(records, "student_key", how)
+    mine = students.select("student_key")
+    matched = join_unique(records, mine, ["student_key"], "inner")
+    if how == "inner":
+        return matched
+    if how != "left":
+        raise ValueError(f"exams cannot be joined with: {how}")
+    # Students without a record are added, so that the many side stays on the left.
+    without = mine.join(records.select("student_key"), "student_key", "left_anti")
+    return matched.unionByName(without, allowMissingColumns=True)
 
 
 def sdc_exams(*files: tuple[DataFrame, dict[str, str]]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import join_na, n_distinct
+from ..functions.skew import join_unique
 from ..rules import NO_DATA_COMMENT, NO_DOCUMENT_COMMENT, SCORE_COLUMNS
 
 FLAGS = ("n_doc_no_data", "n_docs_to_review", "n_data_no_doc", "n_new_data")
@@ -42,10 +43,10 @@ def appeal_status(changes: DataFrame, documents: DataFrame, current: DataFrame)
     ``changes`` and ``current`` hold one row per student, documents any number.
     The full join is built from two joins whose hot side can be split.
     """
-    with_document = documents.join(changes, "student_key", "left")
+    with_document = join_unique(documents, changes, ["student_key"])
     without = changes.join(documents.select("student_key"), "student_key", "left_anti")
     both = with_document.unionByName(without, allowMissingColumns=True)
-    return both.join(current, "student_key", "left")
+    return join_unique(both, current, ["student_key"])
 
 
 def _present(columns: list[str]) -> Column:
@@ -111,4 +112,4 @@ def status_flips(history: DataFrame) -> DataFrame:
         .agg(n_distinct("ready_graduate").alias("n"))
         .where(F.col("n") > 1)
     )
-    return history.join(flipped, "student_key", "left_semi")
+    return join_unique(history, flipped, ["student_key"], "left_semi")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import join_na, n_distinct, not_in_keep_null, share_at_least
+from ..functions.skew import join_unique
 from ..functions.text import first_match
 from ..operators import certs as C
 from ..operators import cohort as H
@@ -46,7 +47,7 @@ def tagged_sections(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFr
                 for d in by_title
             ]
         )
-        sections = sections.join(titles, "course_code", "left")
+        sections = join_unique(sections, titles, ["course_code"])
     tags = [F.when(F.col(f"is_{d}"), F.lit(d)) for d in by_title]
     tags += [
         F.when(F.col("course_code").isin(*rules.course_lists[d]), F.lit(d)) for d in listed_domains
@@ -57,7 +58,7 @@ def tagged_sections(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFr
             .select("course_code", F.lit(True).alias("in_crosswalk"))
             .distinct()
         )
-        sections = sections.join(listed, "course_code", "left")
+        sections = join_unique(sections, listed, ["course_code"])
         local = (
             (F.col("local_dual_credit") == "Y")
             & F.col("course_code").isNotNull()
@@ -123,7 +124,7 @@ def attended_courses(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataF
     students = H.counted_students(t.cohort, rules.mode)
     kept = E.ends_within_assignment(
         E.active_enrollments(
-            filled_enrollments(t, rules, domains).join(students, "student_key", "left_semi")
+            H.only_students(filled_enrollments(t, rules, domains), students)
         )
     )
     credit = not_in_keep_null("course_code", NON_CREDIT_COURSES) | ~F.col("domain").isin(
