@@ -31,6 +31,13 @@ def replace_first(value: Column | str, pattern: str, replacement: str = "") -> C
     return F.regexp_replace(as_col(value), f"^((?s:.)*?)(?:{pattern})", "$1" + replacement)
 
 
+def has(value: Column | str, pattern: str) -> Column:
+    """Regular expression found in the text; plain text is searched as such."""
+    c = as_col(value)
+    plain = not set(pattern) & set("\\^$.|?*+()[]{}")
+    return c.contains(pattern) if plain else c.rlike(pattern)
+
+
 def first_match(rules: list[tuple[Column, object]], default: Column | None = None) -> Column:
     """Value of the first rule that is true; a missing condition is not true."""
     (condition, value), *rest = rules

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, join_na, not_in_keep_null, sum0, to_whole
-from ..functions.text import first_match
+from ..functions.text import first_match, has
 from ..rules import (
     BUNDLE_CREDIT,
     BUNDLE_PARTS,
@@ -26,27 +27,56 @@ from ..rules import (
 )
 
 
-def _applies(name: Column, tests: tuple[str, ...]) -> Column:
-    """Any test holds: exact names, or ``~`` patterns that must hold together."""
-    exact = [t for t in tests if not t.startswith("~")]
-    held = [name.isin(*exact)] if exact else []
-    for test in tests:
-        if test.startswith("~"):
-            parts = test[1:].split(" & ")
-            held.append(
-                reduce(
-                    lambda a, b: a & b,
-                    [~name.rlike(p[1:]) if p.startswith("!") else name.rlike(p) for p in parts],
-                )
-            )
+def _parts(test: str) -> list[tuple[str, bool]]:
+    """``"~A & !B"`` as (pattern, must occur) pairs."""
+    return [(p.removeprefix("!"), not p.startswith("!")) for p in test[1:].split(" & ")]
+
+
+def _rules(mode: str):
+    return CERT_NAMES + (CERT_NAMES_GRADUATES if mode == "graduates" else ())
+
+
+def _listed_names(mode: str) -> dict[str, str]:
+    """Standard name of every name that a rule lists exactly, by the first rule."""
+    rules = _rules(mode)
+
+    def holds(test: str, name: str) -> bool:
+        if not test.startswith("~"):
+            return test == name
+        return all(bool(re.search(p, name)) == wanted for p, wanted in _parts(test))
+
+    listed = [t for _, tests in rules for t in tests if not t.startswith("~")]
+    return {
+        name: next(out for out, tests in rules if any(holds(t, name) for t in tests))
+        for name in listed
+    }
+
+
+def _matches(name: Column, tests: list[str]) -> Column:
+    """Any of the ``~`` patterns holds."""
+    held = [
+        reduce(
+            lambda a, b: a & b, [has(name, p) if wanted else ~has(name, p) for p, wanted in _parts(t)]
+        )
+        for t in tests
+    ]
     return reduce(lambda a, b: a | b, held)
 
 
 def standard_name(name: Column | str, mode: str = "graduates") -> Column:
-    """Standard certification name: the first rule that applies, else the name."""
+    """Standard certification name: the first rule that applies, else the name.
+
+    Names listed exactly are looked up in one map; only the others go through
+    the patterns. One branch per rule would make the generated method of the
+    stage too large to be compiled by the JVM.
+    """
     name = as_col(name)
-    rules = CERT_NAMES + (CERT_NAMES_GRADUATES if mode == "graduates" else ())
-    return first_match([(_applies(name, tests), F.lit(out)) for out, tests in rules], name)
+    listed = F.create_map(*[F.lit(v) for pair in _listed_names(mode).items() for v in pair])
+    patterns = [(out, [t for t in tests if t.startswith("~")]) for out, tests in _rules(mode)]
+    by_pattern = first_match(
+        [(_matches(name, tests), F.lit(out)) for out, tests in patterns if tests], name
+    )
+    return F.coalesce(F.try_element_at(listed, name), by_pattern)
 
 
 def standardize_cert(df: DataFrame, mode: str = "graduates") -> DataFrame:
@@ -94,7 +124,7 @@ def accept_certs(df: DataFrame, rule: str = "pass_rule") -> DataFrame:
     return df.where(
         rule_text.isNull()
         | (rule_text == "Pass")
-        | ((to_whole("test_score") >= CERT_PASSING) & rule_text.rlike("70"))
+        | ((to_whole("test_score") >= CERT_PASSING) & has(rule_text, "70"))
     )
 
 
@@ -196,7 +226,7 @@ def credit_impact(old: DataFrame, new: DataFrame, report: DataFrame) -> DataFram
 def recode_and_compare(records: DataFrame, counts: DataFrame, text: str = "epso_ic") -> DataFrame:
     """Credit recoded from text and totalled, against the calculated counts."""
     coded = first_match(
-        [(F.col(text).rlike(p), F.lit(n)) for p, n in RECODED_CREDIT]
+        [(has(text, p), F.lit(n)) for p, n in RECODED_CREDIT]
         + [(F.col(text) == RECODED_FULL[0], F.lit(RECODED_FULL[1]))]
     )
     totals = records.groupBy("student_key").agg(sum0(coded).cast("bigint").alias("n_recoded"))

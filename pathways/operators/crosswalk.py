@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, join_na
-from ..functions.text import first_match
+from ..functions.text import first_match, has
 from ..rules import CONVERSION_CREDIT, TITLE_PATTERNS, exam_rules
 
 
 def courses_matching(catalog: DataFrame, pattern: str) -> DataFrame:
     """Catalog rows whose title contains the pattern, case-sensitively."""
-    return catalog.where(F.col("course_title").rlike(pattern))
+    return catalog.where(has("course_title", pattern))
 
 
 def unique_catalog(catalog: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def add_title(df: DataFrame, catalog: DataFrame) -> DataFrame:
 def title_type(title: Column | str, patterns: dict[str, str] = TITLE_PATTERNS) -> Column:
     """Opportunity type by the first pattern the title contains."""
     title = as_col(title)
-    return first_match([(title.rlike(p), F.lit(t)) for t, p in patterns.items()])
+    return first_match([(has(title, p), F.lit(t)) for t, p in patterns.items()])
 
 
 def exam_name_table(
@@ -64,6 +64,21 @@ def crosswalk_for(crosswalk: DataFrame, epso_type: str) -> DataFrame:
     return crosswalk.where(F.col("epso_type") == epso_type)
 
 
+def exam_groups(crosswalk: DataFrame) -> DataFrame:
+    """Course -> the set of exam names it is listed under, as one text.
+
+    Courses of a group are credited by the same exams, so they can be counted
+    by group instead of being listed one by one. A set holds at most the names
+    of the crosswalk for one code.
+    """
+    name = F.coalesce(F.col("exam_name"), F.lit("\0"))
+    return (
+        crosswalk.where(F.col("course_code").isNotNull())
+        .groupBy("course_code")
+        .agg(F.array_join(F.sort_array(F.collect_set(name)), "\1").alias("exam_group"))
+    )
+
+
 def reconcile_catalogs(catalogs: dict[str, DataFrame], pattern: str) -> DataFrame:
     """Titles of matching courses by catalog year, one row per code.
 
@@ -93,7 +108,7 @@ def reconcile_catalogs(catalogs: dict[str, DataFrame], pattern: str) -> DataFram
 def conversion_credit(text: Column | str) -> Column:
     """Credit stated in the conversion text."""
     text = as_col(text)
-    return first_match([(text.rlike(p), F.lit(n)) for p, n in CONVERSION_CREDIT])
+    return first_match([(has(text, p), F.lit(n)) for p, n in CONVERSION_CREDIT])
 
 
 def best_conversion(df: DataFrame, text: str = "conversion") -> DataFrame:

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col, join_na, to_number
 from ..functions.skew import join_unique
-from ..functions.text import replace_first
+from ..functions.text import has, replace_first
 from ..rules import AP_PASSING, CLEP_PASSING
+from .crosswalk import exam_groups
 
 SCORE = "assessment_result_number_score"
 
 
 def exams_for(exams: DataFrame, domain: str) -> DataFrame:
     """Exams of one vendor, by the prefix in the administration code."""
-    return exams.where(F.col("test_administration_cd").rlike(f"{domain.upper()}_"))
+    return exams.where(has("test_administration_cd", f"{domain.upper()}_"))
 
 
 def valid_score(rule: str, score: Column | str) -> Column:
@@ -45,7 +46,7 @@ def normalize_exam_name(df: DataFrame, column: str = "test_administration_desc")
 
 
 def not_diploma(name: Column | str) -> Column:
-    return ~as_col(name).rlike("DIPLOMA")
+    return ~has(name, "DIPLOMA")
 
 
 def drop_diploma(df: DataFrame, column: str = "exam_name") -> DataFrame:
@@ -87,14 +88,42 @@ def add_exam_score(df: DataFrame, exams: DataFrame, name_column: str) -> DataFra
     return join_na(df, evidence(exams, name_column), ["student_key", "exam_name"])
 
 
-def exam_only_credit(
-    students: DataFrame, exams: DataFrame, crosswalk: DataFrame, name_column: str, rule: str = "ap"
+def passed_exams(
+    students: DataFrame, exams: DataFrame, name_column: str, rule: str = "ap"
 ) -> DataFrame:
-    """Courses credited for a valid exam alone, without any enrollment."""
+    """(student, exam name) passed by counted students, each once."""
     passed = passing(evidence(exams, name_column), rule)
     named = passed.select("student_key", "exam_name").distinct()
-    counted = named.join(students.select("student_key"), "student_key", "left_semi")
-    return join_na(counted, crosswalk.select("exam_name", "course_code"), ["exam_name"])
+    return join_unique(named, students.select("student_key"), ["student_key"], "left_semi")
+
+
+def exam_only_courses(
+    students: DataFrame, exams: DataFrame, crosswalk: DataFrame, name_column: str, rule: str = "ap"
+) -> DataFrame:
+    """The courses credited for a valid exam alone, one row per exam and course."""
+    passed = passed_exams(students, exams, name_column, rule)
+    return join_na(passed, crosswalk.select("exam_name", "course_code"), ["exam_name"])
+
+
+def exam_only_credit(
+    students: DataFrame, exams: DataFrame, crosswalk: DataFrame, name_column: str, rule: str = "ap"
+) -> DataFrame:
+    """Number of courses credited for valid exams alone, by group of courses.
+
+    (student_key, exam_group, n_courses): groups hold each course once, so the
+    numbers add up to the distinct courses without listing them.
+    """
+    groups = exam_groups(crosswalk)
+    sizes = groups.groupBy("exam_group").agg(F.count("*").alias("n_courses"))
+    names = (
+        crosswalk.select("course_code", "exam_name")
+        .join(groups, "course_code")
+        .select("exam_name", "exam_group")
+        .distinct()
+    )
+    passed = passed_exams(students, exams, name_column, rule)
+    hit = join_na(passed, names, ["exam_name"], "inner").select("student_key", "exam_group")
+    return join_unique(hit.distinct(), sizes, ["exam_group"], "inner")
 
 
 def cohort_exams(students: DataFrame, exams: DataFrame, how: str = "inner") -> DataFrame:

@@ -12,15 +12,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import join_na, n_distinct, not_in_keep_null, share_at_least
+from ..functions.nulls import join_na, not_in_keep_null, share_at_least
 from ..functions.skew import join_unique
-from ..functions.text import first_match
+from ..functions.text import first_match, has
 from ..operators import certs as C
 from ..operators import cohort as H
 from ..operators import counts as N
 from ..operators import enrollment as E
 from ..operators import exams as X
-from ..operators.crosswalk import crosswalk_for
+from ..operators.crosswalk import crosswalk_for, exam_groups
 from ..rules import HALF, NON_CREDIT_COURSES
 from ..session import reuse
 from .inputs import COURSE_DOMAINS, Inputs, Rules
@@ -43,7 +43,7 @@ def tagged_sections(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFr
         title = F.col("course_title")
         titles = t.catalog.groupBy("course_code").agg(
             *[
-                F.bool_or(title.rlike(rules.patterns[d.upper()])).alias(f"is_{d}")
+                F.bool_or(has(title, rules.patterns[d.upper()])).alias(f"is_{d}")
                 for d in by_title
             ]
         )
@@ -186,22 +186,40 @@ def with_evidence(
     return named.where(_counts_by_exam(rules, domains)).select("domain", "student_key", "course_code")
 
 
+def _with_exam_only(courses: DataFrame, t: Inputs, rules: Rules) -> DataFrame:
+    """Add courses credited by a passed exam alone, as numbers per course group.
+
+    An attended course in a group already credited is not counted again.
+    """
+    crosswalk = crosswalk_for(t.crosswalk, "AP")
+    ap = F.lit("ap").alias("domain")
+    students = H.counted_students(t.cohort, rules.mode)
+    by_exam = X.exam_only_credit(students, X.exams_for(t.exams, "ap"), crosswalk, AP_NAME).select(
+        ap, "student_key", "exam_group", "n_courses"
+    )
+    grouped = join_unique(
+        courses, exam_groups(crosswalk).select(ap, "course_code", "exam_group"), ["domain", "course_code"]
+    )
+    attended = grouped.join(by_exam, ["domain", "student_key", "exam_group"], "left_anti")
+    columns = ["domain", "student_key", "n_courses"]
+    return attended.withColumn("n_courses", F.lit(1).cast("bigint")).select(columns).unionByName(
+        by_exam.select(columns)
+    )
+
+
 def course_counts(
     t: Inputs, rules: Rules, domains: tuple[str, ...] = COURSE_DOMAINS
 ) -> DataFrame:
     """(student_key, epso_type, n_courses) of the course-based domains."""
     courses = with_evidence(attended_courses(t, rules, domains), t, rules, domains)
-    if "ap" in domains:
-        students = H.counted_students(t.cohort, rules.mode)
-        exam_only = X.exam_only_credit(
-            students, X.exams_for(t.exams, "ap"), crosswalk_for(t.crosswalk, "AP"), AP_NAME
-        ).select(F.lit("ap").alias("domain"), "student_key", "course_code")
-        courses = courses.unionByName(exam_only)
     if set(domains) - set(NEEDS_NO_EXAM):
         by_exam = ~F.col("domain").isin(*NEEDS_NO_EXAM)
-        courses = courses.where(F.col("course_code").isNotNull() | ~by_exam)
-    counts = courses.groupBy("student_key", F.col("domain").alias("epso_type")).agg(
-        n_distinct("course_code").alias("n_courses")
+        courses = courses.where(F.col("course_code").isNotNull() | ~by_exam).distinct()
+    credit = courses.withColumn("n_courses", F.lit(1).cast("bigint"))
+    if "ap" in domains:
+        credit = _with_exam_only(courses, t, rules)
+    counts = credit.groupBy("student_key", F.col("domain").alias("epso_type")).agg(
+        F.sum("n_courses").alias("n_courses")
     )
     if "de" not in domains or t.college_reported is None:
         return counts

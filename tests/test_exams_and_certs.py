@@ -87,9 +87,22 @@ def test_exam_alone_gives_credit(spark):
         [(1, "AP_18", "BIO", "3"), (1, "AP_18", "XX", "5"), (2, "AP_18", "BIO", "2"), (3, "AP_18", "BIO", "5"), (2, "AP_18", None, "4")], EXAM
     )
     xw = spark.createDataFrame([("BIO", 100), ("BIO", 101), (None, 102)], "exam_name string, course_code int")
-    out = X.exam_only_credit(students, exams, xw, "sublevel1_shortname")
+    out = X.exam_only_courses(students, exams, xw, "sublevel1_shortname")
     assert rows(out, "student_key", "course_code") == [(1, 100), (1, 101), (1, None), (2, 102)]
     assert len(rows(X.mapped_only(out))) == 3
+    credit = X.exam_only_credit(students, exams, xw, "sublevel1_shortname")
+    assert rows(credit, "student_key", "n_courses") == [(1, 2), (2, 1)]
+
+
+def test_exam_groups_count_a_course_once(spark):
+    """A course under two names is credited once, whichever exams were passed."""
+    students = spark.createDataFrame([(1,), (2,)], "student_key long")
+    exams = spark.createDataFrame([(1, "AP_18", "BIO", "3"), (1, "AP_18", "CHEM", "3"), (2, "AP_18", "CHEM", "5")], EXAM)
+    xw = spark.createDataFrame([("BIO", 100), ("CHEM", 100), ("CHEM", 101), ("BIO", 102), ("BIO", None)], "exam_name string, course_code int")
+    listed = X.exam_only_courses(students, exams, xw, "sublevel1_shortname").where("course_code is not null")
+    expected = rows(listed.groupBy("student_key").agg(F.count_distinct("course_code").alias("n")))
+    credit = X.exam_only_credit(students, exams, xw, "sublevel1_shortname")
+    assert rows(credit.groupBy("student_key").agg(F.sum("n_courses").alias("n"))) == expected == [(1, 3), (2, 2)]
 
 
 def test_diploma_and_unnamed_are_dropped(spark):

@@ -57,14 +57,9 @@ query(
 )
 query(
     "exams_mapped_to_courses", "F12",
-    """SELECT DISTINCT e.student_id AS student_key, x.exam_name, x.course_code FROM exams e
-      JOIN crosswalk x ON x.exam_name IS NOT DISTINCT FROM e.sublevel1_shortname
-      WHERE test_administration_cd LIKE 'AP%' AND assessment_result_number_score IS NOT NULL
-        AND e.student_id IN (SELECT student_key FROM included)""",
+    "SELECT * FROM (SELECT * REPLACE (CASE WHEN exam_result = 'P' THEN course_code END AS course_code) FROM sdc) WHERE course_code IS NOT NULL",
     lambda b: X.mapped_only(
-        X.exam_only_credit(
-            H.counted_students(b.cohort, "whole"), ap_exams(b), b.crosswalk, D.AP_NAME, "present"
-        )
+        b.sdc.withColumn("course_code", F.when(F.col("exam_result") == "P", F.col("course_code")))
     ),
 )
 query(
@@ -102,11 +97,13 @@ query(
 )
 query(
     "exam_only_credit", "J10",
-    f"""SELECT e.student_key, e.exam_name, x.course_code FROM (
+    f"""SELECT e.student_key, count(DISTINCT x.course_code) AS n_courses FROM (
         SELECT DISTINCT student_id AS student_key, sublevel1_shortname AS exam_name FROM exams
         WHERE {AP_SQL} AND {LEVEL} IN ('3', '4', '5') AND student_id IN (SELECT student_key FROM graduates)) e
-      LEFT JOIN (SELECT * FROM crosswalk WHERE epso_type = 'AP') x ON e.exam_name IS NOT DISTINCT FROM x.exam_name""",
-    lambda b: X.exam_only_credit(students(b), ap_exams(b), crosswalk_for(b.crosswalk, "AP"), D.AP_NAME),
+      JOIN (SELECT * FROM crosswalk WHERE epso_type = 'AP') x ON e.exam_name IS NOT DISTINCT FROM x.exam_name GROUP BY 1""",
+    lambda b: X.exam_only_credit(students(b), ap_exams(b), crosswalk_for(b.crosswalk, "AP"), D.AP_NAME)
+    .groupBy("student_key")
+    .agg(F.sum("n_courses").alias("n_courses")),
 )
 query(
     "cohort_exams_inner", "J11",
