@@ -11,7 +11,7 @@ PART = "_part"
 def join_unique(
     df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = 1
 ) -> DataFrame:
-    """Join a side that holds each key once, such as an aggregate on the keys.
+    """Join a side that holds each key once or a few times, such as an aggregate.
 
     Adaptive execution splits a hot partition of ``df``, but only where both
     sides come straight from a shuffle made for the join. An aggregate is

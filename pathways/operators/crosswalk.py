@@ -48,14 +48,17 @@ def epso_crosswalk(
     patterns: dict[str, str] = TITLE_PATTERNS,
 ) -> DataFrame:
     """Catalog courses of an opportunity type with their exam name, if any."""
-    names = exam_name_table(catalog.sparkSession) if exam_names is None else exam_names
+    # The built-in table holds one row per listed code, a few hundred in all;
+    # a table given by the caller is broadcast only if Spark finds it small.
+    names = exam_names
+    if names is None:
+        names = F.broadcast(exam_name_table(catalog.sparkSession))
     typed = catalog.select(
         title_type("course_title", patterns).alias("epso_type"),
         F.col("course_code").cast("int").alias("course_code"),
         "course_title",
     ).where(F.col("epso_type").isNotNull())
-    # The name table holds one row per listed code, a few hundred at most.
-    return typed.join(F.broadcast(names), "course_code", "left").select(
+    return typed.join(names, "course_code", "left").select(
         "epso_type", "course_code", "course_title", "exam_name"
     )
 

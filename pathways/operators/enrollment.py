@@ -28,17 +28,19 @@ def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame) -> DataFra
 
     Filter the sides before calling: sections by course, periods by student.
     Assignments meet the sections first since that join is the more selective.
+    Both joins keep the many side on the left, where a hot section or a hot
+    service period can be split.
     """
     periods = isp.withColumnRenamed("school_year", "isp_school_year")
     assigned = (
-        sca.join(cs, SECTION_KEYS, "inner")
+        join_unique(sca, cs, SECTION_KEYS, "inner")
         .withColumn("cs_school_year", F.col("school_year"))
         .withColumnsRenamed(
             {"school_year": "sca_school_year", "local_class_number": "sca_local_class_number"}
         )
         .drop("school_bu_id", "instructional_program_num")
     )
-    return periods.join(assigned, "isp_id", "inner")
+    return join_unique(assigned, periods, ["isp_id"], "inner")
 
 
 def with_institution(cs: DataFrame, colleges: DataFrame) -> DataFrame:

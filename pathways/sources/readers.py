@@ -95,13 +95,21 @@ def read_history(
     )
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files under a path with their times; the contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(
+        F.col("path").alias("file_path"), F.col("modificationTime").alias("file_time")
+    )
+
+
 def snapshot_date(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, SNAPSHOT_DATE, 1), "yyyy-MM-dd")
 
 
-def latest_snapshot(history: DataFrame, before: dt.date | str | None = None) -> DataFrame:
+def latest_snapshot(files: DataFrame, before: dt.date | str | None = None) -> DataFrame:
     """Newest snapshot date named in the file paths, before this run's date."""
-    dates = history.select(snapshot_date(F.col("file_path")).alias("snapshot_date"))
+    dates = files.select(snapshot_date(F.col("file_path")).alias("snapshot_date"))
     if before is not None:
         dates = dates.where(F.col("snapshot_date") < F.lit(str(before)).cast("date"))
     return dates.agg(F.max("snapshot_date").alias("snapshot_date"))

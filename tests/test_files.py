@@ -40,6 +40,9 @@ def test_history_and_latest_snapshot(spark, tmp_path):
     assert {"file_path", "file_time"} <= set(history.columns)
     assert rows(history, "student_key", "ready_graduate") == [(1, "2019-01-04"), (1, "2019-01-11")]
     assert str(readers.latest_snapshot(history).first()[0]) == "2019-01-11"
+    files = readers.list_files(spark, str(tmp_path))
+    assert str(readers.latest_snapshot(files).first()[0]) == "2019-01-11"
+    assert "content" not in files.columns
     assert str(readers.latest_snapshot(history, "2019-01-11").first()[0]) == "2019-01-04"
 
 
