@@ -11,6 +11,7 @@ from pathways.operators import crosswalk as K
 from pathways.operators import enrollment as E
 from pathways.operators import sorting as S
 from pathways.rules import AP_PULL_COURSES, DE_PULL_COURSES, code_list
+from pathways.session import reuse
 
 from .names import PATTERNS
 from .registry import query
@@ -36,7 +37,7 @@ def counted(b: Bound, open_ends: bool = True) -> DataFrame:
 
 
 def segments(b: Bound) -> DataFrame:
-    return E.segment_days(E.fill_end_dates(counted(b), "global"))
+    return E.segment_days(E.fill_end_dates(reuse(counted(b)), "global"))
 
 
 def usable(b: Bound) -> DataFrame:
