@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +25,20 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """Folder every executor can reach, as named by the cluster."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one the cluster names, else the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New folder for one run; machine-local only where no shared one is named."""
-    base = shared_dir(spark) or tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """New folder for one run, in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run, in whichever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def reuse(df: DataFrame) -> DataFrame:
@@ -42,10 +46,10 @@ def reuse(df: DataFrame) -> DataFrame:
 
     Writes it as a table in the cluster's shared folder and reads that back:
     columnar, so each reader fetches only its columns, and safe when executors
-    are lost. Where no folder is named the frame stays lazy and is recomputed.
+    are lost. Where the cluster names no folder the frame stays lazy.
     """
     spark = df.sparkSession
-    if not shared_dir(spark):
+    if not spark.conf.get("spark.checkpoint.dir", None):
         return df
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
