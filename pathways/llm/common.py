@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,27 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers import this package, as Spark sends Python files to executors."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Only the driver reads this file; it serves the executors from there.
+    at = os.path.join(tempfile.mkdtemp(prefix="pathways-"), "pathways.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    module = os.path.join(folder, name)
+                    z.write(module, os.path.relpath(module, os.path.dirname(root)))
+    context.addPyFile(at)
+    _SHIPPED.add(context.applicationId)
+
+
 def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so that no other name can clash; null text is empty."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)

@@ -9,10 +9,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality
+from . import exact_dedup, mixing, packing, quality, token_counts, token_file
 from .common import documents
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file.token_file(documents(spark, folder), tokenizer("byte_bpe_50k.json"), end_id=0)
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
@@ -23,12 +34,20 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder), tokenizer("word_bpe_49k.json"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), tokenizer("word_bpe_49k.json"), end_id=2)
+
+
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op4_quality_rules, op7_source_mix)
+    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix)
 }
 
 SQL: dict[str, str] = {}
