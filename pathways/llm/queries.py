@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, token_counts, token_file
+from . import exact_dedup, mixing, ngram_join, packing, quality, token_counts, token_file
 from .common import documents
 
 
@@ -46,8 +46,12 @@ def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix)
+    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op9_jaccard_join)
 }
 
 SQL: dict[str, str] = {}
