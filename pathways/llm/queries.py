@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality, token_counts, token_file
+from . import exact_dedup, mixing, ngram_join, packing, quality, token_counts, token_file, toxicity
 from .common import documents
 
 
@@ -50,8 +50,13 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, folder))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.toxicity(documents(spark, folder), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op9_jaccard_join)
+    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op9_jaccard_join, op10_toxicity)
 }
 
 SQL: dict[str, str] = {}
