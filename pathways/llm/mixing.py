@@ -25,7 +25,7 @@ BLOCK_WORDS = 1024
 # Golden ratio as a fraction of 2^31, odd so that a period visits every point once.
 PERIOD, STEP = 1 << 31, 1327217885
 SLOT_RANGE = 1 << 16
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 2_000
 
 
 @dataclass(frozen=True)

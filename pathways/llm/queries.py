@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality, token_counts, token_file, toxicity
+from . import exact_dedup, mixing, ngram_join, packing, quality, repeated_spans, token_counts, token_file, toxicity
 from .common import documents
 
 
@@ -46,6 +46,10 @@ def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
 
+def op8_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.repeated_spans(documents(spark, folder))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, folder))
 
@@ -56,7 +60,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op9_jaccard_join, op10_toxicity)
+    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity)
 }
 
 SQL: dict[str, str] = {}
