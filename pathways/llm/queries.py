@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, quality, repeated_spans, token_counts, token_file, toxicity
+from . import exact_dedup, mixing, ngram_join, packing, pseudonyms, quality, repeated_spans, token_counts, token_file, toxicity
 from .common import documents
 
 
@@ -20,6 +20,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# Stands for the secret that a caller brings.
+PSEUDONYM_KEY = "registered query"
+
+
+def op1_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonyms.pseudonyms(documents(spark, folder), PSEUDONYM_KEY)
+
+
 def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.token_file(documents(spark, folder), tokenizer("byte_bpe_50k.json"), end_id=0)
 
@@ -60,7 +68,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity)
+    f.__name__: f for f in (op1_pii_pseudonyms, op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity)
 }
 
 SQL: dict[str, str] = {}
