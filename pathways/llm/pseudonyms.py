@@ -22,8 +22,11 @@ FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 DAY_MODULI = (17, 4297)
 # Area numbers 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
 SSN_MODULI = (898 * 99, 9999)
-# Area and exchange 200 to 999, line 0000 to 9999.
-PHONE_MODULI = (80_000, 80_000)
+# Telephone numbers of ten digits, by what they keep: assigned ones (area and exchange from
+# 200), those of a lower area, those of a lower exchange. First area, areas, first exchange, exchanges.
+PHONE_CLASSES = ((200, 800, 200, 800), (0, 200, 0, 1000), (200, 800, 0, 200))
+# Leading digits of the card networks.
+NETWORKS = "^(?:4|5[1-5]|3[47]|6|2[2-7])"
 BLOCK = 24
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -202,29 +205,36 @@ def ssn(key: str, m: Column) -> Column:
 
 
 def phone(key: str, m: Column) -> Column:
+    """Numbers are permuted within their class, so that assigned ones stay assigned; a country prefix stays."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     own = F.right(digits, F.lit(10))
     prefix = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    n = (F.substring(own, 1, 3).cast("long") - 200) * 8_000_000 + (F.substring(own, 4, 3).cast("long") - 200) * 10_000 + F.substring(own, 7, 4).cast("long")
-    a, b = (F.lit(x).cast("long") for x in PHONE_MODULI)
-    pair = feistel(key, "phone", F.floor(n / b), F.pmod(n, b), a, b)
+    area, exchange, line = (F.substring(own, at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
 
-    def told(p: Column) -> Column:
-        v = p["l"] * b + p["r"]
-        parts = ((F.floor(v / 8_000_000) + 200, 3), (F.pmod(F.floor(v / 10_000), F.lit(800)) + 200, 3), (F.pmod(v, F.lit(10_000)), 4))
-        return F.concat(prefix, *[F.lpad(x.cast("string"), k, "0") for x, k in parts])
+    def within(first_area: int, areas: int, first_exchange: int, exchanges: int) -> Column:
+        n = ((area - first_area) * exchanges + exchange - first_exchange) * 10_000 + line
+        a, b = F.lit(areas * 100).cast("long"), F.lit(exchanges * 100).cast("long")
+
+        def told(p: Column) -> Column:
+            v = p["l"] * b + p["r"]
+            head = F.floor(v / 10_000)
+            parts = ((F.floor(head / exchanges) + first_area, 3), (F.pmod(head, F.lit(exchanges)) + first_exchange, 3), (F.pmod(v, F.lit(10_000)), 4))
+            return F.concat(prefix, *[F.lpad(x.cast("string"), k, "0") for x, k in parts])
+
+        return let(feistel(key, "phone", F.floor(n / b), F.pmod(n, b), a, b), told)
 
-    valid = (F.substring(own, 1, 1) >= "2") & (F.substring(own, 4, 1) >= "2")
-    return F.when(valid, refill(m, "[0-9]", let(pair, told))).otherwise(m)
+    assigned, low_area, low_exchange = (within(*c) for c in PHONE_CLASSES)
+    new = F.when(area < 200, low_area).when(exchange < 200, low_exchange).otherwise(assigned)
+    return refill(m, "[0-9]", new)
 
 
 def card(key: str, m: Column) -> Column:
-    """The first digit, which tells the network, stays; the check digit is new."""
+    """The first two digits, which tell the network, stay; the check digit is new."""
     digits = F.regexp_replace(m, "[^0-9]", "")
-    inner = F.substring(digits, F.lit(2), F.length(digits) - 2)
-    body = F.concat(F.substring(digits, 1, 1), permuted_block(key, "card", inner, 10))
+    inner = F.substring(digits, F.lit(3), F.length(digits) - 3)
+    body = F.concat(F.substring(digits, 1, 2), permuted_block(key, "card", inner, 10))
     new = let(body, lambda b: F.concat(b, F.pmod(F.lit(0) - luhn(b, True), F.lit(10)).cast("string")))
-    return F.when((luhn(digits, False) % 10 == 0) & ~digits.rlike("^0+$"), refill(m, "[0-9]", new)).otherwise(m)
+    return F.when((luhn(digits, False) % 10 == 0) & digits.rlike(NETWORKS), refill(m, "[0-9]", new)).otherwise(m)
 
 
 def pseudonym(key: str, m: Column) -> Column:
