@@ -14,13 +14,20 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 500_000
-MOST_PIECES = 250_000
+MOST_CHUNKS = 600_000
+MOST_PIECES = 600_000
 
 # White space on which Python and the library's expressions may differ.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
-# Anything but single spaces and line ends between other characters.
-_UNEVEN = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z|᠎")
+# A word of letters that no normal form joins with others, and the marks after it.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+
+
+def odd(text: str) -> bool:
+    """Some white space in the text is not certain to be white space to the library."""
+    if text.isascii():
+        return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return _ODD.search(text) is not None
 
 
 class Remembered(dict):
@@ -52,13 +59,32 @@ class Encoder:
         self.special = [t["content"] for t in told["added_tokens"]]
         self._special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        alphabet = {b: c for b, c in zip(range(256), self._byte_characters())}
+        self._bytes = {b: ord(c) for b, c in alphabet.items()}
         self.by_piece = Remembered(self._piece_ids, MOST_PIECES)
-        self.by_chunk = Remembered(self._chunk_ids, MOST_CHUNKS)
-        self.after_space = Remembered(lambda c: self._chunk_ids(" " + c), MOST_CHUNKS)
+        self.by_chunk = Remembered(lambda c: self._chunk_ids(c) if self._certain(c) else None, MOST_CHUNKS)
+        self.after_space = Remembered(lambda c: self._chunk_ids(" " + c) if self._certain(c) else None, MOST_CHUNKS)
         self.line_end = self._chunk_ids("\n") if self.keeps_space else b""
 
+    def _byte_characters(self) -> list[str]:
+        """The characters that stand for bytes 0 to 255 in byte-level vocabularies, by their rule."""
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = [b for b in range(256) if b not in shown]
+        return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
     def pieces(self, chunk: str) -> list[str]:
         """Pre-tokens of a stretch of text without special tokens, as the model gets them."""
+        space = self.keeps_space and chunk[:1] == " "
+        plain = _PLAIN.fullmatch(chunk, 1 if space else 0) if self.drops_space or self.keeps_space else None
+        if plain:
+            word, marks = plain.groups()
+            if self.drops_space:
+                word = word.lower()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self._bytes)
+            if space:
+                word = chr(self._bytes[32]) + word
+            return [word, marks] if marks else [word]
         tk = self.tokenizer
         if tk.normalizer is not None:
             chunk = tk.normalizer.normalize_str(chunk)
@@ -67,6 +93,11 @@ class Encoder:
     def count(self, piece: str) -> int:
         return len(self.tokenizer.model.tokenize(piece))
 
+    @staticmethod
+    def _certain(chunk: str) -> bool:
+        """No white space within or at the ends, so that the chunk is split like any other."""
+        return chunk.split() == [chunk] and "\u180e" not in chunk
+
     def _piece_ids(self, piece: str) -> bytes:
         return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.dtype).tobytes()
 
@@ -84,7 +115,7 @@ class Encoder:
             found, between = 0, [text]
         if not self.drops_space:
             return found, between
-        return found, [c for t in between for c in ([t] if _ODD.search(t) else t.split())]
+        return found, [c for t in between for c in ([t] if odd(t) else t.split())]
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian integers of ``dtype``."""
@@ -92,15 +123,18 @@ class Encoder:
             return b""
         if "<" in text and self._special.search(text):
             return self.whole(text)
-        if self.drops_space and not _ODD.search(text):
+        if self.drops_space and not odd(text):
             return b"".join(map(self.by_chunk.__getitem__, text.split()))
-        if self.keeps_space and not _UNEVEN.search(text):
+        if self.keeps_space:
             spaced = self.after_space.__getitem__
             lines = []
-            for line in text.split("\n"):
-                first, *rest = line.split(" ")
-                lines.append(b"".join([self.by_chunk[first], *map(spaced, rest)]))
-            return self.line_end.join(lines)
+            try:
+                for line in text.split("\n"):
+                    first, *rest = line.split(" ")
+                    lines.append(b"".join([self.by_chunk[first], *map(spaced, rest)]))
+                return self.line_end.join(lines)
+            except TypeError:  # a chunk that is not certain has no bytes
+                pass
         return self.whole(text)
 
 
