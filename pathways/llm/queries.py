@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, mixing, ngram_join, packing, pseudonyms, quality, repeated_spans, token_counts, token_file, toxicity
 from .common import documents
+from .sql import SQL  # noqa: F401
 
 
 def tokenizer(name: str) -> str:
@@ -33,7 +34,7 @@ def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(documents(spark, folder))
+    return exact_dedup.exact_duplicates(documents(spark, folder)).drop("bucket", "chain")
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,8 +68,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), labels)
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository; it imports this module
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_pseudonyms, op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing, op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity)
+    f.__name__: f for f in (
+        op1_pii_pseudonyms, op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing,
+        op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity, pipeline,
+    )
 }
-
-SQL: dict[str, str] = {}
