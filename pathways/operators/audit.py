@@ -17,7 +17,7 @@ from ..rules import (
 
 
 def _not_ready() -> Column:
-    return F.col("ready_graduate") == "N"
+    return F.col("readiness") == "N"
 
 
 def audit_act(df: DataFrame) -> DataFrame:
@@ -57,8 +57,8 @@ def apply_corrections(df: DataFrame, null_as_zero: bool = False) -> DataFrame:
         .when(asvab, F.lit("asvab")),
     )
     return df.withColumn("correction", rule).withColumn(
-        "ready_graduate",
-        F.when(F.col("correction").isNotNull(), F.lit("Y")).otherwise(F.col("ready_graduate")),
+        "readiness",
+        F.when(F.col("correction").isNotNull(), F.lit("Y")).otherwise(F.col("readiness")),
     )
 
 
@@ -68,7 +68,7 @@ def pathway_breakdown(report: DataFrame) -> DataFrame:
     epso = total_of(taken, null_as_zero=False)
     scores = (F.col("act_composite") >= ACT_READY) | (F.col("sat_total") >= SAT_READY)
     return (
-        report.where(F.col("ready_graduate") == "Y")
+        report.where(F.col("readiness") == "Y")
         .groupBy(
             scores.alias("pathway_act_sat"),
             (epso >= EPSO_READY).alias("pathway_epso"),

@@ -27,40 +27,28 @@ from ..rules import (
 )
 
 
-def _parts(test: str) -> list[tuple[str, bool]]:
-    """``"~A & !B"`` as (pattern, must occur) pairs."""
-    return [(p.removeprefix("!"), not p.startswith("!")) for p in test[1:].split(" & ")]
-
-
 def _rules(mode: str):
     return CERT_NAMES + (CERT_NAMES_GRADUATES if mode == "graduates" else ())
 
 
 def _listed_names(mode: str) -> dict[str, str]:
     """Standard name of every name that a rule lists exactly, by the first rule."""
-    rules = _rules(mode)
 
-    def holds(test: str, name: str) -> bool:
-        if not test.startswith("~"):
-            return test == name
-        return all(bool(re.search(p, name)) == wanted for p, wanted in _parts(test))
+    def holds(name: str, kind: str, texts: tuple[str, ...], without: str | None) -> bool:
+        if kind == "is":
+            return name in texts
+        return all(re.search(p, name) for p in texts) and not (without and re.search(without, name))
 
-    listed = [t for _, tests in rules for t in tests if not t.startswith("~")]
+    listed = [texts[0] for _, kind, texts, _ in _rules(mode) if kind == "is"]
     return {
-        name: next(out for out, tests in rules if any(holds(t, name) for t in tests))
-        for name in listed
+        name: next(out for out, *rule in _rules(mode) if holds(name, *rule)) for name in listed
     }
 
 
-def _matches(name: Column, tests: list[str]) -> Column:
-    """Any of the ``~`` patterns holds."""
-    held = [
-        reduce(
-            lambda a, b: a & b, [has(name, p) if wanted else ~has(name, p) for p, wanted in _parts(t)]
-        )
-        for t in tests
-    ]
-    return reduce(lambda a, b: a | b, held)
+def _matches(name: Column, patterns: tuple[str, ...], without: str | None) -> Column:
+    """All patterns occur and the excluded one does not."""
+    held = reduce(lambda a, b: a & b, [has(name, p) for p in patterns])
+    return held & ~has(name, without) if without else held
 
 
 def standard_name(name: Column | str, mode: str = "graduates") -> Column:
@@ -72,9 +60,13 @@ def standard_name(name: Column | str, mode: str = "graduates") -> Column:
     """
     name = as_col(name)
     listed = F.create_map(*[F.lit(v) for pair in _listed_names(mode).items() for v in pair])
-    patterns = [(out, [t for t in tests if t.startswith("~")]) for out, tests in _rules(mode)]
     by_pattern = first_match(
-        [(_matches(name, tests), F.lit(out)) for out, tests in patterns if tests], name
+        [
+            (_matches(name, patterns, without), F.lit(out))
+            for out, kind, patterns, without in _rules(mode)
+            if kind == "has"
+        ],
+        name,
     )
     return F.coalesce(F.try_element_at(listed, name), by_pattern)
 

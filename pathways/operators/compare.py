@@ -115,11 +115,11 @@ def change_matrix(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def lost_status(old: DataFrame, new: DataFrame) -> DataFrame:
     """Students ready before and not any more."""
     both = compare(
-        old.select("student_key", "ready_graduate"),
-        new.select("student_key", "ready_graduate"),
+        old.select("student_key", "readiness"),
+        new.select("student_key", "readiness"),
         ["student_key"],
     )
-    return both.where((F.col("ready_graduate_x") == "Y") & (F.col("ready_graduate_y") == "N"))
+    return both.where((F.col("readiness_x") == "Y") & (F.col("readiness_y") == "N"))
 
 
 def first_mismatches(df: DataFrame, records: DataFrame, k: int = 5) -> DataFrame:

@@ -61,13 +61,14 @@ def instructional_calendar(
 
 
 def calendar_index(calendar: DataFrame) -> DataFrame:
-    """One row per (school, year) with the running number of days by date.
-
-    ``running[i]`` is the number of calendar rows dated up to ``first_day + i``,
-    repeated rows counting each time. The days in any range are then the
-    difference of two array elements, so no enrollment is ever multiplied by
-    the days of its school year. Repeats collapse to a count per date first:
-    what is gathered per (school, year) is bounded by the dates in a year.
+    """One row per (school, year) with the running number of days by month and day.
+
+    ``months`` lists the months that have calendar rows and ``running`` holds 31
+    values for each: the number of calendar rows dated up to that day of the
+    month, repeated rows counting each time. The days in any range are then the
+    difference of two values, so no enrollment is ever multiplied by the days of
+    its school year. Months without rows are not filled in: a misdated row adds
+    one month, wherever it lies. Repeats collapse to a count per date first.
     """
     key = ["school_bu_id", "school_year"]
     by_date = W.partitionBy(*key).orderBy("id_date")
@@ -75,36 +76,47 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
         calendar.where(F.col("id_date").isNotNull())
         .groupBy(*key, "id_date")
         .agg(F.count("*").alias("n"))
-        .select(
-            *key,
-            "id_date",
-            F.sum("n").over(by_date).alias("so_far"),
-            F.lead("id_date").over(by_date).alias("next_date"),
-        )
+        .select(*key, "id_date", month_number("id_date").alias("month"), "n", F.sum("n").over(by_date).alias("so_far"))
     )
-    until_next = F.coalesce(F.datediff("next_date", "id_date"), F.lit(1))
+    day = F.struct(F.dayofmonth("id_date").alias("day"), "so_far")
+    months = dates.groupBy(*key, "month").agg(
+        F.min("id_date").alias("first_day"),
+        F.max("id_date").alias("last_day"),
+        F.max("so_far").alias("n_days"),
+        F.min(F.col("so_far") - F.col("n")).alias("before"),
+        F.collect_list(day).alias("days"),
+    )
+    # The days of a month: at most 31 rows, each value holding until the next.
+    values = F.transform(
+        F.sequence(F.lit(1), F.lit(31)),
+        lambda d: F.coalesce(
+            F.array_max(F.transform(F.filter("days", lambda x: x["day"] <= d), lambda x: x["so_far"])), F.col("before")
+        ),
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("month", values.alias("values"))))
     return (
-        dates.groupBy(*key)
+        months.groupBy(*key)
         .agg(
-            F.min("id_date").alias("first_day"),
-            F.max("id_date").alias("last_day"),
-            F.max("so_far").alias("n_days"),
-            F.sort_array(
-                F.collect_list(
-                    F.struct("id_date", F.array_repeat("so_far", until_next).alias("values"))
-                )
-            ).alias("steps"),
+            F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"),
+            F.max("n_days").alias("n_days"),
+            in_order.alias("by_month"),
         )
         .select(
             *key,
             "first_day",
             "last_day",
             "n_days",
-            F.flatten(F.transform("steps", lambda s: s["values"])).alias("running"),
+            F.col("by_month.month").alias("months"),
+            F.flatten("by_month.values").alias("running"),
         )
     )
 
 
+def month_number(day: Column | str) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
+
 def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left") -> DataFrame:
     """Enrollments with the calendar of their school and school year."""
     return join_unique(
@@ -117,7 +129,11 @@ def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left")
 
 def enrollment_days(students: DataFrame, courses: DataFrame, index: DataFrame) -> DataFrame:
     """Cohort students, their courses if any, and the calendar of each course."""
-    return attach_calendar(students.join(courses, "student_key", "left"), index)
+    # The courses, the many side, stay on the left; students without one are added.
+    taken = join_unique(courses, students, ["student_key"], "inner")
+    without = students.join(courses.select("student_key").distinct(), "student_key", "left_anti")
+    columns = [*students.columns, *[c for c in courses.columns if c != "student_key"]]
+    return attach_calendar(taken.unionByName(without, allowMissingColumns=True).select(*columns), index)
 
 
 def days_between(begin: Column | str, end: Column | str) -> Column:
@@ -125,8 +141,11 @@ def days_between(begin: Column | str, end: Column | str) -> Column:
     begin, end = as_col(begin), as_col(end)
 
     def up_to(day: Column) -> Column:
-        at = F.least(F.datediff(day, F.col("first_day")), F.size("running") - 1)
-        return F.when(at < 0, F.lit(0)).otherwise(F.get("running", at))
+        month = month_number(day)
+        at = F.size(F.filter("months", lambda m: m <= month))
+        own = F.get("months", at - 1) == month
+        place = (at - 1) * 31 + F.when(own, F.dayofmonth(day) - 1).otherwise(30)
+        return F.when(at == 0, F.lit(0)).otherwise(F.get("running", place))
 
     inside = up_to(end) - up_to(F.date_sub(begin, 1))
     return F.coalesce(F.when(begin <= end, inside), F.lit(0)).cast("bigint")
@@ -149,7 +168,7 @@ def count_days(enrollments: DataFrame, open_ends: bool = True) -> DataFrame:
             COURSE_DAYS: days_between("cs_begin_date", section_end),
             ENROLLED_DAYS: days_between("sca_begin_date", own_end),
         }
-    ).drop("running", "first_day", "n_days")
+    ).drop("running", "months", "first_day", "n_days")
 
 
 def fill_end_dates(

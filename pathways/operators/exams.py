@@ -136,7 +136,7 @@ def cohort_exams(students: DataFrame, exams: DataFrame, how: str = "inner") -> D
     if how != "left":
         raise ValueError(f"exams cannot be joined with: {how}")
     # Students without a record are added, so that the many side stays on the left.
-    without = mine.join(records.select("student_key"), "student_key", "left_anti")
+    without = mine.join(records.select("student_key").distinct(), "student_key", "left_anti")
     return matched.unionByName(without, allowMissingColumns=True)
 
 
@@ -157,9 +157,11 @@ def sdc_exams(*files: tuple[DataFrame, dict[str, str]]) -> DataFrame:
 
 def match_records(records: DataFrame, exams: DataFrame) -> DataFrame:
     """A district's own record list with the exam file's rows of those students."""
-    ids = records.select(F.col("student_key").alias("student_id")).distinct()
-    mine = exams.join(ids, "student_id", "left_semi").withColumnRenamed("student_id", "student_key")
-    return records.join(mine, "student_key", "left")
+    mine = exams.withColumnRenamed("student_id", "student_key")
+    matched = join_unique(mine, records, ["student_key"], "inner")
+    without = records.join(mine.select("student_key").distinct(), "student_key", "left_anti")
+    columns = [*records.columns, *[c for c in mine.columns if c != "student_key"]]
+    return matched.unionByName(without, allowMissingColumns=True).select(*columns)
 
 
 def courses_vs_exams(enrollments: DataFrame, exams: DataFrame, name_column: str) -> DataFrame:

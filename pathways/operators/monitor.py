@@ -44,7 +44,8 @@ def appeal_status(changes: DataFrame, documents: DataFrame, current: DataFrame)
     The full join is built from two joins whose hot side can be split.
     """
     with_document = join_unique(documents, changes, ["student_key"])
-    without = changes.join(documents.select("student_key"), "student_key", "left_anti")
+    # The keys are reduced to one each before the shuffle: a hot student is one row here.
+    without = changes.join(documents.select("student_key").distinct(), "student_key", "left_anti")
     both = with_document.unionByName(without, allowMissingColumns=True)
     return join_unique(both, current, ["student_key"])
 
@@ -109,7 +110,7 @@ def status_flips(history: DataFrame) -> DataFrame:
     """All rows of students whose status differs between files."""
     flipped = (
         history.groupBy("student_key")
-        .agg(n_distinct("ready_graduate").alias("n"))
+        .agg(n_distinct("readiness").alias("n"))
         .where(F.col("n") > 1)
     )
     return join_unique(history, flipped, ["student_key"], "left_semi")

@@ -34,7 +34,7 @@ def ready_status() -> Column:
 
 def classify_ready(df: DataFrame) -> DataFrame:
     """Ready by test score or by four opportunities; otherwise, or unknown, not."""
-    return df.withColumn("ready_graduate", ready_status())
+    return df.withColumn("readiness", ready_status())
 
 
 # (report column, source column, type); no source means a typed placeholder.
@@ -70,7 +70,7 @@ REPORT_COLUMNS = (
     ("n_ldc", "ldc", "bigint"),
     ("n_de", "de", "bigint"),
     ("clep", "clep", "bigint"),
-    ("ready_graduate", "ready_graduate", "string"),
+    ("readiness", "readiness", "string"),
 )
 
 
@@ -92,7 +92,7 @@ def report_names(student_table: DataFrame) -> DataFrame:
     )
 
 
-MERGED = ("n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "ready_graduate")
+MERGED = ("n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "readiness")
 
 
 def merge_final(student_table: DataFrame, recalculated: DataFrame) -> DataFrame:

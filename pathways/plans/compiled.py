@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cohort as H
 from ..operators import counts as N
 from ..operators import report as R
 from ..rules import EPSO_TYPES
+from ..sources.readers import newest_version
 from .domains import all_counts
 from .inputs import Inputs, Rules, whole_cohort
 
@@ -29,6 +30,11 @@ def compile_report(t: Inputs, rules: Rules = Rules()) -> DataFrame:
     return R.student_report(classified(all_counts(t, rules), t, rules))
 
 
+def compile_stored(spark: SparkSession, folder: str, t: Inputs, rules: Rules = Rules()) -> DataFrame:
+    """Graduates' file from the counts that the newest run stored, without counting again."""
+    return R.student_report(classified(newest_version(spark, folder), t, rules))
+
+
 def compile_cohort(t: Inputs, rules: Rules | None = None) -> DataFrame:
     """Whole-cohort file: counts and scores for everyone, no classification."""
     rules = rules or whole_cohort()

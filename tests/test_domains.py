@@ -163,11 +163,11 @@ def test_row_order_and_partitions_do_not_matter(spark, small):
 
 def test_compiled_files(school):
     report = P.compile_report(school)
-    assert rows(report, "student_key", "n_ap", "n_de", "industry_cert", "act_composite", "ready_graduate") == [
+    assert rows(report, "student_key", "n_ap", "n_de", "industry_cert", "act_composite", "readiness") == [
         (1, 3, 2, 6, None, "Y"), (2, 0, 1, 4, 10, "Y"), (3, 0, 0, 0, 30, "Y"), (4, 0, 0, 0, None, "N"), (5, 0, 0, 0, None, "N"),
     ]
     cohort = P.compile_cohort(school)
-    assert "ready_graduate" not in cohort.columns
+    assert "readiness" not in cohort.columns
     assert rows(cohort, "student_key", "ap", "de", "ic", "sat_total") == [
         (1, 3, 3, 7, None), (2, None, 1, 0, None), (3, None, None, None, 900), (4, 1, None, 4, None), (5, None, None, None, None),
     ]

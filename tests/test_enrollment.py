@@ -51,8 +51,15 @@ def counted(spark, *changes, open_ends=True):
 def test_index_counts_repeated_days(spark):
     index = E.calendar_index(calendar(spark)).where("school_bu_id = 1").first()
     assert (index.first_day, index.last_day, index.n_days) == (d(1, 2), d(2, 3), 6)
-    assert len(index.running) == (d(2, 3) - d(1, 2)).days + 1
-    assert index.running[:6] == [1, 3, 3, 3, 4, 5]
+    assert index.months == [2014 * 12 + 1, 2014 * 12 + 2] and len(index.running) == 2 * 31
+    assert index.running[:7] == [0, 1, 3, 3, 3, 4, 5]
+
+
+def test_a_misdated_day_adds_one_month(spark):
+    far = calendar(spark).unionByName(spark.createDataFrame([(1, 2014, d(12, 31, 9999))], CALENDAR))
+    plain, more = (E.calendar_index(c).where("school_bu_id = 1").first() for c in (calendar(spark), far))
+    assert len(more.months) == len(plain.months) + 1 and len(more.running) == len(plain.running) + 31
+    assert more.n_days == plain.n_days + 1
 
 
 def test_days_match_the_exploded_join(spark):

@@ -33,12 +33,12 @@ def test_tab_extract(spark, tmp_path):
 
 
 def test_history_and_latest_snapshot(spark, tmp_path):
-    schema = schemas.fields("student_key long, ready_graduate string")
+    schema = schemas.fields("student_key long, readiness string")
     for day in ("2019-01-04", "2019-01-11"):
         writers.write_csv(spark.createDataFrame([(1, day)], schema), f"{tmp_path}/snapshot_{day}.csv")
     history = readers.read_history(spark, str(tmp_path), schema)
     assert {"file_path", "file_time"} <= set(history.columns)
-    assert rows(history, "student_key", "ready_graduate") == [(1, "2019-01-04"), (1, "2019-01-11")]
+    assert rows(history, "student_key", "readiness") == [(1, "2019-01-04"), (1, "2019-01-11")]
     assert str(readers.latest_snapshot(history).first()[0]) == "2019-01-11"
     files = readers.list_files(spark, str(tmp_path))
     assert str(readers.latest_snapshot(files).first()[0]) == "2019-01-11"
@@ -71,8 +71,43 @@ def test_staged_tables_go_to_the_named_folder(spark):
     folder = shared_dir(spark)
     staged = reuse(spark.range(5).withColumn("v", F.lit(None).cast("string")))
     assert staged.count() == 5 and staged.columns == ["id", "v"]
-    if folder:
-        assert scratch_path(spark, "x").startswith(folder)
-        assert folder in staged.inputFiles()[0]
-    else:
-        assert not staged.inputFiles()
+    assert scratch_path(spark, "x").startswith(folder)
+    assert folder in staged.inputFiles()[0]
+
+
+def layouts(spark, tmp_path):
+    one = spark.createDataFrame([(1, 7, 5)], "student_key long, n_ib int, n_ap int")
+    writers.write_csv(one, f"{tmp_path}/snapshot_2019-01-04.csv")
+    writers.write_csv(one.select("n_ap", F.lit("x").alias("note"), "student_key", "n_ib"), f"{tmp_path}/snapshot_2019-01-11.csv")
+    writers.write_csv(one.drop("n_ib"), f"{tmp_path}/snapshot_2019-01-18.csv")
+    return schemas.fields("student_key long, n_ap int, n_ib int")
+
+
+def test_columns_are_matched_by_name_in_every_file(spark, tmp_path):
+    schema = layouts(spark, tmp_path)
+    history = readers.read_history(spark, str(tmp_path), schema)
+    assert history.columns == ["student_key", "n_ap", "n_ib", "file_path", "file_time"]
+    assert rows(history, "student_key", "n_ap", "n_ib") == [(1, 5, 7), (1, 5, 7), (1, 5, None)]
+    with pytest.raises(ValueError, match="n_ib"):
+        readers.read_history(spark, str(tmp_path), schema, required=("student_key", "n_ib"))
+    mixed = readers.read_by_name(spark, str(tmp_path), schema)
+    assert rows(mixed, "n_ap", "n_ib", "note") == [(5, 7, "x"), (5, 7, None), (5, None, None)]
+    with pytest.raises(ValueError, match="one layout"):
+        readers.read_cohort(spark, str(tmp_path), "dddd")
+
+
+def test_dates_of_extracts(spark):
+    df = spark.createDataFrame([("06-AUG-14", "2014-08-06", "2014-08-06 01:02:03"), ("6/8/14", "x", "2014-13-01 00:00:00"), (None, None, None)], "a string, b string, c string")
+    found = readers.with_dates(df, a="dmy", b="ymd", c="ymd_hms").collect()
+    assert str(found[0].a) == str(found[0].b) == "2014-08-06" and str(found[0].c) == "2014-08-06 01:02:03"
+    assert all(v is None for r in found[1:] for v in r)
+
+
+def test_newest_version_and_snapshot(spark, tmp_path):
+    for run, n in (("2019a", 1), ("2019b", 2)):
+        writers.write_versioned(spark.range(n), f"{tmp_path}/v", run)
+        writers.write_snapshot(spark.range(n), f"{tmp_path}/s", f"2019-01-0{n}")
+    assert readers.newest_version(spark, f"{tmp_path}/v").count() == 2
+    assert readers.snapshot_of(spark, f"{tmp_path}/s").count() == 2
+    assert readers.snapshot_of(spark, f"{tmp_path}/s", "2019-01-02").count() == 1
+    assert readers.snapshot_of(spark, f"{tmp_path}/s", "2019-01-01") is None

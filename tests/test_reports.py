@@ -66,29 +66,29 @@ def test_readiness(spark):
          student(6, "N", act=36), student(7, kind=3, act=36), student(8, None, act=36), student(9)],
         SCORED,
     )
-    ready = R.classify_ready(df).where("ready_graduate = 'Y'")
+    ready = R.classify_ready(df).where("readiness = 'Y'")
     assert rows(ready, "student_key") == [(1,), (3,), (4,)]
 
 
 def test_report_columns_and_placeholders(spark):
     report = R.student_report(R.classify_ready(spark.createDataFrame([student(1, act=21)], SCORED)))
     assert report.columns[:3] == ["student_key", "first_name", "middle_name"] and len(report.columns) == 32
-    assert rows(report, "student_key", "act_composite", "asvab", "ready_graduate") == [(1, 21, None, "Y")]
+    assert rows(report, "student_key", "act_composite", "asvab", "readiness") == [(1, 21, None, "Y")]
     assert dict(report.dtypes)["asvab"] == "int" and dict(report.dtypes)["ncrc_work_keys"] == "string"
 
 
 def test_final_merge_keeps_the_higher_and_propagates_missing(spark):
     table = spark.createDataFrame(
         [(1, 2, 1, None, 3, 0, 1, "N", "A"), (2, None, 1, 1, 1, 1, 1, "Y", None)],
-        "student_key long, n_cambridge int, n_adv_placement int, n_inter_baccalaureate int, n_statewide_dual_credit int, n_local_dual_credit int, n_dual_enrollment int, ready_graduate string, is_approved string",
+        "student_key long, n_cambridge int, n_adv_placement int, n_inter_baccalaureate int, n_statewide_dual_credit int, n_local_dual_credit int, n_dual_enrollment int, readiness string, is_approved string",
     )
     fresh = spark.createDataFrame(
         [(1, 1, 4, 2, 3, None, 0, "Y"), (3, 1, 1, 1, 1, 1, 1, "Y")],
-        "student_key long, n_cambridge int, n_ap int, n_ib int, n_sdc int, n_ldc int, n_de int, ready_graduate string",
+        "student_key long, n_cambridge int, n_ap int, n_ib int, n_sdc int, n_ldc int, n_de int, readiness string",
     )
     out = P.final_report(table, fresh)
     assert "is_approved" not in out.columns
-    assert rows(out, "student_key", "n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "ready_graduate") == [
+    assert rows(out, "student_key", "n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "readiness") == [
         (1, 2, 4, 2, 3, None, 1, "Y"), (2, None, None, None, None, None, None, None), (3, None, None, None, None, None, None, None),
     ]
 
@@ -132,8 +132,8 @@ def test_changed_values_of_approved_students(spark):
 
 
 def test_lost_status_and_first_mismatches(spark):
-    old = spark.createDataFrame([(1, "Y"), (2, "Y"), (3, "N")], "student_key long, ready_graduate string")
-    new = spark.createDataFrame([(1, "N"), (3, "N")], "student_key long, ready_graduate string")
+    old = spark.createDataFrame([(1, "Y"), (2, "Y"), (3, "N")], "student_key long, readiness string")
+    new = spark.createDataFrame([(1, "N"), (3, "N")], "student_key long, readiness string")
     assert rows(Q.lost_status(old, new), "student_key") == [(1,)]
     flagged = spark.createDataFrame([(k, k % 2 == 0) for k in range(20)] + [(50, None)], "student_key long, mismatch boolean")
     records = spark.range(20).select(F.col("id").alias("student_key"))
@@ -153,9 +153,9 @@ def test_impact_of_lower_credit(spark):
 
 
 def table(spark, *students):
-    names = ["student_key", "ready_graduate", "act_composite", "sat_total", "asvab", *EPSO_COUNT_COLUMNS]
-    schema = "student_key long, ready_graduate string, act_composite int, sat_total int, asvab int, " + ", ".join(f"{c} int" for c in EPSO_COUNT_COLUMNS)
-    base = dict.fromkeys(EPSO_COUNT_COLUMNS, 0) | {"ready_graduate": "N", "act_composite": None, "sat_total": None, "asvab": None}
+    names = ["student_key", "readiness", "act_composite", "sat_total", "asvab", *EPSO_COUNT_COLUMNS]
+    schema = "student_key long, readiness string, act_composite int, sat_total int, asvab int, " + ", ".join(f"{c} int" for c in EPSO_COUNT_COLUMNS)
+    base = dict.fromkeys(EPSO_COUNT_COLUMNS, 0) | {"readiness": "N", "act_composite": None, "sat_total": None, "asvab": None}
     return spark.createDataFrame([tuple((base | s)[n] for n in names) for s in students], schema)
 
 
@@ -164,7 +164,7 @@ def test_audits(spark):
         spark,
         {"student_key": 1, "act_composite": 21}, {"student_key": 2, "sat_total": 1060}, {"student_key": 3, "n_adv_placement": 4},
         {"student_key": 4, "n_adv_placement": 4, "n_cambridge": None}, {"student_key": 5, "asvab": 31, "n_cambridge": 2},
-        {"student_key": 6, "asvab": 31, "n_cambridge": 2, "n_dual_enrollment": None}, {"student_key": 7, "act_composite": 36, "ready_graduate": "Y"},
+        {"student_key": 6, "asvab": 31, "n_cambridge": 2, "n_dual_enrollment": None}, {"student_key": 7, "act_composite": 36, "readiness": "Y"},
     )
     assert rows(A.audit_act(df), "student_key") == [(1,)]
     assert rows(A.audit_sat(df), "student_key") == [(2,)]
@@ -172,14 +172,14 @@ def test_audits(spark):
     assert rows(A.audit_epso(df, null_as_zero=False), "student_key") == [(3,)]
     assert rows(A.audit_asvab(df), "student_key") == [(5,), (6,)]
     fixed = A.apply_corrections(df)
-    assert rows(fixed.where("correction is not null"), "student_key", "ready_graduate", "correction") == [
+    assert rows(fixed.where("correction is not null"), "student_key", "readiness", "correction") == [
         (1, "Y", "scores"), (2, "Y", "scores"), (3, "Y", "epso"), (5, "Y", "asvab"),
     ]
 
 
 def test_pathways_keep_unknown_apart(spark):
     names = ["n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "clep"]
-    schema = "student_key long, ready_graduate string, act_composite int, sat_total int, industry_cert int, " + ", ".join(f"{n} int" for n in names)
+    schema = "student_key long, readiness string, act_composite int, sat_total int, industry_cert int, " + ", ".join(f"{n} int" for n in names)
     zero = (0,) * 6
     df = spark.createDataFrame(
         [(1, "Y", 25, None, 0, 0, *zero), (2, "Y", 10, None, 0, 4, *zero), (3, "Y", 10, 900, 4, None, *zero), (4, "N", 30, 900, 0, 0, *zero)], schema
@@ -221,6 +221,6 @@ def test_appeal_flags_and_comments(spark):
 
 def test_status_flips(spark):
     history = spark.createDataFrame(
-        [(1, "Y"), (1, "N"), (2, "Y"), (2, "Y"), (3, None), (3, "Y")], "student_key long, ready_graduate string"
+        [(1, "Y"), (1, "N"), (2, "Y"), (2, "Y"), (3, None), (3, "Y")], "student_key long, readiness string"
     )
     assert {r[0] for r in rows(M.status_flips(history))} == {1, 3}

@@ -10,7 +10,7 @@ from pathways.operators import counts as N
 from pathways.operators import crosswalk as K
 from pathways.operators import enrollment as E
 from pathways.operators import sorting as S
-from pathways.rules import AP_PULL_COURSES, DE_PULL_COURSES, code_list
+from pathways.rules import AP_PULL_COURSES, DE_PULL_COURSES
 from pathways.session import reuse
 
 from .names import PATTERNS
@@ -20,7 +20,7 @@ from .views import exam_name_sql
 
 SEGMENT = ", ".join(E.SEGMENT_KEYS)
 DAYS = "course_instructional_days, enrolled_instructional_days"
-AP_CODES, DE_CODES = code_list(AP_PULL_COURSES), code_list(DE_PULL_COURSES)
+AP_CODES, DE_CODES = list(AP_PULL_COURSES), list(DE_PULL_COURSES)
 LATEST = """end_date IS NULL DESC, end_date DESC NULLS LAST, begin_date DESC NULLS LAST,
   sca_end_date IS NULL DESC, sca_end_date DESC NULLS LAST, sca_begin_date DESC NULLS LAST,
   cs_end_date IS NULL DESC, cs_end_date DESC NULLS LAST, cs_begin_date DESC NULLS LAST, isp_id DESC"""
@@ -146,7 +146,7 @@ query(
     lambda b: E.courses_in(b.coded_catalog, DE_CODES),
 )
 query(
-    "courses_with_credit", "F9", "SELECT * FROM coded_catalog WHERE course_code NOT IN (9305, 3121)",
+    "courses_with_credit", "F9", "SELECT * FROM coded_catalog WHERE course_code IS NULL OR course_code NOT IN (9305, 3121)",
     lambda b: E.exclude_courses(b.coded_catalog),
 )
 query(

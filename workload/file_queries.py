@@ -32,11 +32,11 @@ def _table(b: Bound) -> DataFrame:
 
 
 def _snapshot_columns(df: DataFrame) -> DataFrame:
-    return df.select("student_key", "district_no", "n_adv_placement", "ready_graduate")
+    return df.select("student_key", "district_no", "n_adv_placement", "readiness")
 
 
 SNAPSHOT_SCHEMA = schemas.fields(
-    "student_key long, district_no int, n_adv_placement int, ready_graduate string"
+    "student_key long, district_no int, n_adv_placement int, readiness string"
 )
 
 
@@ -47,6 +47,37 @@ def _history(b: Bound) -> DataFrame:
     return RD.read_history(b.spark, folder, SNAPSHOT_SCHEMA)
 
 
+def _changed_layouts(b: Bound) -> DataFrame:
+    """Earlier files with their columns in another order, one more column, and one less."""
+    folder = scratch_path(b.spark, "layouts")
+    prev, cur, orig = (_snapshot_columns(df) for df in (b.snapshot_prev, b.snapshot_cur, b.snapshot_orig))
+    WR.write_csv(prev.select(*reversed(prev.columns)), f"{folder}/snapshot_2019-02-01.csv")
+    WR.write_csv(cur.select("student_key", F.lit("x").alias("note"), *cur.columns[1:]), f"{folder}/snapshot_2019-02-08.csv")
+    WR.write_csv(orig.drop("n_adv_placement"), f"{folder}/snapshot_2019-01-25.csv")
+    return RD.read_history(b.spark, folder, SNAPSHOT_SCHEMA)
+
+
+def _mixed_lookup(b: Bound) -> DataFrame:
+    folder = scratch_path(b.spark, "catalogs")
+    catalog = b.catalog
+    WR.write_csv(catalog, f"{folder}/one")
+    WR.write_csv(catalog.select(*reversed(catalog.columns)), f"{folder}/two")
+    return RD.read_lookup(b.spark, "course_catalog", folder).select(*catalog.columns)
+
+
+def _dates(b: Bound) -> DataFrame:
+    """Dates as an extract writes them, every ninth row malformed."""
+    day = F.col("o_orderdate").cast("date")
+    text = lambda form: F.when(F.col("o_orderkey") % 9 == 0, "00-XXX-99").otherwise(F.upper(F.date_format(day, form)))
+    extract = b.raw("orders").select(
+        "o_orderkey", text("dd-MMM-yy").alias("begin_date"), text("yyyy-MM-dd").alias("end_date"),
+        text("yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
+    )
+    path = WR.write_csv(extract, scratch_path(b.spark, "dates"), sep="\t")
+    read = RD.read_extract(b.spark, path, schemas.fields("o_orderkey long"))
+    return RD.with_dates(read, begin_date="dmy", end_date="ymd", loaded_at="ymd_hms")
+
+
 def _latest(b: Bound) -> DataFrame:
     folder = scratch_path(b.spark, "weeks")
     for day, df in (("2019-02-01", b.snapshot_prev), ("2019-02-08", b.snapshot_cur)):
@@ -96,7 +127,7 @@ query(
         F.col("p_partkey").alias("Course Code"), F.col("p_name").alias("courseTitle"), F.col("p_brand").alias("2018 Brand"),
     )),
 )
-SNAPSHOT = "student_key, district_no, n_adv_placement, ready_graduate"
+SNAPSHOT = "student_key, district_no, n_adv_placement, readiness"
 query(
     "snapshot_history_read", "S5",
     f"""SELECT {SNAPSHOT}, DATE '2019-02-01' AS snapshot_date, true AS has_file_time FROM snapshot_prev
@@ -126,3 +157,22 @@ query(
     _empty_as_null,
 )
 query("lookup_read", "S10", "SELECT * FROM catalog", _lookup)
+query(
+    "snapshot_history_of_changed_layouts", "S5",
+    f"""SELECT {SNAPSHOT}, DATE '2019-02-01' AS snapshot_date FROM snapshot_prev
+      UNION ALL SELECT {SNAPSHOT}, DATE '2019-02-08' FROM snapshot_cur
+      UNION ALL SELECT student_key, district_no, NULL, readiness, DATE '2019-01-25' FROM snapshot_orig""",
+    lambda b: _changed_layouts(b).select(
+        *SNAPSHOT_SCHEMA.names, RD.snapshot_date(F.col("file_path")).alias("snapshot_date")
+    ),
+)
+query("lookup_of_mixed_layouts", "S10", "SELECT * FROM catalog UNION ALL SELECT * FROM catalog", _mixed_lookup)
+query(
+    "extract_dates_read", "S2",
+    # Two digits name a year from 2000 on.
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN
+        CAST(CAST(o_orderdate AS DATE) + to_years(CAST(100 * CAST(year(o_orderdate) < 2000 AS INT) AS INT)) AS DATE) END AS begin_date,
+      CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS end_date,
+      CASE WHEN o_orderkey % 9 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS loaded_at FROM orders""",
+    _dates,
+)

@@ -15,6 +15,8 @@ from pathways.operators import report as R
 from pathways.plans import compiled as P
 from pathways.plans import domains as D
 from pathways.plans import weekly as WK
+from pathways.session import reuse, scratch_path
+from pathways.sources.writers import write_snapshot, write_versioned
 from pathways.plans.inputs import graduates, whole_cohort
 from pathways.rules import EPSO_TYPES, SCORE_COLUMNS
 
@@ -63,7 +65,7 @@ SCORES = ", ".join(
 JOINED = "FROM cohort c LEFT JOIN wide w USING (student_key) LEFT JOIN best_act a USING (student_key)"
 CLASSIFIED = f"""SELECT *, CASE WHEN included_in_cohort = 'Y' AND completion_type IN (1, 11, 12, 13)
     AND (act_composite_highest >= 21 OR sat_total >= 1060 OR ap + cie + clep + de + ib + ic + ldc + sdc >= 4)
-    THEN 'Y' ELSE 'N' END AS ready_graduate FROM (SELECT c.*, {ZEROED}, {SCORES} {JOINED})"""
+    THEN 'Y' ELSE 'N' END AS readiness FROM (SELECT c.*, {ZEROED}, {SCORES} {JOINED})"""
 REPORT = f"""SELECT student_key, first_name, CAST(NULL AS VARCHAR) AS middle_name, CAST(NULL AS VARCHAR) AS last_name,
     CAST(NULL AS VARCHAR) AS race_ethnicity, cohortyear, CAST(NULL AS VARCHAR) AS el, CAST(NULL AS VARCHAR) AS swd,
     CAST(NULL AS VARCHAR) AS ed, "system" AS district_no, school AS school_no, included_in_cohort, completion_type,
@@ -71,7 +73,7 @@ REPORT = f"""SELECT student_key, first_name, CAST(NULL AS VARCHAR) AS middle_nam
     act_english_highest AS act_english, act_math_highest AS act_math, act_reading_highest AS act_reading,
     act_science_highest AS act_science, act_composite_highest AS act_composite, ic AS industry_cert,
     CAST(NULL AS INT) AS asvab, CAST(NULL AS VARCHAR) AS ncrc_work_keys, cie AS n_cambridge, ap AS n_ap, ib AS n_ib,
-    sdc AS n_sdc, ldc AS n_ldc, de AS n_de, clep, ready_graduate FROM ({CLASSIFIED})"""
+    sdc AS n_sdc, ldc AS n_ldc, de AS n_de, clep, readiness FROM ({CLASSIFIED})"""
 G, W = all_counts_ctes("graduates"), all_counts_ctes("whole")
 
 query("all_counts", "D9 U1", f"{G} SELECT * FROM all_counts", lambda b: D.all_counts(b.inputs, GRADUATES))
@@ -88,6 +90,18 @@ query(
     lambda b: P.classified(D.all_counts(b.inputs, GRADUATES), b.inputs, GRADUATES),
 )
 query("student_report", "F18 D9", f"{G} {REPORT}", lambda b: P.compile_report(b.inputs, GRADUATES))
+
+
+def _stored_report(b: Bound) -> DataFrame:
+    """Two runs of the counts are stored; the report is compiled from the newest."""
+    folder = scratch_path(b.spark, "counts")
+    counts = reuse(D.all_counts(b.inputs, GRADUATES))
+    write_versioned(counts.withColumn("n_courses", F.col("n_courses") + 1), folder, "2019a")
+    write_versioned(counts, folder, "2019b")
+    return P.compile_stored(b.spark, folder, b.inputs, GRADUATES)
+
+
+query("student_report_from_stored_counts", "D9 S7", f"{G} {REPORT}", _stored_report)
 query(
     "whole_cohort_file", "D10", f"{W} SELECT c.*, {WIDE}, {SCORES} {JOINED}",
     lambda b: P.compile_cohort(b.inputs, WHOLE),
@@ -103,7 +117,7 @@ FRESH = "n_cambridge, n_adv_placement AS n_ap, n_inter_baccalaureate AS n_ib, n_
 
 def _fresh(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(FRESH_NAMES).select(
-        "student_key", "n_cambridge", *FRESH_NAMES.values(), "ready_graduate"
+        "student_key", "n_cambridge", *FRESH_NAMES.values(), "readiness"
     )
 
 
@@ -112,14 +126,14 @@ def _pmax(name: str, current: str | None = None) -> str:
     return f"CASE WHEN {c} IS NULL OR f.{name} IS NULL THEN NULL ELSE greatest({c}, f.{name}) END AS {name}"
 
 
-MERGED = f"""SELECT s.student_key, s.first_name, s.district_no, s.school_no, s.included_in_cohort,
+MERGED = f"""SELECT coalesce(s.student_key, f.student_key) AS student_key, s.first_name, s.district_no, s.school_no, s.included_in_cohort,
     s.sat_math, s.sat_critical_reading, s.sat_total, s.act_english, s.act_math, s.act_reading, s.act_science,
     s.act_composite, s.industry_cert_earned AS industry_cert, s.asvab, {_pmax('n_cambridge')}, {_pmax('n_ap')},
-    {_pmax('n_ib', 'coalesce(s.n_ib, 0)')}, {_pmax('n_sdc')}, {_pmax('n_ldc')}, {_pmax('n_de')},
-    s.participate_clg_lvl_pgm AS clep, {_pmax('ready_graduate')}
-  FROM (SELECT * REPLACE (n_cambridge AS n_cambridge), n_adv_placement AS n_ap, n_inter_baccalaureate AS n_ib, n_statewide_dual_credit AS n_sdc,
+    {_pmax('n_ib')}, {_pmax('n_sdc')}, {_pmax('n_ldc')}, {_pmax('n_de')},
+    s.participate_clg_lvl_pgm AS clep, {_pmax('readiness')}
+  FROM (SELECT * REPLACE (n_cambridge AS n_cambridge), n_adv_placement AS n_ap, coalesce(n_inter_baccalaureate, 0) AS n_ib, n_statewide_dual_credit AS n_sdc,
       n_local_dual_credit AS n_ldc, n_dual_enrollment AS n_de FROM snapshot_cur) s
-  FULL JOIN (SELECT student_key, {FRESH}, ready_graduate FROM snapshot_prev) f ON s.student_key = f.student_key"""
+  FULL JOIN (SELECT student_key, {FRESH}, readiness FROM snapshot_prev) f ON s.student_key = f.student_key"""
 query(
     "merged_final_values", "J22", MERGED,
     lambda b: R.merge_final(b.snapshot_cur, _fresh(b.snapshot_prev)),
@@ -133,11 +147,11 @@ query(
 query(
     "snapshots_compared", "J20",
     """SELECT coalesce(p.student_key, c.student_key) AS student_key, p.act_composite AS act_composite_x, p.n_adv_placement AS n_adv_placement_x,
-      p.ready_graduate AS ready_graduate_x, c.act_composite AS act_composite_y, c.n_adv_placement AS n_adv_placement_y, c.ready_graduate AS ready_graduate_y
+      p.readiness AS readiness_x, c.act_composite AS act_composite_y, c.n_adv_placement AS n_adv_placement_y, c.readiness AS readiness_y
       FROM snapshot_prev p FULL JOIN snapshot_cur c ON p.student_key = c.student_key""",
     lambda b: Q.compare(
         *[
-            df.select("student_key", "act_composite", "n_adv_placement", "ready_graduate")
+            df.select("student_key", "act_composite", "n_adv_placement", "readiness")
             for df in (b.snapshot_prev, b.snapshot_cur)
         ],
         ["student_key"],
@@ -147,7 +161,7 @@ query(
     "status_frequency", "A13", "SELECT status, comments, count(*) AS n FROM docs GROUP BY 1, 2",
     lambda b: Q.freq(b.docs, "status", "comments"),
 )
-PROFILED = ("student_key", "first_name", "district_no", *SCORE_COLUMNS, "ready_graduate", "is_approved")
+PROFILED = ("student_key", "first_name", "district_no", *SCORE_COLUMNS, "readiness", "is_approved")
 query(
     "missing_values_by_column", "A14",
     " UNION ALL ".join(
@@ -216,7 +230,7 @@ query(
         b.snapshot_cur, R.report_names(b.snapshot_prev), CHANGE_PAIRS, ("first_name", "district_no")
     ),
 )
-COMPARED = ["n_cambridge", "act_composite", "n_adv_placement", "ready_graduate"]
+COMPARED = ["n_cambridge", "act_composite", "n_adv_placement", "readiness"]
 query(
     "mismatches_by_column", "R9",
     " UNION ALL ".join(
@@ -228,8 +242,8 @@ query(
 )
 query(
     "students_who_lost_status", "R10",
-    """SELECT p.student_key, p.ready_graduate AS ready_graduate_x, c.ready_graduate AS ready_graduate_y
-      FROM snapshot_prev p JOIN snapshot_cur c USING (student_key) WHERE p.ready_graduate = 'Y' AND c.ready_graduate = 'N'""",
+    """SELECT p.student_key, p.readiness AS readiness_x, c.readiness AS readiness_y
+      FROM snapshot_prev p JOIN snapshot_cur c USING (student_key) WHERE p.readiness = 'Y' AND c.readiness = 'N'""",
     lambda b: Q.lost_status(b.snapshot_prev, b.snapshot_cur),
 )
 query(
@@ -257,7 +271,7 @@ EIGHT = (
 )
 TOTAL_ZERO = " + ".join(f"coalesce({c}, 0)" for c in EIGHT)
 TOTAL_NULL = " + ".join(EIGHT)
-AUDIT = "SELECT * FROM snapshot_prev WHERE ready_graduate = 'N' AND "
+AUDIT = "SELECT * FROM snapshot_prev WHERE readiness = 'N' AND "
 query("audit_act", "R1", AUDIT + "act_composite >= 21", lambda b: A.audit_act(b.snapshot_prev))
 query("audit_sat", "R2", AUDIT + "sat_total >= 1060", lambda b: A.audit_sat(b.snapshot_prev))
 query("audit_epso", "R3", AUDIT + f"{TOTAL_ZERO} >= 4", lambda b: A.audit_epso(b.snapshot_prev))
@@ -266,8 +280,8 @@ query("audit_asvab", "R4", AUDIT + f"asvab >= 31 AND {TOTAL_ZERO} >= 2", lambda
 query("audit_asvab_strict", "R4", AUDIT + f"asvab >= 31 AND {TOTAL_NULL} >= 2", lambda b: A.audit_asvab(b.snapshot_prev, False))
 query(
     "corrections_applied", "R6",
-    f"""SELECT * REPLACE (CASE WHEN correction IS NOT NULL THEN 'Y' ELSE ready_graduate END AS ready_graduate) FROM (
-      SELECT *, CASE WHEN ready_graduate <> 'N' THEN NULL WHEN sat_total >= 1060 OR act_composite >= 21 THEN 'scores'
+    f"""SELECT * REPLACE (CASE WHEN correction IS NOT NULL THEN 'Y' ELSE readiness END AS readiness) FROM (
+      SELECT *, CASE WHEN readiness <> 'N' THEN NULL WHEN sat_total >= 1060 OR act_composite >= 21 THEN 'scores'
         WHEN {TOTAL_NULL} >= 4 THEN 'epso' WHEN {TOTAL_NULL} >= 2 AND asvab >= 31 THEN 'asvab' END AS correction
       FROM snapshot_prev)""",
     lambda b: A.apply_corrections(b.snapshot_prev),
@@ -278,7 +292,7 @@ query(
     f"""SELECT act_composite >= 21 OR sat_total >= 1060 AS pathway_act_sat, {SEVEN} >= 4 AS pathway_epso,
       industry_cert + {SEVEN} >= 4 AS pathway_ic, count(DISTINCT student_key) AS n
       FROM (SELECT student_key, act_composite, sat_total, industry_cert_earned AS industry_cert, {FRESH},
-        participate_clg_lvl_pgm AS clep FROM snapshot_cur WHERE ready_graduate = 'Y') GROUP BY 1, 2, 3""",
+        participate_clg_lvl_pgm AS clep FROM snapshot_cur WHERE readiness = 'Y') GROUP BY 1, 2, 3""",
     lambda b: A.pathway_breakdown(R.report_names(b.snapshot_cur)),
 )
 
@@ -302,8 +316,7 @@ FLAGGED = f"""SELECT *, save_as_filename IS NOT NULL AND NOT has_score AS n_doc_
 
 def _changes(b: Bound) -> DataFrame:
     three = (b.snapshot_cur, b.snapshot_prev, b.snapshot_orig)
-    changed = M.changed_rows(*[WK.score_columns(df) for df in three])
-    return changed.withColumn("student_key", F.col("student_key").cast("bigint"))
+    return M.changed_rows(*[WK.score_columns(df) for df in three])
 
 
 def _status(b: Bound) -> DataFrame:
@@ -331,6 +344,17 @@ query(
     "weekly_status", "D11", BY_DISTRICT,
     lambda b: WK.weekly_status(b.snapshot_cur, b.snapshot_prev, b.snapshot_orig, b.docs, b.system_names),
 )
+
+
+def _weekly_run(b: Bound) -> DataFrame:
+    """Two earlier weeks lie in the folder, and one after this run that it must not see."""
+    folder = scratch_path(b.spark, "weeks")
+    for day, df in (("2019-01-25", b.snapshot_orig), ("2019-02-01", b.snapshot_prev), ("2019-02-15", b.snapshot_cur)):
+        write_snapshot(df, folder, day)
+    return WK.weekly_run(b.snapshot_cur, folder, "2019-02-08", b.snapshot_orig, b.docs, b.system_names)
+
+
+query("weekly_run", "S6 S8 D11", BY_DISTRICT, _weekly_run)
 query(
     "proposed_comments", "R7",
     f"""SELECT student_key, save_as_filename, status, comments, n_data_no_doc, n_doc_no_data,
@@ -349,6 +373,6 @@ query(
 query(
     "status_flips", "A23",
     """SELECT * FROM file_history WHERE student_key IN (
-      SELECT student_key FROM file_history GROUP BY 1 HAVING count(DISTINCT ready_graduate) > 1)""",
+      SELECT student_key FROM file_history GROUP BY 1 HAVING count(DISTINCT readiness) > 1)""",
     lambda b: M.status_flips(b.file_history),
 )

@@ -17,7 +17,7 @@ from pathways.rules import CERT_NAMES
 
 from .names import PATTERNS, SNAPSHOT_SCORES, VENDOR_CERTS
 
-STANDARD_CERTS = tuple(dict.fromkeys(name for name, _ in CERT_NAMES))
+STANDARD_CERTS = tuple(dict.fromkeys(name for name, *_ in CERT_NAMES))
 
 
 def _int(c: Column) -> Column:
@@ -36,6 +36,10 @@ def _jan10(year: Column, days: Column) -> Column:
     return F.date_add(F.make_date(year, F.lit(1), F.lit(10)), _int(days))
 
 
+def _new_key(key: Column) -> Column:
+    return F.when(key % 17 == 3, key + 10_000_000).otherwise(key)
+
+
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -187,7 +191,11 @@ class Bound:
             .otherwise("")
         )
         return self.raw("part").select(
-            _int(3000 + (F.col("p_partkey") * 7) % 3500).alias("course_code"),
+            # Study hall, another course without credit, and courses without a code.
+            F.when(F.col("p_partkey") % 23 == 1, 9305)
+            .when(F.col("p_partkey") % 23 == 2, 3121)
+            .when(F.col("p_partkey") % 23 != 3, _int(3000 + (F.col("p_partkey") * 7) % 3500))
+            .alias("course_code"),
             F.concat(prefix, "p_name").alias("course_title"),
             F.col("p_size").alias("size"),
         )
@@ -364,13 +372,13 @@ class Bound:
             _int(key % 10).alias("school_no"),
             F.when(F.col("c_acctbal") < 0, "N").otherwise("Y").alias("included_in_cohort"),
             *scores,
-            _flag(key % 7 == 0).alias("ready_graduate"),
+            _flag(key % 7 == 0).alias("readiness"),
             F.when(key % 13 != 0, "N").alias("is_approved"),
         )
 
     def _changed(self, composite: Column, placement: Column, ready: Column) -> DataFrame:
         return self.snapshot_prev.withColumns(
-            {"act_composite": composite, "n_adv_placement": placement, "ready_graduate": ready}
+            {"act_composite": composite, "n_adv_placement": placement, "readiness": ready}
         )
 
     @cached_property
@@ -379,8 +387,8 @@ class Bound:
         return self._changed(
             F.when(key % 10 == 0, 30).otherwise(F.col("act_composite")),
             F.when(key % 15 != 0, F.col("n_adv_placement")),
-            F.when(key % 10 == 0, "Y").when(key % 21 == 0, "N").otherwise(F.col("ready_graduate")),
-        )
+            F.when(key % 10 == 0, "Y").when(key % 21 == 0, "N").otherwise(F.col("readiness")),
+        ).withColumn("student_key", _new_key(key))  # some students left, others came
 
     @cached_property
     def snapshot_orig(self) -> DataFrame:
@@ -388,7 +396,7 @@ class Bound:
         return self._changed(
             F.when(key % 20 == 0, 30).otherwise(F.col("act_composite")),
             F.when(key % 30 != 0, F.col("n_adv_placement")),
-            F.col("ready_graduate"),
+            F.col("readiness"),
         )
 
     @cached_property
@@ -406,7 +414,7 @@ class Bound:
     @cached_property
     def file_history(self) -> DataFrame:
         """Earlier files of the student table with their times."""
-        columns = ["student_key", "district_no", "n_cambridge", "n_adv_placement", "ready_graduate"]
+        columns = ["student_key", "district_no", "n_cambridge", "n_adv_placement", "readiness"]
         files = ((self.snapshot_orig, "2019-01-01"), (self.snapshot_prev, "2019-02-01"), (self.snapshot_cur, "2019-03-01"))
         parts = [df.select(*columns, F.lit(day).cast("date").alias("file_time")) for df, day in files]
         return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pathways.rules import CERT_NAMES, CERT_NAMES_GRADUATES, EXAM_COURSES, code_list
+from pathways.rules import CERT_NAMES, CERT_NAMES_GRADUATES, EXAM_COURSES
 
 from .names import SNAPSHOT_SCORES, VENDOR_CERTS
 from .tables import STANDARD_CERTS
@@ -19,30 +19,23 @@ def pick(values: tuple[str, ...], at: str) -> str:
     return f"([{listed}])[CAST({at} % {len(values)} AS INT) + 1]"
 
 
-def _cert_test(test: str, column: str) -> str:
-    if not test.startswith("~"):
-        return f"{column} = {quoted(test)}"
-    parts = [
-        f"NOT regexp_matches({column}, {quoted(p[1:])})" if p.startswith("!") else f"regexp_matches({column}, {quoted(p)})"
-        for p in test[1:].split(" & ")
-    ]
-    return "(" + " AND ".join(parts) + ")"
+def _cert_test(column: str, kind: str, texts: tuple[str, ...], without: str | None) -> str:
+    if kind == "is":
+        return f"{column} = {quoted(texts[0])}"
+    tests = [f"regexp_matches({column}, {quoted(p)})" for p in texts]
+    if without:
+        tests.append(f"NOT regexp_matches({column}, {quoted(without)})")
+    return f"({' AND '.join(tests)})"
 
 
 def standard_name_sql(column: str, mode: str = "graduates") -> str:
     rules = CERT_NAMES + (CERT_NAMES_GRADUATES if mode == "graduates" else ())
-    whens = " ".join(
-        f"WHEN {' OR '.join(_cert_test(t, column) for t in tests)} THEN {quoted(name)}"
-        for name, tests in rules
-    )
+    whens = " ".join(f"WHEN {_cert_test(column, *rule)} THEN {quoted(name)}" for name, *rule in rules)
     return f"CASE {whens} ELSE {column} END"
 
 
 def exam_name_sql(column: str) -> str:
-    whens = []
-    for line in EXAM_COURSES.strip().splitlines():
-        name, _, codes = line.partition(":")
-        whens.append(f"WHEN {column} IN ({', '.join(map(str, code_list(codes)))}) THEN {quoted(name)}")
+    whens = [f"WHEN {column} IN ({', '.join(map(str, codes))}) THEN {quoted(name)}" for name, codes in EXAM_COURSES]
     return f"CASE {' '.join(whens)} END"
 
 
@@ -67,7 +60,7 @@ def _sdc(where: str) -> str:
 
 
 def _history(view: str, day: str) -> str:
-    return f"""SELECT student_key, district_no, n_cambridge, n_adv_placement, ready_graduate,
+    return f"""SELECT student_key, district_no, n_cambridge, n_adv_placement, readiness,
       DATE '{day}' AS file_time FROM {view}"""
 
 
@@ -120,7 +113,8 @@ VIEWS: dict[str, str] = {
     "system_names": 'SELECT n_nationkey AS "system", n_name AS system_name FROM nation',
     "catalog": "SELECT CAST(p_partkey AS INT) AS course_code, p_name AS course_title FROM part",
     "coded_catalog": """
-        SELECT CAST(3000 + (p_partkey * 7) % 3500 AS INT) AS course_code,
+        SELECT CAST(CASE WHEN p_partkey % 23 = 1 THEN 9305 WHEN p_partkey % 23 = 2 THEN 3121
+            WHEN p_partkey % 23 <> 3 THEN 3000 + (p_partkey * 7) % 3500 END AS INT) AS course_code,
           CASE p_size % 8 WHEN 0 THEN 'AP ' WHEN 1 THEN 'CIE ' WHEN 2 THEN 'Dual Enrollment '
             WHEN 3 THEN 'IB ' WHEN 4 THEN 'SDC ' WHEN 5 THEN 'IB MAP ' ELSE '' END || p_name AS course_title,
           p_size AS size FROM part""",
@@ -198,14 +192,15 @@ VIEWS: dict[str, str] = {
         SELECT c_custkey AS student_key, c_name AS first_name, c_nationkey AS district_no,
           CAST(c_custkey % 10 AS INT) AS school_no,
           CASE WHEN c_acctbal < 0 THEN 'N' ELSE 'Y' END AS included_in_cohort, {_SCORES},
-          CASE WHEN c_custkey % 7 = 0 THEN 'Y' ELSE 'N' END AS ready_graduate,
+          CASE WHEN c_custkey % 7 = 0 THEN 'Y' ELSE 'N' END AS readiness,
           CASE WHEN c_custkey % 13 <> 0 THEN 'N' END AS is_approved
         FROM customer""",
     "snapshot_cur": """
         SELECT * REPLACE (
           CASE WHEN student_key % 10 = 0 THEN 30 ELSE act_composite END AS act_composite,
           CASE WHEN student_key % 15 <> 0 THEN n_adv_placement END AS n_adv_placement,
-          CASE WHEN student_key % 10 = 0 THEN 'Y' WHEN student_key % 21 = 0 THEN 'N' ELSE ready_graduate END AS ready_graduate)
+          CASE WHEN student_key % 10 = 0 THEN 'Y' WHEN student_key % 21 = 0 THEN 'N' ELSE readiness END AS readiness,
+          CASE WHEN student_key % 17 = 3 THEN student_key + 10000000 ELSE student_key END AS student_key)
         FROM snapshot_prev""",
     "snapshot_orig": """
         SELECT * REPLACE (
