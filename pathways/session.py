@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that are no longer referred to."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Compute a frame that is read more than once only once.
 
