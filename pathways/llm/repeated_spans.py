@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathways.functions.skew import join_unique
-from pathways.session import remove, scratch_path
+from pathways.session import release, remove, scratch_path
 
 from .common import id_and_text, ship, stage
 from .hashing import mix, running, substrings
@@ -195,6 +195,34 @@ def cut_texts(candidates: DataFrame, length: int) -> DataFrame:
     return candidates.mapInArrow(cut, "id long, n_removed long, n_spans long, kept binary")
 
 
+def candidate_texts(docs: DataFrame, base: DataFrame, texts: DataFrame, length: int, anchor: int, crowded: int) -> DataFrame:
+    """id, times, text, runs: each text with runs whose anchor is met elsewhere too, written."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "marks")
+    # Marks go by a hash of the text; equal texts give equal marks.
+    long_ = id_and_text(docs).where(F.octet_length("text") >= length).select(F.xxhash64("text").alias("id"), "text")
+    marked(long_, length, anchor).write.option("compression", "zstd").parquet(path)
+    marks = spark.read.schema("id long, start long, n long, anchor long").parquet(path)
+    shared = marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    run = F.struct("start", "n", "anchor", (F.col("met") > crowded).alias("crowded"))
+    runs = join_unique(marks, shared, ["anchor"], "inner").groupBy(F.col("id").alias("tid")).agg(F.collect_set(run).alias("runs"))
+    listed_path = scratch_path(spark, "runs")
+    runs.join(texts, "tid").drop("tid").write.option("compression", "zstd").parquet(listed_path)
+    del runs, shared
+    remove(spark, path)
+    release(spark)
+    kinds = "array<struct<start:long,n:long,anchor:long,crowded:boolean>>"
+    listed = spark.read.schema(f"runs {kinds}, sha string, id long, times long, rep long").parquet(listed_path)
+    # Each text is fetched once, from the row of its least doc_id.
+    own = base.withColumn("rep", F.coalesce("doc_id", F.lit(-(1 << 62))))
+    listed = listed.withColumn("rep", F.coalesce("rep", F.lit(-(1 << 62))))
+    found = own.join(listed, ["rep", "sha"]).dropDuplicates(["rep", "sha"]).select("id", "times", "text", "runs")
+    path = scratch_path(spark, "candidates")
+    found.write.option("compression", "zstd").parquet(path)
+    remove(spark, listed_path)
+    return spark.read.schema(f"id long, times long, text string, runs {kinds}").parquet(path)
+
+
 def repeated_spans(
     docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED
 ) -> DataFrame:
@@ -210,37 +238,25 @@ def repeated_spans(
     spark = docs.sparkSession
     ship(spark)
     base = id_and_text(docs).withColumn("sha", F.sha2("text", 256))
-    rows = stage(base.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "sha"), "rows")
+    tid = F.xxhash64("text").alias("tid")
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    rows = stage(base.select(F.monotonically_increasing_id().alias("row"), "doc_id", size, "sha", tid), "rows")
     # A text is known by the row that holds it first.
-    texts = stage(rows.groupBy("sha").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("rep")), "texts")
-    by_doc = id_and_text(docs).select("doc_id", "text", F.xxhash64("text").alias("tid"))
-    mark_path = scratch_path(spark, "marks")
-    # Marks go by a hash of the text; equal texts give equal marks.
-    long_ = by_doc.where(F.octet_length("text") >= length).select(F.col("tid").alias("id"), "text")
-    marked(long_, length, anchor).write.option("compression", "zstd").parquet(mark_path)
-    marks = spark.read.schema("id long, start long, n long, anchor long").parquet(mark_path)
-    shared = marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    runs = join_unique(marks, shared, ["anchor"], "inner")
-    run = F.struct("start", "n", "anchor", (F.col("met") > crowded).alias("crowded"))
-    runs = runs.groupBy(F.col("id").alias("tid")).agg(F.collect_set(run).alias("runs"))
-    found = base.withColumn("tid", F.xxhash64("text")).join(runs, "tid")
-    found = found.join(texts, (found["sha"] == texts["sha"]) & found["doc_id"].eqNullSafe(texts["rep"]))
-    found = found.select("id", "times", "text", "runs").dropDuplicates(["id"])
-    candidate_path = scratch_path(spark, "candidates")
-    found.write.option("compression", "zstd").parquet(candidate_path)
-    remove(spark, mark_path)
-    schema = "id long, times long, text string, runs array<struct<start:long,n:long,anchor:long,crowded:boolean>>"
-    candidates = spark.read.schema(schema).parquet(candidate_path)
+    first = (F.min("row").alias("id"), F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("rep"))
+    texts = stage(rows.groupBy("sha", "tid").agg(*first), "texts")
+    candidates = candidate_texts(docs, base, texts, length, anchor, crowded)
+    release(spark)
     total = F.sum(F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["n"] + F.lit(length)))
     shards = max(1, -(-(candidates.agg(total).first()[0] or 0) // shard_bytes))
     verdicts = stage(judged(occurrences(candidates, length, True), shards, length), "verdicts")
+    release(spark)
     places = occurrences(candidates, length, False).join(verdicts, ["anchor", "segment_id"])
     shifted = F.transform("runs", lambda r: F.struct((r["first"] + F.col("start")).alias("first"), (r["last"] + F.col("start")).alias("last")))
     spans = places.groupBy("id").agg(F.flatten(F.collect_list(shifted)).alias("spans"))
     cut = cut_texts(candidates.select("id", "text").join(spans, "id"), length)
     cut = cut.select("id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    of_text = texts.join(cut, "id", "left").select("sha", "n_removed", "n_spans", "kept_sha256")
-    done = join_unique(rows, of_text, ["sha"], "inner")
+    of_text = texts.join(cut, "id", "left").select("sha", "tid", "n_removed", "n_spans", "kept_sha256")
+    done = join_unique(rows, of_text, ["sha", "tid"], "inner")
     none = F.lit(0).cast("long")
     return done.select(
         "doc_id",
