@@ -11,11 +11,11 @@ is changed in place and nothing is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 # Days from the first to the last are 17 * 4297.
@@ -50,11 +50,6 @@ def _whole(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def keyed(key: str, kind: str, round_: Column, value: Column, modulus: Column) -> Column:
     """Keyed hash of a number, below ``modulus``."""
     text = F.concat(F.lit(f"{key}|{kind}|"), round_.cast("string"), F.lit("|"), value.cast("string"), F.lit("|"), modulus.cast("string"))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, words_of
+from .common import id_and_text, let, words_of
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -66,26 +66,27 @@ def measures(docs: DataFrame) -> DataFrame:
     df = df.withColumn("n_words", F.size("words").cast("long"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("lines", lines)
-    at = lambda i, k: F.get("words", i + F.lit(k))
-    window = lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)])
-    starts = F.sequence(F.lit(0), F.size("words") - WINDOW)
+    # Arrays that a lambda looks into are bound first: if Spark moves the expression, into a
+    # filter for one, they are still computed once per row.
+    window = lambda w, i: F.xxhash64(*[F.get(w, i + F.lit(k)) for k in range(WINDOW)])
+    starts = lambda w: F.sequence(F.lit(0), F.size(w) - WINDOW)
+    windows = let(F.col("words"), lambda w: F.when(F.size(w) >= WINDOW, F.transform(starts(w), lambda i: window(w, i))))
     none = F.array().cast("array<bigint>")
-    df = df.withColumn("windows", F.when(F.size("words") >= WINDOW, F.transform(starts, window)).otherwise(none))
+    df = df.withColumn("windows", F.coalesce(windows, none))
     # Few texts repeat a window; only these are sorted.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     ranked = F.sort_array(F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    empty = F.array().cast("array<struct<w:bigint,i:int>>")
-    df = df.withColumn("ranked", F.when(repeats, ranked).otherwise(empty))
-    same = lambda x, i: F.coalesce(F.get("ranked", i)["w"] == x["w"], F.lit(False))
-    twice = F.filter("ranked", lambda x, i: same(x, i - 1) | same(x, i + 1))
-    places = F.sort_array(F.transform(twice, lambda x: x["i"]))
+    same = lambda r, x, i: F.coalesce(F.get(r, i)["w"] == x["w"], F.lit(False))
+    twice = lambda r: F.filter(r, lambda x, i: same(r, x, i - 1) | same(r, x, i + 1))
+    places = let(ranked, lambda r: F.sort_array(F.transform(twice(r), lambda x: x["i"])))
     begin = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate(
+    total = F.aggregate(
         places,
         begin,
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")),
         lambda a: a["n"],
     )
+    covered = F.when(repeats, total).otherwise(F.lit(0).cast("long"))
     stop = F.filter("words", lambda w: F.lower(w).isin(*STOP_WORDS))
     return df.select(
         "doc_id",
@@ -120,4 +121,6 @@ def passing_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, in all their columns; judged in place, nothing is joined."""
     everything = F.struct(*[docs[c] for c in docs.columns])
     packed = docs.select(everything.alias("doc_id"), docs["text"].alias("text"))
-    return quality(packed, rules).where("kept").select("doc_id.*")
+    # A filter would be moved below the measures and compute them once more for each rule.
+    passed = F.explode(F.when(F.col("kept"), F.array("doc_id")))
+    return quality(packed, rules).select(passed.alias("d")).select("d.*")

@@ -39,10 +39,14 @@ WITH w AS (
            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
+), each AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
 ), places AS (
-    SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w
+    SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o
+                      || ' ' || lead(word, 4) OVER o AS five
+    FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), repeated AS (
-    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) AS n FROM places
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM places WHERE five IS NOT NULL
 ), covered AS (
     SELECT doc_id, sum(part) AS n FROM (
         SELECT doc_id, least(5, i - lag(i, 1, -5) OVER (PARTITION BY doc_id ORDER BY i)) AS part FROM repeated WHERE n > 1
@@ -72,9 +76,15 @@ WITH RECURSIVE w AS (
            list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
     FROM documents
+), each AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w WHERE len(words) > 2
 ), s AS (
-    SELECT DISTINCT doc_id, words[i:i + 2] AS shingle
-    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)
+    SELECT DISTINCT doc_id, shingle FROM (
+        SELECT doc_id, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS shingle
+        FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ) WHERE shingle IS NOT NULL
+    UNION ALL
+    SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 2
 ), n AS (
     SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), shared AS (
