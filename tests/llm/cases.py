@@ -19,6 +19,7 @@ def awkward() -> list[tuple]:
         None, "", " \t\n", "one", "two words", BASE, BASE, BASE.replace(" ", "\n", 3), BASE + " more", BASE.upper(), LONG,
         LONG + " end", "a b c d e " * 40, "x" * 900, "é" * 450 + "z" * 450, "line\nline\nline\n", "İ ß ﬁ á ​ tail",
         "a\x1cb c\xa0d <|endoftext|> e  f\n\n g", "\U0001f600 emoji \U0001f600",
+        "It was the best of times and it was the worst of times, so they said to all who came by on the road.",
     ]
     rows = [(i, t, "en", None if i % 5 == 0 else f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
     return [*rows, rows[5], rows[5], rows[10], (4, "the same id again", "en", "s1", 17)]
