@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,13 @@ PERCENT = 90
 CLASSES = 64
 # Shingles that go last in the order: bounds what is sent to all tasks.
 WIDESPREAD = 1 << 17
-MOST = 20_000
-MOST_BYTES = 64 << 20
-PIVOTS = 16
+MOST = 8_000
+PIVOT_BATCH = 64
+# Largest matrix of a region, in cells of four bytes.
+DENSE_CELLS = 1 << 23
+MOST_BYTES = 12 << 20
+PIVOTS = 4
+PART_ROWS = 500
 BATCH_BYTES = 1 << 21
 
 
@@ -199,27 +204,97 @@ def family_edges(reps: DataFrame, percent: int, most: int) -> DataFrame:
 
 
 class Sets:
-    """Sets of a region, and the number of shingles that each shares with one of them."""
+    """Sets of a region; counts how many shingles some of them share with all.
+
+    Shingles of one set only can be shared by none and are left out. Where the
+    others are few, sets are rows of a matrix of zeros and ones, and a matrix
+    product counts; else lists of the sets of each shingle are added up.
+    """
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        self.flat = np.concatenate(sets)
-        self.begins = np.cumsum(self.sizes) - self.sizes
-
-    def shared(self, other: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(other, self.flat), len(other) - 1)
-        return np.add.reduceat((other[at] == self.flat).astype(np.int32), self.begins)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        _, shingle, self.times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.owner, self.shingle, self.matrix = owner, shingle, None
+
+    def prepare(self) -> None:
+        often = self.times[self.shingle] > 1
+        number = np.cumsum(self.times > 1) - 1
+        owner, column = self.owner[often], number[self.shingle[often]]
+        n, width = len(self.sizes), int((self.times > 1).sum())
+        if n * width <= DENSE_CELLS:
+            self.matrix = np.zeros((n, width), np.float32)
+            self.matrix[owner, column] = 1
+            return
+        self.columns = np.split(column, np.cumsum(np.bincount(owner, minlength=n))[:-1])
+        order = np.argsort(column, kind="stable")
+        self.holders, self.held = owner[order], np.bincount(column, minlength=width)
+        self.begins = np.cumsum(self.held) - self.held
+
+    def shared(self, some: np.ndarray) -> np.ndarray:
+        """Shingles that each of ``some`` shares with every set."""
+        if self.matrix is not None:
+            return (self.matrix[some] @ self.matrix.T).astype(np.int64)
+        out = np.zeros((len(some), len(self.sizes)), np.int64)
+        for row, p in zip(out, some):
+            held = self.held[self.columns[p]]
+            jump = np.repeat(self.begins[self.columns[p]] - np.cumsum(held) + held, held)
+            row[:] = np.bincount(self.holders[jump + np.arange(len(jump))], minlength=len(row))
+        return out
+
+
+def near_parts(all_: Sets, percent: int) -> np.ndarray:
+    """For each set the first set of its part; linked sets are in one part.
+
+    The shingles that are rarest in the region come first here, so near copies
+    that differ in too many places share none of those that count.
+    """
+    n, shingle, times = len(all_.sizes), all_.shingle, all_.times
+    owner = all_.owner
+    order = np.lexsort((shingle, times[shingle], owner))
+    place = np.arange(len(order)) - (np.cumsum(all_.sizes) - all_.sizes)[owner]
+    cells = all_.sizes - -(-percent * all_.sizes // 100) + 1
+    own = order[place < cells[owner]]
+    own = own[times[shingle[own]] > 1]
+    part = np.arange(n)
+    if not len(own):
+        return part
+    own = own[np.argsort(shingle[own], kind="stable")]
+    doc, cell = owner[own], shingle[own]
+    heads = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    sizes = np.diff(np.append(heads, len(cell)))
+    while True:
+        least = np.repeat(np.minimum.reduceat(part[doc], heads), sizes)
+        new = part.copy()
+        np.minimum.at(new, doc, least)
+        np.minimum.at(new, part[doc], least)
+        new = new[new]
+        if (new == part).all():
+            return part
+        part = new
 
 
 def linked_groups(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set of a region the first set of its component. No set is empty."""
+    part = near_parts(Sets(sets), percent)
+    group = np.arange(len(sets))
+    order = np.argsort(part, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+        if len(own) > 1:
+            group[own] = own[_balls([sets[i] for i in own], percent)]
+    return group
+
+
+def _balls(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Components by pivots: each search links a pivot's ball, a batch of pivots at a time."""
     all_ = Sets(sets)
+    all_.prepare()
     n = len(sets)
     group = np.arange(n)
     radius = (100 - percent) / 100
     open_ = np.ones(n, bool)
     rings: list[tuple[np.ndarray, np.ndarray, int]] = []
+    size = 1
     while True:
         # Whoever a member of a ball is linked to lies within twice the radius of its pivot.
         for ball, ring, p in rings:
@@ -229,16 +304,20 @@ def linked_groups(sets: list[np.ndarray], percent: int) -> np.ndarray:
         left = np.flatnonzero(open_)
         if not len(left):
             return group
-        p = int(left[0])
-        shared = all_.shared(sets[p]).astype(np.int64)
-        union = all_.sizes + len(sets[p]) - shared
-        ball = np.flatnonzero(100 * shared >= percent * union)
-        near = (1 - shared / union) <= 2 * radius + 1e-9
-        near[ball] = False
-        roots = np.unique(group[ball])
-        group[np.isin(group, roots)] = roots[0]
-        open_[p] = False
-        rings.append((ball, np.flatnonzero(near), p))
+        batch = left[:size]
+        size = min(4 * size, PIVOT_BATCH)
+        shared = all_.shared(batch)
+        union = all_.sizes + all_.sizes[batch][:, None] - shared
+        linked = 100 * shared >= percent * union
+        near = ((1 - shared / union) <= 2 * radius + 1e-9) & ~linked
+        for p, own, around in zip(batch.tolist(), linked, near):
+            ball = np.flatnonzero(own)
+            roots = np.unique(group[ball])
+            if len(roots) > 1:
+                group[np.isin(group, roots)] = roots[0]
+            if len(ball) > 1:
+                rings.append((ball, np.flatnonzero(around), p))
+        open_[batch] = False
 
 
 def regions_joined(members: DataFrame, words: int, percent: int) -> DataFrame:
@@ -269,43 +348,51 @@ def voronoi(members: DataFrame, words: int, percent: int, pivots: int) -> DataFr
     pick = F.slice(F.sort_array(F.array_union("some", F.array("first"))), 1, pivots)
     lowest = ranked.select("region", pick.alias("p"))
     chosen = lowest.select("region", F.explode("p.doc_id").alias("doc_id"))
-    chosen = chosen.join(members.select("region", "doc_id", "text"), ["region", "doc_id"])
-    chosen = chosen.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("pivots"))
-    rows = join_unique(members.select("region", "doc_id", "text"), chosen, ["region"], "inner")
+    chosen = chosen.join(members, ["region", "doc_id"])
+    # A large region is dealt in parts, each led by its pivots.
+    part = F.pmod(F.xxhash64("doc_id"), "parts")
+    rows = members.select("region", part.alias("part"), F.lit(1).alias("kind"), "doc_id", "text")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    leaders = chosen.select("region", each.alias("part"), F.lit(0).alias("kind"), "doc_id", "text")
+    dealt = rows.unionByName(leaders).repartition("region", "part").sortWithinPartitions("region", "part", "kind", "doc_id")
     slack = 2 * (100 - percent) / 100
 
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+    names = ["parent", "k", "doc_id", "text", "pivot", "within"]
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+        own, ids, sets = None, [], []
         for batch in batches:
             out = []
-            for region, doc_id, text, told in zip(*(c.to_pylist() for c in batch.columns)):
-                if region not in known:
-                    known.clear()
-                    known[region] = [t["doc_id"] for t in told], shingle_sets([t["text"] for t in told], words)
-                ids, sets = known[region]
-                own = shingle_sets([text], words)[0]
-                shared = np.array([np.isin(own, s, assume_unique=True).sum() for s in sets])
-                union = len(own) + np.array([len(s) for s in sets]) - shared
+            for region, part, kind, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != (region, part):
+                    own, ids, sets = (region, part), [], []
+                found = shingle_sets([text], words)[0]
+                if not kind:
+                    ids.append(doc_id)
+                    sets.append(found)
+                    continue
+                shared = np.array([np.isin(found, s, assume_unique=True).sum() for s in sets])
+                union = len(found) + np.array([len(s) for s in sets]) - shared
                 far = 1 - shared / union
                 q = int(far.argmin())
                 within = bool(100 * shared[q] >= percent * union[q])
                 for k in np.flatnonzero(far <= far[q] + slack + 1e-9).tolist():
                     out.append((region, ids[k], doc_id, text, ids[q], within))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["parent", "k", "doc_id", "text", "pivot", "within"])
+                if len(out) > 500:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
-    cut = rows.select("region", "doc_id", "text", "pivots").mapInArrow(
-        assign, "parent long, k long, doc_id long, text string, pivot long, within boolean"
-    )
+    cut = dealt.mapInArrow(assign, "parent long, k long, doc_id long, text string, pivot long, within boolean")
     return cut.withColumn("region", F.xxhash64("parent", "k"))
 
 
 def family_components(members: DataFrame, words: int, percent: int, most: int, most_bytes: int, pivots: int) -> DataFrame:
     """Edges (a, b) whose components are those of the links within each family."""
     found = None
-    grid = 0
-    while True:
+    for round_ in count():
         sizes = members.groupBy("region").agg(
             F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text")).alias("bytes")
         )
@@ -319,16 +406,16 @@ def family_components(members: DataFrame, words: int, percent: int, most: int, m
         if not n_large:
             return found
         rows = join_unique(members, large, ["region"], "inner")
-        if grid and n_rows > 0.7 * grid:
-            # Regions too tight for the windows to cut: every pair of blocks once.
+        every = F.greatest(F.floor(F.col("members") / (8 * pivots)), F.lit(1))
+        parts = F.ceil(F.col("members") / PART_ROWS)
+        cut = stage(voronoi(rows.select("region", "doc_id", "text", every.alias("every"), parts.alias("parts")), words, percent, pivots), "regions")
+        if cut.count() > 1.5 * n_rows or round_ >= 6:
+            # Regions too tight for the windows to cut: every pair of their blocks once.
             blocks = F.greatest(F.ceil(2 * F.col("members") / most), F.ceil(2 * F.col("bytes") / most_bytes), F.lit(2))
             rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             region = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
             return found.unionByName(regions_joined(rows.withColumn("region", region), words, percent))
-        grid = n_rows
-        every = F.greatest(F.floor(F.col("members") / (8 * pivots)), F.lit(1))
-        cut = stage(voronoi(rows.withColumn("every", every), words, percent, pivots), "regions")
         found = found.unionByName(cut.where("within").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
         members = cut.select("region", "doc_id", "text")
 
