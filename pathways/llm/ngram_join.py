@@ -48,7 +48,7 @@ MOST = 8_000
 PIVOT_BATCH = 64
 # Largest matrix of a region, in cells of four bytes.
 DENSE_CELLS = 1 << 23
-MOST_BYTES = 12 << 20
+MOST_BYTES = 6 << 20
 PIVOTS = 4
 PART_ROWS = 500
 BATCH_BYTES = 1 << 21
