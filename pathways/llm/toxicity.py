@@ -21,9 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ngram_join
 from .common import id_and_text, ship, stage
 
 FOLDS = 5
+# Near copies: five-word shingles of this Jaccard similarity or more, linked transitively.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
 # Labelled rows that the lexicon and the curve are learnt from, at most.
 TRAINING_ROWS = 40_000
 LEXICON = 5_000
@@ -118,16 +122,21 @@ def training_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """text, toxic of at most ``most`` labelled documents outside the held-out fifth.
 
     The documents are those of the smallest hashes of doc_id, so the choice does
-    not depend on their order; near copies count once, by the least hash of
-    their words.
+    not depend on their order. Near copies with one label count once: of each
+    component of the exact Jaccard join over these rows the text of the smallest
+    doc_id stays, and one of the texts without words. All others stay.
     """
     rows = labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id"))
     rows = rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = stage(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labels")
     chosen = chosen.select(F.col("doc_id").alias("_labelled"), "toxic")
     texts = id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
-    least = F.array_min(F.transform(F.split("text", " "), lambda w: F.xxhash64(w)))
-    texts = texts.groupBy(least.alias("least"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d"))
+    # A doc_id may have several texts; rows are told apart by a number of their own.
+    texts = stage(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "toxic"), "labelled")
+    near = ngram_join.jaccard_components(texts.select(F.col("row").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
+    texts = texts.join(near.select(F.col("doc_id").alias("row"), group.alias("near")), "row")
+    texts = texts.groupBy("near", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d"))
     return stage(texts.select("d.text", "toxic"), "training")
 
 

@@ -50,6 +50,22 @@ def test_held_out_accuracy_and_no_leak(spark):
     assert Counter(map(tuple, toxicity.toxicity(docs, lied).collect())) == Counter(map(tuple, found))
 
 
+def test_unlike_training_texts_with_a_common_word_all_stay(spark):
+    rows = [(i, "are " + " ".join(f"t{i}w{k}" for k in range(30)), "en", "s", 0) for i in range(40)]
+    copies = [(100 + i, rows[i % 2][1] + f" more{i}", "en", "s", 0) for i in range(10)]
+    few = [(200 + i, t, "en", "s", 0) for i, t in enumerate(["", None, "are", "are you", "Are you", " "])]
+    docs = spark.createDataFrame([*rows, *copies, *few], SCHEMA)
+    labels = spark.createDataFrame([(r[0], int(r[0] % 4 == 0)) for r in [*rows, *copies, *few]], "doc_id long, toxic int")
+    kept = Counter(map(tuple, toxicity.training_texts(docs, labels, 1000).collect()))
+    used = [r for r in [*rows, *copies, *few] if zlib.crc32(str(r[0]).encode()) % 5]
+    # Copies of row 0 or 1, or without words, or equal but for case: once for each label, by the smallest doc_id.
+    groups = {}
+    for i, t, *_ in used:
+        same = f"copy {i % 2}" if i < 2 or 100 <= i < 110 else " ".join(words(t)).lower()
+        groups.setdefault((same, int(i % 4 == 0)), (i, t or ""))
+    assert kept == Counter((t, toxic) for (_, toxic), (_, t) in groups.items()) and len(groups) > 30
+
+
 def test_toxicity_of_awkward_rows_and_tables(spark):
     docs, labels = corpus(spark, 200)
     lexicon = toxicity.learn(docs, labels)
