@@ -97,7 +97,7 @@ def widespread(docs: DataFrame, words: int, most: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
-    """doc_id, n, set_id (digest of the set), cells, counts."""
+    """doc_id, hash, n, set_id (digest of the set), cells, counts."""
     known = docs.sparkSession.sparkContext.broadcast(last)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +120,10 @@ def described(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Da
                 lengths = np.array([len(c) for c in cells])
                 ends = np.concatenate(([0], np.cumsum(lengths)))
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(cells)))
-                columns = [batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), listed, pa.array(counts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "set_id", "cells", "counts"])
+                columns = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), listed, pa.array(counts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts"])
 
-    schema = "doc_id long, n long, set_id binary, cells array<long>, counts binary"
+    schema = "doc_id long, hash long, n long, set_id binary, cells array<long>, counts binary"
     return docs.mapInArrow(describe, schema)
 
 
@@ -427,33 +427,54 @@ def jaccard_components(
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     Documents link when ``100 * |A & B| >= percent * |A | B|``; component_id is
-    the smallest doc_id reachable by links. Shingles are compared by their 64-bit
-    hash. A document without words, or a null text, is linked with nothing and
-    is its own component; rows that repeat a doc_id with other words belong to
-    the component of each of them. Null doc_ids are left out. Other columns are
-    not read; an empty table gives no rows.
+    the smallest doc_id reachable by links. Shingles and sets are compared by their
+    64-bit hash. A document without words, or a null text, is linked with nothing
+    and is its own component; each of the rows that repeat a doc_id with other words
+    belongs to the component of its own words. Null doc_ids are left out. Other
+    columns are not read; an empty table gives no rows.
     """
+    found = _components(docs, words, percent, most, most_bytes, pivots, last)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes: int, pivots: int, last: int) -> DataFrame:
+    """doc_id, hash of the text, n, component (null without words), component_id."""
     ship(docs.sparkSession)
-    base = id_and_text(docs).where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    base = id_and_text(docs).where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
     rows = stage(described(base, words, percent, widespread(base, words, last)), "described")
     filled = rows.where("n > 0")
-    classes = stage(filled.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = join_unique(filled, classes, ["set_id"], "inner").where("doc_id = rep")
-    reps = stage(reps.select("doc_id", "n", "cells", "counts").dropDuplicates(["doc_id"]), "reps")
+    # A set is the node of the links; the first of its rows brings the text.
+    first = F.min(F.struct("doc_id", "hash")).alias("first")
+    classes = stage(filled.groupBy("set_id").agg(first).select("set_id", F.xxhash64("set_id").alias("rep"), "first.doc_id", "first.hash"), "classes")
+    own = classes.select("set_id", "rep", F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash"))
+    reps = join_unique(filled, own, ["set_id"], "inner").where("doc_id = first_id and hash = first_hash")
+    reps = stage(reps.select(F.col("rep").alias("doc_id"), "n", "cells", "counts").dropDuplicates(["doc_id"]), "reps")
     families = components(family_edges(reps, percent, most))
-    families = stage(families.select(F.col("node").alias("doc_id"), F.col("component").alias("region")), "families")
-    members = stage(join_unique(base, families, ["doc_id"], "inner").dropDuplicates(["doc_id"]), "members")
+    families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
+    families = stage(families.join(classes, "rep").select("rep", "region", "doc_id", "hash"), "families")
+    members = join_unique(base, families, ["doc_id", "hash"], "inner").select(F.col("rep").alias("doc_id"), "region", "text")
+    members = stage(members.dropDuplicates(["doc_id"]), "members")
     joined = components(family_components(members, words, percent, most, most_bytes, pivots))
     joined = joined.select(F.col("node").alias("rep"), "component")
-    of_class = classes.join(joined, "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component"))
-    found = join_unique(rows.select("doc_id", "n", "set_id"), of_class, ["set_id"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-
-
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component stays."""
-    found = jaccard_components(docs, **options)
-    keep = found.where("component_id = doc_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    of_class = classes.join(joined, "rep", "left").select("set_id", "doc_id", F.coalesce("component", "rep").alias("component"))
+    least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = join_unique(of_class.select("set_id", "component"), least, ["component"], "inner")
+    found = join_unique(rows.select("doc_id", "hash", "n", "set_id"), of_class, ["set_id"], "left")
+    # Texts without words have a set too, but no class.
+    return found.select("doc_id", "hash", "n", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, most: int = MOST, most_bytes: int = MOST_BYTES,
+    pivots: int = PIVOTS, last: int = WIDESPREAD,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component stays.
+
+    A document is a doc_id with one text; rows that repeat it whole stay together.
+    """
+    found = _components(docs, words, percent, most, most_bytes, pivots, last)
+    first = found.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "hash")).alias("d")).select("d.doc_id", "d.hash")
+    keep = first.unionByName(found.where("n = 0").select("doc_id", "hash").distinct())
+    keep = keep.select(F.col("doc_id").alias("_keep"), F.col("hash").alias("_hash"))
+    same = (docs["doc_id"] == keep["_keep"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == keep["_hash"])
+    return docs.join(keep, same, "left_semi").unionByName(docs.where("doc_id is null"))

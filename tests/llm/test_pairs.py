@@ -119,6 +119,17 @@ def test_one_of_each_group_stays(spark):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in jaccard_components(docs, 5, 80).values()}
 
 
+def test_texts_of_one_doc_id_keep_their_own_links(spark):
+    one, two = BASE, " ".join(f"other{i}" for i in range(120))
+    texts = [(1, one), (1, two), (2, one + " x"), (3, two + " x"), (4, two + " x y"), (5, one), (0, two + " z"), (6, ""), (6, None)]
+    rows = [(i, t, "en", "s", 0) for i, t in texts]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = sorted((r.doc_id, r.component_id) for r in ngram_join.jaccard_components(df).collect())
+    assert found == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 0), (4, 0), (5, 1), (6, 6), (6, 6)]
+    kept = ngram_join.one_of_each(df).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(0, two + " z"), (1, one), (6, ""), (6, "")])
+
+
 @pytest.mark.parametrize("cells", [0, 1 << 20])
 def test_regions_with_matrix_and_with_lists(monkeypatch, cells):
     monkeypatch.setattr(ngram_join, "DENSE_CELLS", cells)
