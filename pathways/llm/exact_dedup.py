@@ -102,9 +102,18 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, bits: int = KEY_
 
 
 def without_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, in all their columns."""
+    """The rows of ``docs`` that stay, in all their columns: one row of each text.
+
+    Of rows that repeat the smallest doc_id with that text the least one stays,
+    by text and the other columns that have an order.
+    """
     found = exact_duplicates(docs, **options)
-    keep = found.where("kept").select("doc_id", "text_sha256").distinct()
+    keep = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_times"))
     sha = F.sha2(normalised(F.coalesce("text", F.lit(""))), 256)
-    keep = keep.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep_id"]) & (sha == keep["_keep_sha"]), "left_semi")
+    keep = keep.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"), "_times")
+    same = docs["doc_id"].eqNullSafe(keep["_keep_id"]) & (sha == keep["_keep_sha"])
+    once = docs.join(keep.where("_times = 1"), same, "left_semi")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    order = F.struct(docs["text"], *[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"])
+    repeated = docs.join(keep.where("_times > 1"), same, "inner").groupBy("_keep_id", "_keep_sha").agg(F.min_by(row, order).alias("_row"))
+    return once.unionByName(repeated.select("_row.*"))

@@ -70,6 +70,15 @@ def test_exact_duplicates_go_and_columns_stay(spark, docs):
     assert {(r.doc_id, hashlib.sha256(SPACES.sub(" ", r.text or "").encode()).hexdigest()) for r in kept.collect()} == want
 
 
+def test_rows_repeated_whole_stay_once(spark):
+    rows = [(1, "a b", "en", "s", 0)] * 3 + [(2, "a  b", "en", "s", 0), (1, "other", "en", "t", 0), (3, "c", "en", "s", 0), (3, "c", "de", "s", 0)]
+    rows += [(None, None, "en", "s", 0), (None, "", "en", "s", 0)]
+    kept = exact_dedup.without_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted((r.doc_id or 0, r.text or "", r.lang) for r in kept.collect()) == [
+        (0, "", "en"), (1, "a b", "en"), (1, "other", "en"), (3, "c", "de")
+    ]
+
+
 def test_hot_text_arrives_once_per_task(spark):
     rows = [(i, BASE if i % 3 == 0 else f"text {i}", "en", "s", 0) for i in range(3000)]
     found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(8))
