@@ -35,7 +35,28 @@ BASE26 = "0123456789abcdefghijklmnop"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 KEY_ID = r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = r"""(?:(?i:password|passwd|secret|token|api_key)\s?[=:]\s?"?)[0-9A-Fa-f]{16,}(?![A-Za-z0-9])"""
-IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_END = "(?![A-Za-z0-9])"
+
+
+def _iban_of(length: int, countries: str) -> str:
+    """Groups of four and the rest, as many as the country has."""
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}{_END}"
+
+
+# The length of the country, so that no following word is taken; any other form after that.
+IBAN = (
+    r"(?=[A-Z]{2}\d{2})(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END + ")"
+)
 ADDRESS = r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w]|[./-]\d)"
 SSN = r"\d{3}-\d{2}-\d{4}(?![\w-])"

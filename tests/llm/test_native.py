@@ -240,6 +240,18 @@ def test_valid_numbers_change_within_their_format(spark):
     assert other != a
 
 
+def test_words_after_a_spaced_iban_are_not_part_of_it(spark):
+    numbers = ("ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874")
+    texts = [f"pay {n}{after}" for n in numbers for after in ("", " 24 hours", " BIC", " CODE x", " 4111 1111 1111 1111")]
+    found = pseudonyms.pseudonyms(table(spark, texts), "k").orderBy("doc_id").collect()
+    for i, r in enumerate(found):
+        n = numbers[i // 5]
+        fresh = r.text[4 : 4 + len(n)]
+        plain = fresh.replace(" ", "")
+        assert fresh != n and r.text[4 + len(n) :][:3] == texts[i][4 + len(n) :][:3]
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and r.n_replaced == (2 if i % 5 == 4 else 1)
+
+
 def test_what_fails_its_check_stays(spark):
     text = "30/02/2001 4111111111111112 9807915762804490 000-12-3456 300.1.2.3 GB83 WEST 1234 5698 7654 32 version 2.0 of 1999, 12-34 x_2001-02-28"
     r = pseudonyms.pseudonyms(table(spark, [text, None, ""]), "k").orderBy("doc_id").collect()
