@@ -1,6 +1,6 @@
 """Registered queries of the text operators and their reference SQL.
 
-Each query applies its operator to the whole table of documents.
+Each query applies its operator to a whole table, of documents for most.
 """
 
 from __future__ import annotations
@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, pseudonyms, quality, repeated_spans, token_counts, token_file, toxicity
+from . import (
+    exact_dedup, mixing, ngram_join, packing, pseudonyms, quality, repeated_spans, spelling, token_counts, token_file, toxicity, turn_trie, warc,
+)
 from .common import documents
 from .sql import SQL  # noqa: F401
 
@@ -68,6 +70,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), labels)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_pages(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository; it imports this module
 
@@ -77,6 +91,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_pseudonyms, op2_token_file, op3_exact_dedup, op4_quality_rules, op5_token_counts, op6_packing,
-        op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity, pipeline,
+        op7_source_mix, op8_repeated_spans, op9_jaccard_join, op10_toxicity, op11_spelling_variants, op12_warc,
+        op13_conversation_trie, pipeline,
     )
 }
