@@ -8,17 +8,22 @@ so of two near words the one whose prefix ends earlier has a pivot that stands,
 untouched, in the prefix of the other.
 
 A surviving pivot also tells where the edit is: right of it, with everything up to
-its end equal, or left of it. What lies beyond is cut in blocks of two code points,
-and the edit changes one of them, so the words agree in everything before and after
-that block. Pivots are matched with prefixes on all of this, which keeps the
-matches of a frequent bigram, or of a frequent beginning, apart. Matches are verified.
+its end equal, or left of it. So pivots meet the prefixes of other words that hold the
+same bigram with the same beginning (or the same end) of the word, and what is left
+of the two words differs by one edit, which a table of the rests with one code point
+dropped finds without comparing pairs.
+
+Words of a very common beginning, more than MOST, are met in smaller groups: the rest
+is cut in blocks of two code points, of which the edit changes one, and words meet on
+everything before and after that block. Such a group has no more words than two code
+points can tell apart.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +41,8 @@ TIMES = 10
 GRAM = 2
 EDITS = 1
 BLOCK = 2
+# Rows of a beginning that are joined in one task.
+MOST = 50_000
 
 
 def words(docs: DataFrame, every: int = EVERY, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
@@ -101,48 +108,139 @@ def around(word: str, end: int, side: str, asks: bool) -> Iterator[str]:
             yield f"{side}{more}.{end}.{length}.{word[:low]} {tail}"
 
 
-def keyed(vocabulary: DataFrame, counts: dict[str, int], asks: bool) -> DataFrame:
-    """key, word, n, last: one row for each key of the pivots, or of the prefix, of a word."""
+ENTRY = "key string, asks boolean, last int, word string, n long"
+
+
+def entries(vocabulary: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """key, asks, last, word, n: a row for each side of the pivots and of the prefix of a word.
+
+    The key is the side on which the words may differ, r or l, and the equal rest of the
+    word up to the end of the gram, read from the other side.
+    """
     order = {g: i for i, g in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
     known = vocabulary.sparkSession.sparkContext.broadcast((counts, order))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rank = known.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(at, 2_000)
-                keys, owner, lasts = [], [], []
+            for at in range(0, whole.num_rows, 5_000):
+                batch = whole.slice(at, 5_000)
+                keys, asks, lasts, owner = [], [], [], []
                 for i, word in enumerate(batch.column(0).to_pylist()):
                     last, positions = prefix(word, rank)
-                    before = len(keys)
                     back = word[::-1]
-                    for p in pivots(word, positions, counts) if asks else positions:
-                        keys += around(word, p + GRAM, "r", asks)
-                        keys += around(back, len(word) - p, "l", asks)
-                    owner.append(len(keys) - before)
-                    lasts.append(last)
-                rows = np.repeat(np.arange(batch.num_rows), owner)
-                taken = batch.take(pa.array(rows))
-                columns = [pa.array(keys, pa.string()), taken.column(0), taken.column(1), pa.array(np.array(lasts, np.int32)[rows])]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "word", "n", "last"])
+                    for chosen, own in ((True, pivots(word, positions, counts)), (False, positions)):
+                        for p in own:
+                            keys += ("r" + word[: p + GRAM], "l" + back[: len(word) - p])
+                            asks += (chosen, chosen)
+                            lasts += (last, last)
+                            owner += (i, i)
+                taken = batch.take(pa.array(owner, pa.int32()))
+                columns = [pa.array(keys, pa.string()), pa.array(asks), pa.array(lasts, pa.int32()), taken.column(0), taken.column(1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "asks", "last", "word", "n"])
 
-    made = vocabulary.select("word", "n").mapInArrow(rows, "key string, word string, n long, last int")
-    return made.select(F.xxhash64("key").alias("key"), "word", "n", "last")
+    return vocabulary.select("word", "n").mapInArrow(rows, ENTRY)
 
 
-def near_words(vocabulary: DataFrame) -> DataFrame:
-    """word, other, n, other_n: each pair of words that differ by one edit, once."""
-    counts = gram_counts(vocabulary)
-    asking = keyed(vocabulary, counts, True)
-    asked = keyed(vocabulary, counts, False).toDF("key", "other", "other_n", "other_last")
-    # The word whose prefix ends earlier asks; of equal ends both do.
+def rest(key: str, word: str) -> str:
+    """What the key leaves of a word."""
+    return word[len(key) - 1 :] if key[0] == "r" else word[::-1][len(key) - 1 :]
+
+
+def one_edit_pairs(asking: list[str], asked: list[str]) -> Iterator[tuple[int, int]]:
+    """Positions of the texts of both lists that are one edit apart."""
+    same, swapped, longer = defaultdict(list), defaultdict(list), defaultdict(list)
+    for j, text in enumerate(asked):
+        same[text].append(j)
+        less = [text[:i] + text[i + 1 :] for i in range(len(text))]
+        for i, t in enumerate(less):
+            swapped[i, t].append(j)
+        for t in set(less):
+            longer[t].append(j)
+    for i, text in enumerate(asking):
+        less = [text[:k] + text[k + 1 :] for k in range(len(text))]
+        for j in longer.get(text, ()):
+            yield i, j
+        for t in set(less):
+            for j in same.get(t, ()):
+                yield i, j
+        for k, t in enumerate(less):
+            for j in swapped.get((k, t), ()):
+                if asked[j] != text:
+                    yield i, j
+
+
+PAIR = "word string, other string, n long, other_n long"
+
+
+def met_by_beginning(rows: DataFrame) -> DataFrame:
+    """Near pairs among the rows of each key."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, types = ["word", "other", "n", "other_n"], [pa.string(), pa.string(), pa.int64(), pa.int64()]
+        key, groups, out = None, ([], []), []
+
+        def pairs() -> None:
+            asked, asking = groups
+            if not asked or not asking:
+                return
+            for i, j in one_edit_pairs([rest(key, r[1]) for r in asking], [rest(key, r[1]) for r in asked]):
+                # The word whose prefix ends earlier asks; of equal ends both do.
+                (last, word, n), (other_last, other, other_n) = asking[i], asked[j]
+                if last <= other_last:
+                    out.append((word, other, n, other_n) if word < other else (other, word, other_n, n))
+
+        for batch in batches:
+            for own, asks, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != key:
+                    pairs()
+                    key, groups = own, ([], [])
+                groups[asks].append(row)
+                if len(out) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    out.clear()
+        pairs()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(join, PAIR)
+
+
+def met_by_blocks(rows: DataFrame) -> DataFrame:
+    """Near pairs among the rows of very common keys."""
+
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 5_000):
+                batch = whole.slice(at, 5_000)
+                keys, owner = [], []
+                for i, (key, asks, word) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)))):
+                    found = list(around(word if key[0] == "r" else word[::-1], len(key) - 1, key[0], asks))
+                    keys += found
+                    owner += [i] * len(found)
+                taken = batch.take(pa.array(owner, pa.int32()))
+                columns = [pa.array(keys, pa.string()), *taken.columns[1:]]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "asks", "last", "word", "n"])
+
+    blocks = rows.mapInArrow(finer, ENTRY)
+    asking = blocks.where("asks").select("key", "last", "word", "n")
+    asked = blocks.where("not asks").select("key", F.col("last").alias("other_last"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     met = asking.join(asked, "key").where("last <= other_last and word <> other").where(F.levenshtein("word", "other", EDITS) == 1)
     first = F.col("word") < F.col("other")
     swap = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
-    pairs = met.select(
+    return met.select(
         swap("word", "other").alias("word"), swap("other", "word").alias("other"), swap("n", "other_n").alias("n"), swap("other_n", "n").alias("other_n")
     )
-    return pairs.distinct()
+
+
+def near_words(vocabulary: DataFrame, most: int = MOST) -> DataFrame:
+    """word, other, n, other_n: each pair of words that differ by one edit, once."""
+    rows = stage(entries(vocabulary, gram_counts(vocabulary)), "entries")
+    common = stage(rows.groupBy("key").count().where(F.col("count") > most).select("key"), "common")
+    if not common.take(1):
+        return met_by_beginning(rows).distinct()
+    usual = met_by_beginning(join_unique(rows, common, ["key"], "left_anti"))
+    return usual.unionByName(met_by_blocks(join_unique(rows, common, ["key"], "inner").select(*rows.columns))).distinct()
 
 
 def roots(forms: DataFrame, hops: int) -> DataFrame:
@@ -156,7 +254,7 @@ def roots(forms: DataFrame, hops: int) -> DataFrame:
 
 
 def spelling_variants(
-    docs: DataFrame, every: int = EVERY, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT, times: int = TIMES
+    docs: DataFrame, every: int = EVERY, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT, times: int = TIMES, most: int = MOST
 ) -> DataFrame:
     """One row per word of all texts: word, form, root, n, n_near, form_n.
 
@@ -165,7 +263,7 @@ def spelling_variants(
     code point. Words of ``least_length`` code points and ``least_count`` occurrences
     count. ``form`` is the near word (one edit away) of largest n, of ties the first in
     code-point order, if its n is at least ``times`` that of the word; ``root`` is the
-    end of the chain of forms. Null and empty texts have no words; a null doc_id is an
+    end of the chain of forms. Beginnings of more than ``most`` rows are met in blocks. Null and empty texts have no words; a null doc_id is an
     empty one in the hash; rows repeated whole count again. Other columns are not read;
     an empty table gives no rows.
     """
@@ -173,7 +271,7 @@ def spelling_variants(
         raise ValueError("forms must grow and words must have two bigrams apart in any three")
     ship(docs.sparkSession)
     vocabulary = stage(words(docs, every, least_length, least_count), "words")
-    pairs = stage(near_words(vocabulary), "near")
+    pairs = stage(near_words(vocabulary, most), "near")
     both = pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("word").alias("other"), F.col("other_n").alias("n"), F.col("n").alias("other_n")))
     best = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form"), F.col("n").alias("n"))).alias("best")
     near = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best)
