@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pathways.functions.skew import join_unique
 from pathways.session import remove, scratch_path
 
-from .common import ship
+from .common import ship, stage
 
 GAP = "\r\n\r\n"
 # Fixed values of the WARC 1.1 and base32 formats.
@@ -57,14 +57,23 @@ def _records(pages: DataFrame, least_bytes: int, date: str) -> DataFrame:
     """One column, ``value``: the records without the blank line after them."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).alias("size"), base32(F.sha1(html.cast("binary"))).alias("digest"))
-    again = rows.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    rows = join_unique(rows, again.where("n > 1").select("digest", "first_id", F.lit(True).alias("shared")), ["digest"])
-    shared = F.coalesce("shared", F.lit(False)) & (F.col("size") >= least_bytes)
-    later = shared & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    rows = rows.withColumn("shared", shared).withColumn("html", F.when(~later, F.col("html")))
-    # Rows may repeat a page_id with the same payload; the first of them by url counts.
-    same = Window.partitionBy("page_id", "digest").orderBy(F.col("url").asc_nulls_last())
-    rows = rows.withColumn("copy", F.row_number().over(same))
+    # Payloads met more than once, from digests and ids only; written first, so that its size is
+    # known and a small one is sent to the tasks instead of dealing the pages out.
+    each = rows.groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("page_id").isNull(), F.col("page_id"))).alias("first")
+    shared = each.groupBy("digest").agg(first, F.sum("n").alias("n"), F.max("n").alias("copies")).where("n > 1")
+    shared = stage(shared.select("digest", F.col("first.page_id").alias("first_id"), "copies"), "shared")
+    rows = join_unique(rows, shared, ["digest"])
+    rows = rows.withColumn("shared", F.col("copies").isNotNull() & (F.col("size") >= least_bytes))
+    later = F.col("shared") & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    rows = rows.withColumn("html", F.when(~later, F.col("html")))
+    if shared.where("copies > 1").take(1):
+        # Rows that repeat a page_id with the same payload are told apart by their urls' order.
+        same = Window.partitionBy("page_id", "digest").orderBy(F.col("url").asc_nulls_last())
+        repeated = rows.where("copies > 1").withColumn("copy", F.row_number().over(same))
+        rows = rows.where("copies is null or copies = 1").withColumn("copy", F.lit(1)).unionByName(repeated)
+    else:
+        rows = rows.withColumn("copy", F.lit(1))
     revisit = F.col("shared") & (F.col("html").isNull() | (F.col("copy") > 1))
     one_line = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
