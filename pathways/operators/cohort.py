@@ -91,9 +91,9 @@ def trace_student(df: DataFrame, key: int) -> DataFrame:
     return df.where(F.col("student_key") == key)
 
 
-def only_students(df: DataFrame, ids: DataFrame) -> DataFrame:
+def only_students(df: DataFrame, ids: DataFrame, join=join_unique) -> DataFrame:
     """Rows of students found in another list."""
-    return join_unique(df, ids.select("student_key"), ["student_key"], "left_semi")
+    return join(df, ids.select("student_key"), ["student_key"], "left_semi")
 
 
 def select_cols(

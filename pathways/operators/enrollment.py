@@ -23,24 +23,25 @@ ENROLLED_DAYS = "enrolled_instructional_days"
 # -- joins ------------------------------------------------------------------
 
 
-def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame) -> DataFrame:
+def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame, join=join_unique) -> DataFrame:
     """Service period x class assignment x class section.
 
     Filter the sides before calling: sections by course, periods by student.
     Assignments meet the sections first since that join is the more selective.
     Both joins keep the many side on the left, where a hot section or a hot
-    service period can be split.
+    service period can be split; ``join_measured`` as ``join`` splits them by
+    their own counts, without adaptive execution.
     """
     periods = isp.withColumnRenamed("school_year", "isp_school_year")
     assigned = (
-        join_unique(sca, cs, SECTION_KEYS, "inner")
+        join(sca, cs, SECTION_KEYS, "inner")
         .withColumn("cs_school_year", F.col("school_year"))
         .withColumnsRenamed(
             {"school_year": "sca_school_year", "local_class_number": "sca_local_class_number"}
         )
         .drop("school_bu_id", "instructional_program_num")
     )
-    return join_unique(assigned, periods, ["isp_id"], "inner")
+    return join(assigned, periods, ["isp_id"], "inner")
 
 
 def with_institution(cs: DataFrame, colleges: DataFrame) -> DataFrame:
@@ -117,9 +118,9 @@ def month_number(day: Column | str) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left") -> DataFrame:
+def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left", join=join_unique) -> DataFrame:
     """Enrollments with the calendar of their school and school year."""
-    return join_unique(
+    return join(
         enrollments,
         index.withColumnRenamed("school_year", "isp_school_year"),
         ["school_bu_id", "isp_school_year"],
@@ -127,13 +128,13 @@ def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left")
     )
 
 
-def enrollment_days(students: DataFrame, courses: DataFrame, index: DataFrame) -> DataFrame:
+def enrollment_days(students: DataFrame, courses: DataFrame, index: DataFrame, join=join_unique) -> DataFrame:
     """Cohort students, their courses if any, and the calendar of each course."""
     # The courses, the many side, stay on the left; students without one are added.
-    taken = join_unique(courses, students, ["student_key"], "inner")
+    taken = join(courses, students, ["student_key"], "inner")
     without = students.join(courses.select("student_key").distinct(), "student_key", "left_anti")
     columns = [*students.columns, *[c for c in courses.columns if c != "student_key"]]
-    return attach_calendar(taken.unionByName(without, allowMissingColumns=True).select(*columns), index)
+    return attach_calendar(taken.unionByName(without, allowMissingColumns=True).select(*columns), index, join=join)
 
 
 def days_between(begin: Column | str, end: Column | str) -> Column:
@@ -142,10 +143,16 @@ def days_between(begin: Column | str, end: Column | str) -> Column:
 
     def up_to(day: Column) -> Column:
         month = month_number(day)
-        at = F.size(F.filter("months", lambda m: m <= month))
-        own = F.get("months", at - 1) == month
-        place = (at - 1) * 31 + F.when(own, F.dayofmonth(day) - 1).otherwise(30)
-        return F.when(at == 0, F.lit(0)).otherwise(F.get("running", place))
+        at = F.array_position("months", month).cast("int")
+        # No row in that month: the earlier months count whole. Built-in functions without a
+        # lambda only, so that the arrays stay out of the rows of a fused stage.
+        earlier = F.size(F.array_except("months", F.sequence(month, F.element_at("months", -1))))
+        absent = (
+            F.when(month < F.get("months", F.lit(0)), F.lit(0))
+            .when(month > F.element_at("months", -1), F.col("n_days"))
+            .otherwise(F.get("running", earlier * 31 - 1))
+        )
+        return F.when(at > 0, F.get("running", at * 31 - 32 + F.dayofmonth(day))).otherwise(absent)
 
     inside = up_to(end) - up_to(F.date_sub(begin, 1))
     return F.coalesce(F.when(begin <= end, inside), F.lit(0)).cast("bigint")

@@ -79,52 +79,85 @@ def pulled_students(t: Inputs, rules: Rules) -> DataFrame:
     return H.cohort_students(source, rules.cohort_year, rules.mode)
 
 
-def filled_enrollments(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
-    """Tagged course enrollments of the pulled students with days and filled dates."""
+def tagged_enrollments(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
+    """Tagged course enrollments of the pulled students."""
     sections = tagged_sections(t, rules, domains)
     periods = H.only_students(t.isp, pulled_students(t, rules)).select(
         "isp_id", "student_key", "school_year", "school_bu_id", "withdrawal_reason",
         "begin_date", "end_date",
     )
-    enrollments = E.attach_calendar(
-        E.course_enrollments(periods, t.sca, sections), E.calendar_index(t.calendar)
-    )
+    return E.course_enrollments(periods, t.sca, sections)
+
+
+def filled_enrollments(
+    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None
+) -> DataFrame:
+    """Tagged course enrollments of the pulled students with days and filled dates.
+
+    ``fills`` holds fill dates worked out before, by domain and scope, for a run
+    over some of the students only.
+    """
+    enrollments = E.attach_calendar(tagged_enrollments(t, rules, domains), E.calendar_index(t.calendar))
     wanted = {rules.fill[d] for d in domains}
     open_ended = [d for d in domains if rules.fill[d] != "class_only"]
     if len(wanted) == 1:
         (scope,) = wanted
         counted = E.count_days(enrollments, open_ends=scope != "class_only")
-        filled = counted if scope in ("class_only", "open_ended") else reuse(counted)
-        return E.fill_end_dates(filled, scope, within=("domain",) if len(domains) > 1 else ())
+        if scope in ("class_only", "open_ended"):
+            return E.fill_end_dates(counted, scope)
+        if fills is not None:
+            return fill_from(counted, fills, rules, domains)
+        return E.fill_end_dates(reuse(counted), scope, within=("domain",) if len(domains) > 1 else ())
     if len(open_ended) != len(domains):
         raise ValueError("domains counted together must agree on open ends")
+    if fills is not None:
+        return fill_from(E.count_days(enrollments), fills, rules, domains)
     return _fill_mixed(reuse(E.count_days(enrollments)), rules, domains)
 
 
-def _fill_mixed(counted: DataFrame, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
-    """Fill dates when some domains use one date and others one per year and course.
+SCOPE = ("domain", "scope_year", "scope_course")
 
-    The scope becomes a grouping key: year and course are blanked for the
-    domains that fill globally, so one aggregate and one join serve both.
-    """
+
+def with_scope(df: DataFrame, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
+    """Rows with the scope of their fill date: year and course are blank where it is the whole domain."""
     local = F.col("domain").isin(*[d for d in domains if rules.fill[d] == "by_year_course"])
-    scoped = counted.withColumns(
+    return df.withColumns(
         {
             "scope_year": F.when(local, F.col("isp_school_year")),
             "scope_course": F.when(local, F.col("course_code")),
         }
     )
-    return E.fill_end_dates(scoped, "global", within=("domain", "scope_year", "scope_course")).drop(
-        "scope_year", "scope_course"
-    )
 
 
-def attended_courses(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
+def fill_from(counted: DataFrame, fills: DataFrame, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
+    """Fill missing end dates from a table of dates by scope."""
+    filled = join_na(with_scope(counted, rules, domains), fills.select(*SCOPE, "fill_date"), list(SCOPE))
+    return filled.withColumns(
+        {
+            "cs_end_date": F.coalesce("cs_end_date", "sca_end_date", "fill_date"),
+            "sca_end_date": F.coalesce("sca_end_date", "fill_date"),
+        }
+    ).drop("fill_date", "scope_year", "scope_course")
+
+
+def _fill_mixed(counted: DataFrame, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
+    """Fill dates when some domains use one date and others one per year and course.
+
+    The scope becomes a grouping key: year and course are blanked for the
+    domains that fill globally, so one aggregate and one join serve both.
+    """
+    scoped = with_scope(counted, rules, domains)
+    return E.fill_end_dates(scoped, "global", within=SCOPE).drop("scope_year", "scope_course")
+
+
+def attended_courses(
+    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None
+) -> DataFrame:
     """(domain, student, course) attended for at least half, counted students only."""
     students = H.counted_students(t.cohort, rules.mode)
     kept = E.ends_within_assignment(
         E.active_enrollments(
-            H.only_students(filled_enrollments(t, rules, domains), students)
+            H.only_students(filled_enrollments(t, rules, domains, fills), students)
         )
     )
     credit = not_in_keep_null("course_code", NON_CREDIT_COURSES) | ~F.col("domain").isin(
@@ -208,10 +241,10 @@ def _with_exam_only(courses: DataFrame, t: Inputs, rules: Rules) -> DataFrame:
 
 
 def course_counts(
-    t: Inputs, rules: Rules, domains: tuple[str, ...] = COURSE_DOMAINS
+    t: Inputs, rules: Rules, domains: tuple[str, ...] = COURSE_DOMAINS, fills: DataFrame | None = None
 ) -> DataFrame:
     """(student_key, epso_type, n_courses) of the course-based domains."""
-    courses = with_evidence(attended_courses(t, rules, domains), t, rules, domains)
+    courses = with_evidence(attended_courses(t, rules, domains, fills), t, rules, domains)
     if set(domains) - set(NEEDS_NO_EXAM):
         by_exam = ~F.col("domain").isin(*NEEDS_NO_EXAM)
         courses = courses.where(F.col("course_code").isNotNull() | ~by_exam).distinct()
@@ -294,8 +327,8 @@ def ic_counts(t: Inputs, rules: Rules = Rules()) -> DataFrame:
     return C.cert_credit(accepted, legacy_bundle=rules.legacy_bundle)
 
 
-def all_counts(t: Inputs, rules: Rules = Rules()) -> DataFrame:
+def all_counts(t: Inputs, rules: Rules = Rules(), fills: DataFrame | None = None) -> DataFrame:
     """Counts of all eight types, stacked."""
     return N.stack(
-        course_counts(t, rules), clep_counts(t, rules), ic_counts(t, rules), sdc_counts(t, rules)
+        course_counts(t, rules, fills=fills), clep_counts(t, rules), ic_counts(t, rules), sdc_counts(t, rules)
     )

@@ -187,13 +187,12 @@ query(
 )
 query(
     "reconciled_catalogs", "J13",
-    """SELECT coalesce(a.course_code, b.course_code, c.course_code) AS course_code,
-      a.t AS course_title2019, b.t AS course_title2018, c.t AS course_title2017
-    FROM (SELECT course_code, min(course_title) AS t FROM coded_catalog WHERE size <> 10 AND contains(course_title, 'Dual Enrollment') GROUP BY 1) a
-    FULL JOIN (SELECT course_code, min(course_title) AS t FROM coded_catalog WHERE size <> 18 AND contains(course_title, 'Dual Enrollment') GROUP BY 1) b
-      ON a.course_code = b.course_code
-    FULL JOIN (SELECT course_code, min(course_title) AS t FROM coded_catalog WHERE size <> 26 AND contains(course_title, 'Dual Enrollment') GROUP BY 1) c
-      ON coalesce(a.course_code, b.course_code) = c.course_code""",
+    """SELECT course_code, max(CASE WHEN y = 2019 THEN t END) AS course_title2019,
+      max(CASE WHEN y = 2018 THEN t END) AS course_title2018, max(CASE WHEN y = 2017 THEN t END) AS course_title2017
+    FROM (SELECT course_code, y, min(course_title) AS t
+      FROM coded_catalog, (VALUES (2019, 10), (2018, 18), (2017, 26)) v(y, left_out)
+      WHERE size <> left_out AND contains(course_title, 'Dual Enrollment') GROUP BY ALL)
+    GROUP BY course_code""",
     lambda b: K.reconcile_catalogs(
         {
             year: b.coded_catalog.where(F.col("size") != size)

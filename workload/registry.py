@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .tables import Bound
-from .views import with_views
+from .views import VIEWS, with_views
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,9 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, covers: str, sql: str | None, run: Callable[[Bound], DataFrame]) -> None:
+def query(
+    name: str, covers: str, sql: str | None, run: Callable[[Bound], DataFrame], views: dict[str, str] = VIEWS
+) -> None:
     if name in QUERIES:
         raise ValueError(f"query {name} is registered twice")
-    QUERIES[name] = Query(name, tuple(covers.split()), run, with_views(sql) if sql else None)
+    QUERIES[name] = Query(name, tuple(covers.split()), run, with_views(sql, views) if sql else None)
