@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathways.session import scratch_path
+from pathways.session import remove, scratch_path
 
 # White space of the contracts: space and the controls from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -67,6 +67,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Stages:
+    """Written stages of one run, by name; each is removed after its last reader."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self.paths.pop(name, ()):
+                remove(self.spark, path)
+
+    def clear(self) -> None:
+        self.drop(*list(self.paths))
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Number of partitions for a count of rows; never under the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

@@ -7,19 +7,28 @@ three levels.
    as to any; the tie goes to the first in a global order that puts widespread
    shingles last. The document at the boundary is copied to its next cells: a
    linked document can lack at most ``n - ceil(t n)`` of its shingles, so one more
-   than that many cells bring any two linked documents together. Cells of one
-   document end here.
+   than that many cells bring any two linked documents together, and one more
+   again brings them together in two. Cells of one document end here; a crowded
+   cell is split by the second cell that linked documents share.
 2. Pivots that are 64 classes of all shingles. A document's counts per class give
    its distances to them, and by the triangle inequality the distances of linked
    documents differ by little. Documents of a cell within that window of each
    other belong to one family; a cell gives the edges of a spanning forest only.
+   A cell that is crowded even after the split is one family.
 3. Pivots that are documents. A family is joined exactly: the ball of a pivot is
    linked to it, and a member of the ball needs no search of its own once all
    within twice the radius are in its component. A family above ``MOST`` members
-   is first cut into the Voronoi regions of its pivots, each with the documents
-   that the triangle inequality lets reach over the boundary, again and again.
-
-Equal sets are joined beforehand and stand for one document.
+   or ``MOST_BYTES`` of shingles gets a pivot at once, and each member goes on as
+   its difference to the pivot's set: what two differences do not share is what
+   the two sets do not share, so distances stay exact and no text is sent again.
+   Such a family is cut into the Voronoi regions of further pivots, each with the
+   documents that the triangle inequality lets reach over the boundary, again and
+   again; documents of a ball that nothing else comes near, and regions that are
+   one component already, drop out between the rounds.
+
+Equal sets are joined beforehand and stand for one document. Texts are read twice,
+and dealt out once, those of families only. Stages are removed after their last
+reader.
 """
 
 from __future__ import annotations
@@ -30,14 +39,15 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathways.functions.skew import join_unique
 
-from .common import id_and_text, ship, stage
+from .common import Stages, id_and_text, parts_for, ship
 from .components import components
-from .hashing import shingle_sets, slices
+from .hashing import mix, shingle_sets, slices
 
 WORDS = 3
 PERCENT = 90
@@ -48,10 +58,15 @@ MOST = 8_000
 PIVOT_BATCH = 64
 # Largest matrix of a region, in cells of four bytes.
 DENSE_CELLS = 1 << 23
-MOST_BYTES = 6 << 20
-PIVOTS = 4
+MOST_BYTES = 8 << 20
+PIVOTS = 8
 PART_ROWS = 500
 BATCH_BYTES = 1 << 21
+# Bytes of a shingle's hash that name its cell.
+CELL = 6
+# Pairs of cell and document that are looked at together.
+BUCKET = 1 << 20
+ROUNDS = 6
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -60,11 +75,12 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def class_counts(shingles: np.ndarray) -> bytes:
+    """Counts per class modulo 256: around the circle they are never farther apart than the counts."""
     counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=CLASSES)
-    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+    return counts.astype(np.uint8).tobytes()
 
 
-def widespread(docs: DataFrame, words: int, most: int) -> np.ndarray:
+def widespread(docs: DataFrame, words: int, most: int, stages: Stages) -> np.ndarray:
     """Sorted shingles met most often, ``most`` of them; the result does not depend on them.
 
     Only shingles found in three or more different texts of one batch are counted.
@@ -82,7 +98,7 @@ def widespread(docs: DataFrame, words: int, most: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(columns, names=["shingle", "n"])
 
     counts = docs.select("text").mapInArrow(met, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counts = stage(counts, "widespread")
+    counts = stages(counts, "widespread")
     # The least count that keeps the number within the bound.
     held, least = 0, None
     for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
@@ -91,40 +107,164 @@ def widespread(docs: DataFrame, words: int, most: int) -> np.ndarray:
             break
         least = r["n"]
     if least is None:
+        stages.drop("widespread")
         return np.empty(0, np.uint64)
     found = counts.where(F.col("n") >= least).select("shingle").toArrow()["shingle"].to_numpy()
+    stages.drop("widespread")
     return np.sort(found.astype(np.int64).view(np.uint64))
 
 
+ROW = "doc_id long, hash long, n long, set_id binary, cells binary, counts binary"
+# Digests that a task remembers, to send a set's cells once.
+REMEMBERED = 200_000
+
+
 def described(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
-    """doc_id, hash, n, set_id (digest of the set), cells, counts."""
+    """doc_id, hash, n, set_id (digest of the set), cells, counts, deal.
+
+    Cells and counts are left out where a task has sent the same set before; such rows
+    are dealt anywhere, the others by their set.
+    """
     known = docs.sparkSession.sparkContext.broadcast(last)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = known.value
+        late, sent, number = known.value, set(), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts, ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for a, b in slices([len(t) for t in texts], BATCH_BYTES):
-                sizes, digests, cells, counts = [], [], [], []
-                for s in shingle_sets(texts[a:b], words):
+                sizes, digests, cells, counts, deal = [], [], [], [], []
+                for doc_id, s in zip(ids[a:b], shingle_sets(texts[a:b], words)):
+                    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     sizes.append(len(s))
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    k = prefix_length(len(s), percent)
-                    if len(late) and len(s):
+                    digests.append(digest)
+                    number += 1
+                    if not len(s) or doc_id is None or digest in sent:
+                        cells.append(None)
+                        counts.append(None)
+                        deal.append(int.from_bytes(digest[:6], "little") + number)
+                        continue
+                    if len(sent) < REMEMBERED:
+                        sent.add(digest)
+                    deal.append(int.from_bytes(digest[:7], "little"))
+                    counts.append(class_counts(s))
+                    if len(late):
                         at = np.minimum(np.searchsorted(late, s), len(late) - 1)
                         common = late[at] == s
                         if common.any():
                             s = np.concatenate((s[~common], s[common]))
-                    cells.append(s[:k].view(np.int64))
-                    counts.append(class_counts(s))
-                lengths = np.array([len(c) for c in cells])
-                ends = np.concatenate(([0], np.cumsum(lengths)))
-                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(cells)))
-                columns = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), listed, pa.array(counts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts"])
+                    own = s[: prefix_length(len(s), percent) + 1]
+                    cells.append(own.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes())
+                columns = [
+                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                    pa.array(cells, pa.binary()), pa.array(counts, pa.binary()), pa.array(deal, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts", "deal"])
+
+    return docs.mapInArrow(describe, f"{ROW}, deal long")
+
 
-    schema = "doc_id long, hash long, n long, set_id binary, cells array<long>, counts binary"
-    return docs.mapInArrow(describe, schema)
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """The described rows; of equal sets one row keeps its cells."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = None
+        for batch in batches:
+            keep = []
+            for digest, full in zip(batch.column(3).to_pylist(), batch.column(4).is_valid().to_pylist()):
+                keep.append(full and digest != done)
+                if full:
+                    done = digest
+            mask = pa.array(keep)
+            columns = [*batch.columns[:4], *[pc.if_else(mask, batch.column(k), pa.scalar(None, pa.binary())) for k in (4, 5)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts"])
+
+    return rows.repartition("deal").sortWithinPartitions("set_id", "doc_id", "hash").drop("deal").mapInArrow(first, ROW)
+
+
+def cell_numbers(cells: bytes) -> np.ndarray:
+    wide = np.zeros((len(cells) // CELL, 8), np.uint8)
+    wide[:, :CELL] = np.frombuffer(cells, np.uint8).reshape(-1, CELL)
+    return wide.view(np.uint64).reshape(-1)
+
+
+def shared_cells(reps: DataFrame, parts: int, percent: int) -> DataFrame:
+    """cell, rep: documents of each cell that has more than one.
+
+    The pairs travel packed: the documents of a batch have neighbouring numbers, so a
+    pair takes the bytes of its cell and two more.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep = batch.column(0).to_numpy()
+            lists = [cell_numbers(c)[: prefix_length(n, percent)] for n, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            sizes = np.array([len(c) for c in lists])
+            high = rep >> 16
+            for a, b in slices(sizes.tolist(), BUCKET):
+                cell, owner = np.concatenate(lists[a:b]), np.repeat(rep[a:b], sizes[a:b])
+                group = (mix(cell.copy()) % np.uint64(parts)).astype(np.int64)
+                order = np.lexsort((owner >> 16, group))
+                cell, owner, group = cell[order], owner[order], group[order]
+                top = owner >> 16
+                edge = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (top[1:] != top[:-1]), [True])))
+                raw = cell.view(np.uint8).reshape(-1, 8)[:, :CELL]
+                low = (owner & 0xFFFF).astype("<u2")
+                spans = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+                columns = [
+                    pa.array(group[edge[:-1]]), pa.array(top[edge[:-1]]),
+                    pa.array([raw[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([low[x:y].tobytes() for x, y in spans], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "high", "cells", "low"])
+
+    packed = reps.select("rep", "n", "cells").mapInArrow(pack, "bucket long, high long, cells binary, low binary")
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of the cells met before, in this lot or an earlier one of the bucket."""
+        bucket, lot, held = None, [], 0
+        seen, first, told = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            nonlocal seen, first, told, lot, held
+            cell = np.concatenate([c for c, _ in lot])
+            rep = np.concatenate([r for _, r in lot])
+            lot, held = [], 0
+            order = np.argsort(cell, kind="stable")
+            cell, rep = cell[order], rep[order]
+            edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
+            names, count = cell[edge[:-1]], np.diff(edge)
+            at = np.minimum(np.searchsorted(seen, names), max(len(seen) - 1, 0))
+            old = (seen[at] == names) if len(seen) else np.zeros(len(names), bool)
+            again = at[old & ~told[at]] if len(seen) else at[:0]
+            many = old | (count > 1)
+            take = np.repeat(many, count)
+            out_cell, out_rep = np.concatenate((seen[again], cell[take])), np.concatenate((first[again], rep[take]))
+            if len(again):
+                told[again] = True
+            fresh = ~old
+            merged = np.concatenate((seen, names[fresh]))
+            place = np.argsort(merged, kind="stable")
+            seen = merged[place]
+            first = np.concatenate((first, rep[edge[:-1]][fresh]))[place]
+            told = np.concatenate((told, many[fresh]))[place]
+            if len(out_cell):
+                yield pa.RecordBatch.from_arrays([pa.array(out_cell.view(np.int64)), pa.array(out_rep)], names=["cell", "rep"])
+
+        for batch in batches:
+            for own, high, cells, low in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != bucket:
+                    if lot:
+                        yield from emit()
+                    bucket = own
+                    seen, first, told = seen[:0], first[:0], told[:0]
+                lot.append((cell_numbers(cells), np.frombuffer(low, "<u2").astype(np.int64) | (high << 16)))
+                held += len(low) // 2
+                if held >= 2 * BUCKET:
+                    yield from emit()
+        if lot:
+            yield from emit()
+
+    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(several, "cell long, rep long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]:
@@ -162,7 +302,8 @@ def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int
             near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
             at = np.flatnonzero(near)
             if len(at):
-                apart = np.abs(counts[left[at]] - counts[p]).sum(1)
+                apart = (counts[left[at]] - counts[p]) & 0xFF
+                apart = np.minimum(apart, 256 - apart).sum(1)
                 # The symmetric difference of linked sets is a small part of their sizes.
                 at = at[(100 + percent) * apart <= (100 - percent) * (n + m[at])]
             if len(at):
@@ -172,48 +313,68 @@ def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int
     return edges
 
 
-def family_edges(reps: DataFrame, percent: int, most: int) -> DataFrame:
+def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, stages: Stages) -> DataFrame:
     """a, b: documents that share a cell and may be linked; families are the components."""
-    rows = reps.select("doc_id", F.explode("cells").alias("cell"))
-    shared = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    rows = stage(join_unique(rows, shared, ["cell"], "inner"), "cells")
-    # A cell above the bound is joined block by block, every pair of blocks once.
-    blocks = F.ceil(F.col("members") / most)
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id")
-    rows = join_unique(rows, reps.select("doc_id", "n", "counts"), ["doc_id"], "inner")
+
+    def crowded(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("least")).where(F.col("members") > most)
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for g in _groups(batches, 3):
+        for g in _groups(batches, 1):
             if g.num_rows < 2:
                 continue
-            ids = g.column(3).to_numpy()
-            counts = np.frombuffer(b"".join(g.column(5).to_pylist()), "<u2").reshape(-1, CLASSES).astype(np.int32)
-            new = [e for e in forest(ids, g.column(4).to_numpy(), counts, percent) if e not in seen]
+            ids = g.column(1).to_numpy()
+            counts = np.frombuffer(b"".join(g.column(3).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
+            new = [e for e in forest(ids, g.column(2).to_numpy(), counts, percent) if e not in seen]
             if len(seen) < 1_000_000:
                 seen.update(new)
             if new:
                 columns = [pa.array(c, pa.int64()) for c in zip(*new)]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    rows = rows.select("cell", "i", "j", "doc_id", "n", "counts")
-    dealt = rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "doc_id")
-    return dealt.mapInArrow(edges, "a long, b long").distinct()
+    def of_cells(rows: DataFrame) -> DataFrame:
+        rows = join_unique(rows.select("cell", "rep"), reps.select("rep", "n", "counts"), ["rep"], "inner")
+        dealt = rows.select("cell", "rep", "n", "counts").repartition("cell").sortWithinPartitions("cell", "rep")
+        return dealt.mapInArrow(edges, "a long, b long")
+
+    hot = stages(crowded(pairs), "crowded")
+    if not hot.take(1):
+        return of_cells(pairs).distinct()
+    usual = of_cells(join_unique(pairs, hot.select("cell"), ["cell"], "left_anti"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell, rep, cells in zip(*(c.to_pylist() for c in batch.columns)):
+                other = cell_numbers(cells)
+                own = np.int64(cell).view(np.uint64)
+                other = other[other != own]
+                finer = mix(other + mix(np.array([own]))[0])
+                yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64)), pa.array(np.full(len(other), rep))], names=["cell", "rep"])
+
+    rows = join_unique(pairs, hot.select("cell"), ["cell"], "inner")
+    rows = join_unique(rows, reps.select("rep", "cells"), ["rep"], "inner").select("cell", "rep", "cells")
+    finer = stages(rows.mapInArrow(split, "cell long, rep long"), "split-cells")
+    still = stages(crowded(finer), "still-crowded")
+    several = finer.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where(F.col("members").between(2, most)).select("cell")
+    split_up = of_cells(join_unique(finer, several, ["cell"], "inner"))
+    as_one = join_unique(finer, still.select("cell", "least"), ["cell"], "inner").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    return usual.unionByName(split_up).unionByName(as_one).distinct()
 
 
 class Sets:
     """Sets of a region; counts how many shingles some of them share with all.
 
-    Shingles of one set only can be shared by none and are left out. Where the
+    With ``sizes`` the lists are the sets' differences to one other set, and what two of
+    them share follows from the sizes. Shingles of one list only can be shared by none and are left out. Where the
     others are few, sets are rows of a matrix of zeros and ones, and a matrix
     product counts; else lists of the sets of each shingle are added up.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray | None = None):
+        self.lengths = np.array([len(s) for s in sets], np.int64)
+        self.sizes = self.lengths if sizes is None else sizes
+        owner = np.repeat(np.arange(len(sets)), self.lengths)
         _, shingle, self.times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         self.owner, self.shingle, self.matrix = owner, shingle, None
 
@@ -233,6 +394,13 @@ class Sets:
 
     def shared(self, some: np.ndarray) -> np.ndarray:
         """Shingles that each of ``some`` shares with every set."""
+        met = self._met(some)
+        if self.sizes is self.lengths:
+            return met
+        apart = self.lengths[some][:, None] + self.lengths - 2 * met
+        return (self.sizes[some][:, None] + self.sizes - apart) // 2
+
+    def _met(self, some: np.ndarray) -> np.ndarray:
         if self.matrix is not None:
             return (self.matrix[some] @ self.matrix.T).astype(np.int64)
         out = np.zeros((len(some), len(self.sizes)), np.int64)
@@ -285,9 +453,9 @@ def linked_groups(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return group
 
 
-def _balls(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def _balls(sets: list[np.ndarray], percent: int, sizes: np.ndarray | None = None) -> np.ndarray:
     """Components by pivots: each search links a pivot's ball, a batch of pivots at a time."""
-    all_ = Sets(sets)
+    all_ = Sets(sets, sizes)
     all_.prepare()
     n = len(sets)
     group = np.arange(n)
@@ -320,104 +488,196 @@ def _balls(sets: list[np.ndarray], percent: int) -> np.ndarray:
         open_[batch] = False
 
 
-def regions_joined(members: DataFrame, words: int, percent: int) -> DataFrame:
-    """node, component from (region, doc_id, text): components within each region."""
+def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What only one of two sorted sets has, sorted."""
+    both = np.sort(np.concatenate((a, b)), kind="stable")
+    twice = np.concatenate(([False], both[1:] == both[:-1]))
+    twice[:-1] |= twice[1:]
+    return both[~twice]
+
+
+def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int, most_bytes: int, stages: Stages) -> DataFrame:
+    """region, part, kind, rep, whole, text: each text of a family once, that of a large one's pivot in every part."""
+    members = families.join(rows.where("cells is not null").select("rep", "doc_id", "hash", "n"), "rep")
+    members = stages(members.withColumn("h", F.xxhash64("rep")), "members")
+    size = members.groupBy("region").agg(
+        F.count(F.lit(1)).alias("members"), (8 * F.sum("n")).alias("bytes"), F.min(F.struct("h", "rep"))["rep"].alias("pivot")
+    )
+    whole = (F.col("members") <= most) & (F.col("bytes") <= most_bytes) | (F.col("members") <= 2)
+    parts = F.when(whole, 1).otherwise(F.greatest(F.ceil(F.col("members") / PART_ROWS), F.ceil(2 * F.col("bytes") / most_bytes)))
+    size = stages(size.select("region", "pivot", whole.alias("whole"), parts.alias("parts")), "family-sizes")
+    placed = join_unique(members, size, ["region"], "inner")
+    leads = ~F.col("whole") & (F.col("rep") == F.col("pivot"))
+    each = F.when(leads, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod("h", "parts")))
+    kind = F.when(leads, 0).otherwise(1).alias("kind")
+    placed = placed.select("region", "rep", "whole", kind, each.alias("each"), "doc_id", "hash")
+    found = join_unique(base, placed, ["doc_id", "hash"], "inner")
+    return found.select("region", F.explode("each").alias("part"), "kind", "rep", "whole", "text")
+
+
+def joined_families(dealt: DataFrame, words: int, percent: int) -> DataFrame:
+    """region, a, b, n, diff: links of the small families; of large ones each document's difference to the pivot.
+
+    Rows that repeat a document follow each other and count once.
+    """
+    names = ["region", "a", "b", "n", "diff"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pivot, ids, sets, out, held = None, None, [], [], [], 0
+
+        def links() -> None:
+            if len(ids) > 1:
+                found = np.array(ids)
+                group = linked_groups(sets, percent)
+                out.extend((key[0], a, b, None, None) for a, b in zip(found.tolist(), found[group].tolist()) if a != b)
+            ids.clear()
+            sets.clear()
+
+        for batch in batches:
+            texts = batch.column(5).to_pylist()
+            found = [s for a, b in slices([len(t) for t in texts], BATCH_BYTES) for s in shingle_sets(texts[a:b], words)]
+            for region, part, rep, whole, s in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), found):
+                if key != (region, part):
+                    links()
+                    key, pivot, before = (region, part), None, None
+                if rep == before:
+                    continue
+                before = rep
+                if whole:
+                    ids.append(rep)
+                    sets.append(s)
+                    continue
+                if pivot is None:  # the pivot leads every part; one of them sends it on
+                    pivot = s
+                    if part:
+                        continue
+                diff = difference(s, pivot).tobytes()
+                out.append((region, rep, None, len(s), diff))
+                held += len(diff)
+                if held > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    out.clear()
+                    held = 0
+        links()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    order = ["region", "part", "kind", "rep"]
+    dealt = dealt.repartition("region", "part").sortWithinPartitions(*order)
+    return dealt.mapInArrow(join, "region long, a long, b long, n long, diff binary")
+
+
+def regions_joined(members: DataFrame, percent: int) -> DataFrame:
+    """a, b: links within each region of (region, rep, n, diff)."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, 1):
-            ids, texts = g.column(1).to_numpy(), g.column(2).to_pylist()
-            sets = [s for a, b in slices([len(t) for t in texts], BATCH_BYTES) for s in shingle_sets(texts[a:b], words)]
-            group = linked_groups(sets, percent)
-            columns = [pa.array(ids, pa.int64()), pa.array(ids[group], pa.int64())]
+            ids = g.column(1).to_numpy()
+            lists = [np.frombuffer(d, np.uint64) for d in g.column(3).to_pylist()]
+            group = _balls(lists, percent, g.column(2).to_numpy())
+            moved = group != np.arange(len(ids))
+            columns = [pa.array(ids[moved], pa.int64()), pa.array(ids[group[moved]], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    dealt = members.select("region", "doc_id", "text").repartition("region").sortWithinPartitions("region", "doc_id")
+    dealt = members.select("region", "rep", "n", "diff").repartition("region").sortWithinPartitions("region", "rep")
     return dealt.mapInArrow(join, "a long, b long")
 
 
-def voronoi(members: DataFrame, words: int, percent: int, pivots: int) -> DataFrame:
-    """Cut regions (region, doc_id, text) by their pivots: region, doc_id, text, pivot, within.
+CUT = "parent long, k long, rep long, n long, diff binary, linked boolean, near boolean"
+
+
+def voronoi(members: DataFrame, percent: int, pivots: int) -> DataFrame:
+    """Cut regions (region, rep, n, diff, members) by some of their documents.
 
-    ``pivot`` is the nearest one and ``within`` tells that it is linked. A row
-    appears for its own region and for each whose pivot is no more than twice
-    the radius farther than its nearest.
+    A row appears for its nearest pivot ``k`` and for each that is no more than twice
+    the radius farther; ``linked`` tells that it is linked to that pivot, ``near`` that
+    it is not but lies within twice the radius. A large region is dealt in parts, each
+    led by its pivots.
     """
-    own = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id"))
-    some = F.collect_set(F.when(F.pmod("h", "every") == 0, own))  # about eight for each pivot
-    ranked = members.withColumn("h", F.xxhash64("doc_id")).groupBy("region").agg(some.alias("some"), F.min(own).alias("first"))
+    members = members.withColumn("h", F.xxhash64("rep"))
+    own = F.struct("h", "rep")
+    every = F.greatest(F.floor(F.col("members") / (8 * pivots)), F.lit(1))
+    some = F.collect_set(F.when(F.pmod("h", every) == 0, own))  # about eight for each pivot
+    ranked = members.groupBy("region").agg(some.alias("some"), F.min(own).alias("first"), F.ceil(F.max("members") / PART_ROWS).alias("parts"))
     pick = F.slice(F.sort_array(F.array_union("some", F.array("first"))), 1, pivots)
-    lowest = ranked.select("region", pick.alias("p"))
-    chosen = lowest.select("region", F.explode("p.doc_id").alias("doc_id"))
-    chosen = chosen.join(members, ["region", "doc_id"])
-    # A large region is dealt in parts, each led by its pivots.
-    part = F.pmod(F.xxhash64("doc_id"), "parts")
-    rows = members.select("region", part.alias("part"), F.lit(1).alias("kind"), "doc_id", "text")
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    leaders = chosen.select("region", each.alias("part"), F.lit(0).alias("kind"), "doc_id", "text")
-    dealt = rows.unionByName(leaders).repartition("region", "part").sortWithinPartitions("region", "part", "kind", "doc_id")
-    slack = 2 * (100 - percent) / 100
-
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
-    names = ["parent", "k", "doc_id", "text", "pivot", "within"]
+    each = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    chosen = ranked.select("region", F.explode(pick).alias("p"), each.alias("each")).select("region", F.col("p.rep").alias("rep"), "each")
+    rows = members.select("region", F.pmod("h", F.ceil(F.col("members") / PART_ROWS)).alias("part"), F.lit(1).alias("kind"), "rep", "n", "diff")
+    leaders = join_unique(members, chosen, ["region", "rep"], "inner").select("region", F.explode("each").alias("part"), F.lit(0).alias("kind"), "rep", "n", "diff")
+    dealt = rows.unionByName(leaders).repartition("region", "part").sortWithinPartitions("region", "part", "kind", "rep")
+    radius = (100 - percent) / 100
+
+    names = [c.split()[0] for c in CUT.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.bool_()]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, ids, sets = None, [], []
+        key, ids, sizes, sets = None, [], [], []
         for batch in batches:
             out = []
-            for region, part, kind, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if own != (region, part):
-                    own, ids, sets = (region, part), [], []
-                found = shingle_sets([text], words)[0]
+            for region, part, kind, rep, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != (region, part):
+                    key, ids, sizes, sets = (region, part), [], [], []
+                diff = np.frombuffer(raw, np.uint64)
                 if not kind:
-                    ids.append(doc_id)
-                    sets.append(found)
+                    ids.append(rep)
+                    sizes.append(n)
+                    sets.append(diff)
                     continue
-                shared = np.array([np.isin(found, s, assume_unique=True).sum() for s in sets])
-                union = len(found) + np.array([len(s) for s in sets]) - shared
+                met = np.array([np.isin(diff, s, assume_unique=True).sum() for s in sets])
+                apart = len(diff) + np.array([len(s) for s in sets]) - 2 * met
+                total = n + np.array(sizes)
+                shared, union = (total - apart) // 2, (total + apart) // 2
                 far = 1 - shared / union
-                q = int(far.argmin())
-                within = bool(100 * shared[q] >= percent * union[q])
-                for k in np.flatnonzero(far <= far[q] + slack + 1e-9).tolist():
-                    out.append((region, ids[k], doc_id, text, ids[q], within))
-                if len(out) > 500:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                linked = 100 * shared >= percent * union
+                for k in np.flatnonzero(far <= far.min() + 2 * radius + 1e-9).tolist():
+                    near = not linked[k] and far[k] <= 2 * radius + 1e-9
+                    out.append((region, ids[k], rep, n, raw, bool(linked[k]), bool(near)))
+                if len(out) > 2_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    cut = dealt.mapInArrow(assign, "parent long, k long, doc_id long, text string, pivot long, within boolean")
-    return cut.withColumn("region", F.xxhash64("parent", "k"))
+    return dealt.mapInArrow(assign, CUT).withColumn("region", F.xxhash64("parent", "k"))
 
 
-def family_components(members: DataFrame, words: int, percent: int, most: int, most_bytes: int, pivots: int) -> DataFrame:
-    """Edges (a, b) whose components are those of the links within each family."""
-    found = None
+def large_components(members: DataFrame, percent: int, most: int, most_bytes: int, pivots: int, stages: Stages) -> DataFrame:
+    """a, b: edges whose components are those of the links within the large families."""
+    found = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
     for round_ in count():
-        sizes = members.groupBy("region").agg(
-            F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text")).alias("bytes")
-        )
-        sizes = stage(sizes, "sizes")
-        over = (F.col("members") > most) | (F.col("bytes") > most_bytes)
-        large = sizes.where(over & (F.col("members") > 2))
-        small = join_unique(members, large.select("region"), ["region"], "left_anti")
-        edges = regions_joined(small, words, percent)
-        found = edges if found is None else found.unionByName(edges)
-        n_large, n_rows = large.agg(F.count(F.lit(1)), F.sum("members")).first()
-        if not n_large:
+        size = members.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("diff")).alias("bytes"))
+        size = stages(size, f"sizes-{round_}")
+        over = ((F.col("members") > most) | (F.col("bytes") > most_bytes)) & (F.col("members") > 2)
+        small = join_unique(members, size.where(~over).select("region"), ["region"], "left_semi")
+        found = stages(found.unionByName(regions_joined(small, percent)), f"found-{round_}a")
+        rows = join_unique(members, size.where(over), ["region"], "inner")
+        n_rows = size.where(over).agg(F.sum("members")).first()[0]
+        if not n_rows:
             return found
-        rows = join_unique(members, large, ["region"], "inner")
-        every = F.greatest(F.floor(F.col("members") / (8 * pivots)), F.lit(1))
-        parts = F.ceil(F.col("members") / PART_ROWS)
-        cut = stage(voronoi(rows.select("region", "doc_id", "text", every.alias("every"), parts.alias("parts")), words, percent, pivots), "regions")
-        if cut.count() > 1.5 * n_rows or round_ >= 6:
+        cut = stages(voronoi(rows.drop("bytes"), percent, pivots), f"cut-{round_}")
+        found = stages(found.unionByName(cut.where("linked").select(F.col("rep").alias("a"), F.col("k").alias("b"))), f"found-{round_}b")
+        # A ball that nothing outside it comes near is done, wherever its members lie.
+        alone = cut.groupBy("region").agg(F.bool_or("near").alias("near")).where("not near").select("region")
+        done = join_unique(cut.where("linked"), alone, ["region"], "left_semi").select("parent", "rep").distinct()
+        left = join_unique(cut, done, ["parent", "rep"], "left_anti")
+        # So is a region that is one component already.
+        joined = components(found).select(F.col("node").alias("rep"), "component")
+        known = join_unique(left.select("region", "rep"), joined, ["rep"]).withColumn("component", F.coalesce("component", "rep"))
+        open_ = known.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("region")
+        members = stages(join_unique(left, open_, ["region"], "left_semi").select("region", "parent", "rep", "n", "diff"), f"open-{round_}")
+        stages.drop(f"cut-{round_}", f"found-{round_}a", f"open-{round_ - 1}", f"found-{round_ - 1}b", f"sizes-{round_}")
+        if round_ >= ROUNDS or members.count() > 1.5 * n_rows:
             # Regions too tight for the windows to cut: every pair of their blocks once.
-            blocks = F.greatest(F.ceil(2 * F.col("members") / most), F.ceil(2 * F.col("bytes") / most_bytes), F.lit(2))
-            rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+            members = members.select(F.col("parent").alias("region"), "rep", "n", "diff").dropDuplicates(["region", "rep"])
+            size = members.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("diff")).alias("bytes"))
+            rows = join_unique(members, size, ["region"], "inner")
+            blocks = F.greatest(F.ceil(2 * F.col("members") / most), F.ceil(2 * F.col("bytes") / most_bytes), F.lit(1))
+            rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             region = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
-            return found.unionByName(regions_joined(rows.withColumn("region", region), words, percent))
-        found = found.unionByName(cut.where("within").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
-        members = cut.select("region", "doc_id", "text")
+            return found.unionByName(regions_joined(rows.withColumn("region", region), percent))
+        members = members.drop("parent")
 
 
 def jaccard_components(
@@ -430,38 +690,48 @@ def jaccard_components(
     the smallest doc_id reachable by links. Shingles and sets are compared by their
     64-bit hash. A document without words, or a null text, is linked with nothing
     and is its own component; each of the rows that repeat a doc_id with other words
-    belongs to the component of its own words. Null doc_ids are left out. Other
-    columns are not read; an empty table gives no rows.
+    belongs to the component of its own words. A row without doc_id is linked with
+    nothing and has a null component_id. Other columns are not read; an empty table
+    gives no rows.
     """
     found = _components(docs, words, percent, most, most_bytes, pivots, last)
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes: int, pivots: int, last: int) -> DataFrame:
-    """doc_id, hash of the text, n, component (null without words), component_id."""
-    ship(docs.sparkSession)
-    base = id_and_text(docs).where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
-    rows = stage(described(base, words, percent, widespread(base, words, last)), "described")
-    filled = rows.where("n > 0")
-    # A set is the node of the links; the first of its rows brings the text.
-    first = F.min(F.struct("doc_id", "hash")).alias("first")
-    classes = stage(filled.groupBy("set_id").agg(first).select("set_id", F.xxhash64("set_id").alias("rep"), "first.doc_id", "first.hash"), "classes")
-    own = classes.select("set_id", "rep", F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash"))
-    reps = join_unique(filled, own, ["set_id"], "inner").where("doc_id = first_id and hash = first_hash")
-    reps = stage(reps.select(F.col("rep").alias("doc_id"), "n", "cells", "counts").dropDuplicates(["doc_id"]), "reps")
-    families = components(family_edges(reps, percent, most))
+    """doc_id, hash of the text, n, component (null without words or doc_id), component_id."""
+    spark = docs.sparkSession
+    ship(spark)
+    stages = Stages(spark)
+    base = id_and_text(docs).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
+    rows = distinct_sets(described(base, words, percent, widespread(base, words, last, stages)))
+    # The number of a set: that of the row that has its cells.
+    rep = F.when(F.col("cells").isNotNull(), F.monotonically_increasing_id())
+    rows = stages(rows.withColumn("rep", rep), "rows")
+    reps = rows.where("cells is not null").select("rep", "n", "cells", "counts")
+    pairs = reps.agg(F.sum(F.octet_length("cells") / CELL)).first()[0] or 0
+    pairs = stages(shared_cells(reps, parts_for(spark, int(pairs), BUCKET), percent), "cells")
+    families = components(stages(family_edges(reps, pairs, most, percent, stages), "family-edges"))
     families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
-    families = stage(families.join(classes, "rep").select("rep", "region", "doc_id", "hash"), "families")
-    members = join_unique(base, families, ["doc_id", "hash"], "inner").select(F.col("rep").alias("doc_id"), "region", "text")
-    members = stage(members.dropDuplicates(["doc_id"]), "members")
-    joined = components(family_components(members, words, percent, most, most_bytes, pivots))
-    joined = joined.select(F.col("node").alias("rep"), "component")
-    of_class = classes.join(joined, "rep", "left").select("set_id", "doc_id", F.coalesce("component", "rep").alias("component"))
-    least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = join_unique(of_class.select("set_id", "component"), least, ["component"], "inner")
-    found = join_unique(rows.select("doc_id", "hash", "n", "set_id"), of_class, ["set_id"], "left")
-    # Texts without words have a set too, but no class.
-    return found.select("doc_id", "hash", "n", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+    stages.drop("cells", "crowded", "split-cells", "still-crowded", "family-edges")
+    dealt = family_rows(base, rows, families, most, most_bytes, stages)
+    joined = stages(joined_families(dealt, words, percent), "joined")
+    stages.drop("members", "family-sizes")
+    edges = joined.where("b is not null").select("a", "b")
+    large = joined.where("b is null").select("region", F.col("a").alias("rep"), "n", "diff")
+    if large.take(1):
+        edges = edges.unionByName(large_components(large, percent, most, most_bytes, pivots, stages))
+    linked = components(edges).select(F.col("node").alias("rep"), "component")
+    sets = rows.where("cells is not null").select("set_id", "rep").join(linked, "rep", "left")
+    sets = sets.select("set_id", F.coalesce("component", "rep").alias("component"))
+    every = join_unique(rows.select("doc_id", "hash", "n", "set_id"), sets, ["set_id"], "left")
+    every = every.withColumn("component", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component")))
+    every = stages(every.drop("set_id"), "linked")
+    least = every.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    found = join_unique(every, least, ["component"], "left")
+    found = Stages(spark)(found.select("doc_id", "hash", "n", "component", F.coalesce("component_id", "doc_id").alias("component_id")), "jaccard")
+    stages.clear()
+    return found
 
 
 def one_of_each(
@@ -470,11 +740,12 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component stays.
 
-    A document is a doc_id with one text; rows that repeat it whole stay together.
+    A document is a doc_id with one text; rows that repeat it whole stay together, and
+    so do rows without doc_id.
     """
     found = _components(docs, words, percent, most, most_bytes, pivots, last)
-    first = found.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "hash")).alias("d")).select("d.doc_id", "d.hash")
-    keep = first.unionByName(found.where("n = 0").select("doc_id", "hash").distinct())
+    first = found.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "hash")).alias("d")).select("d.doc_id", "d.hash")
+    keep = first.unionByName(found.where("component is null and doc_id is not null").select("doc_id", "hash").distinct())
     keep = keep.select(F.col("doc_id").alias("_keep"), F.col("hash").alias("_hash"))
     same = (docs["doc_id"] == keep["_keep"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == keep["_hash"])
     return docs.join(keep, same, "left_semi").unionByName(docs.where("doc_id is null"))

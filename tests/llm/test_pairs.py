@@ -68,8 +68,31 @@ def test_repeated_spans_by_brute_force(spark, options):
     assert got == sorted(repeated_spans([r[:2] for r in rows], 200))
 
 
+def test_a_common_passage_is_one_segment(spark):
+    """A low bound of segments does not turn a shared passage into its single strings."""
+    passage = " ".join(f"shared{i}" for i in range(110))
+    rows = [(i, f"{i} opens here {'a' * (i % 7)} {passage} {'b' * (i % 5)} and {i} ends", "en", "s", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    made = []
+    emit = spans.occurrences
+
+    def counted(candidates, length, with_bytes):
+        made.append(emit(candidates, length, with_bytes).count())
+        return emit(candidates, length, with_bytes)
+
+    results = []
+    spans.occurrences = counted
+    try:
+        for crowded in (20_000, 100):
+            results.append(sorted(tuple(r) for r in spans.repeated_spans(df, crowded=crowded).collect()))
+    finally:
+        spans.occurrences = emit
+    assert results[0] == results[1] == sorted(repeated_spans([r[:2] for r in rows], 200))
+    assert max(made[2:]) < 12 * max(made[:2])  # once 114 times as many
+
+
 def test_repeated_spans_of_awkward_rows(spark):
-    rows = [r for r in awkward() if len(r[1] or "") < 5000]
+    rows = awkward()
     got = sorted(tuple(r) for r in spans.repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == sorted(repeated_spans([r[:2] for r in rows], 200))
 
@@ -95,7 +118,7 @@ def documents():
 
 
 @pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
-@pytest.mark.parametrize("options", [{}, {"most": 3, "pivots": 2, "last": 40}, {"most": 10, "pivots": 3}])
+@pytest.mark.parametrize("options", [{}, {"most": 3, "pivots": 2, "last": 40}, {"most": 10, "pivots": 3}, {"most": 50, "most_bytes": 4_000}, {"most": 4, "most_bytes": 2_000}])
 def test_jaccard_components_by_brute_force(spark, words, percent, options):
     docs = documents()
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], SCHEMA).repartition(4)
@@ -108,7 +131,8 @@ def test_jaccard_components_by_brute_force(spark, words, percent, options):
 def test_repeated_rows_are_one_document(spark):
     rows = [(1, BASE, "en", "s", 0), (1, BASE, "en", "s", 0), (2, BASE + " x", "en", "s", 0), (None, BASE, "en", "s", 0)]
     found = ngram_join.jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (2, 1)]
+    # A row without doc_id is there, alone.
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in found) == [(0, 118, None), (1, 118, 1), (1, 118, 1), (2, 119, 1)]
 
 
 def test_one_of_each_group_stays(spark):
@@ -130,6 +154,53 @@ def test_texts_of_one_doc_id_keep_their_own_links(spark):
     assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(0, two + " z"), (1, one), (6, ""), (6, "")])
 
 
+def test_families_larger_than_a_task_are_cut_and_joined_exactly(spark):
+    """Clusters of near copies that drift away from each other, in several regions and rounds."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for cluster in range(6):
+        own = list(base)
+        for k in rng.choice(150, 9 * cluster, replace=False):
+            own[k] = f"c{cluster}x{k}"
+        for i in range(25):
+            w = list(own)
+            for k in rng.choice(150, rng.integers(0, 4), replace=False):
+                w[k] = f"d{cluster}x{i}x{k}"
+            docs.append((cluster * 100 + i, " ".join(w)))
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], SCHEMA)
+    want = jaccard_components(docs, 3, 90)
+    assert 6 < len({c for _, c in want.values()}) < 100
+    for options in ({"most": 12, "pivots": 2}, {"most": 40, "pivots": 3, "most_bytes": 30_000}):
+        found = ngram_join.jaccard_components(df, **options)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=12, unique=True), min_size=2, max_size=12))
+def test_differences_to_a_pivot_keep_distances(lists):
+    sets = [np.sort(np.array(s, np.uint64)) for s in lists]
+    diffs = [ngram_join.difference(s, sets[0]) for s in sets]
+    assert [set(d.tolist()) for d in diffs] == [set(s.tolist()) ^ set(sets[0].tolist()) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    plain, relative = ngram_join.Sets(sets), ngram_join.Sets(diffs, sizes)
+    plain.prepare()
+    relative.prepare()
+    some = np.arange(len(sets))
+    assert (plain.shared(some) == relative.shared(some)).all()
+    assert (ngram_join._balls(sets, 60) == ngram_join._balls(diffs, 60, sizes)).all()
+
+
+@pytest.mark.parametrize("bucket", [3, 1 << 20])
+def test_cells_with_several_documents(spark, monkeypatch, bucket):
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
+    rows = [(r, 10, b"".join(int(c).to_bytes(6, "little") for c in cells), b"") for r, cells in
+            ((1, (5, 9)), (2, (5, 8)), (70_000, (9, 4)), (70_001, (5, 1)), (1 << 34, (3, 2)), ((1 << 34) + 1, (2, 7)))]
+    df = spark.createDataFrame(rows, "rep long, n long, cells binary, counts binary")
+    found = sorted(tuple(r) for r in ngram_join.shared_cells(df, 2, 85).collect())
+    assert found == [(2, 1 << 34), (2, (1 << 34) + 1), (5, 1), (5, 2), (5, 70_001), (9, 1), (9, 70_000)]
+
+
 @pytest.mark.parametrize("cells", [0, 1 << 20])
 def test_regions_with_matrix_and_with_lists(monkeypatch, cells):
     monkeypatch.setattr(ngram_join, "DENSE_CELLS", cells)
