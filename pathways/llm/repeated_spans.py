@@ -6,8 +6,11 @@ to be compared within an anchor only. A run of neighbouring strings with one
 anchor is a segment. Anchors met once are done with. The segments of the others
 are counted, equal ones as one, and dealt into shards by anchor; in a shard the
 suffix array of all segments is induced, and its common prefixes tell which
-strings occur twice. An anchor with very many segments is cut further, into
-single strings that are counted by their bytes.
+strings occur twice. A passage that very many texts share makes equal segments, so one;
+an anchor with very many different segments is cut again by longer anchors, at last by
+the strings themselves.
+
+A text that occurs twice goes whole, and its marks are made once by a task.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from .suffixes import common_prefixes, suffix_array
 LENGTH = 200
 ANCHOR = 32
 SHARD_BYTES = 1 << 21
-# Segments of an anchor beyond which its strings are counted one by one.
+# Different segments of an anchor beyond which longer anchors cut them again.
 CROWDED = 20_000
+# Texts that a task remembers to have marked.
+REMEMBERED = 200_000
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 
@@ -98,37 +103,54 @@ def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _cut(data: bytes, start: int, n: int, anchor: int, crowded: bool, length: int):
-    """(anchor, first start, segment) of a run, or of each of its strings where the anchor is crowded."""
-    if not crowded:
-        yield anchor, start, data[start : start + n + length - 1]
-        return
-    for s in range(start, start + n):
-        string = data[s : s + length]
-        yield int.from_bytes(_digest(string)[:8], "little", signed=True), s, string
+MARK = "id long, start long, n long, anchor long, digest long"
 
 
 def marked(texts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """id, start, n, anchor of every run of string starts."""
+    """id, start, n, anchor, digest (of the segment) of every run of string starts.
+
+    ``texts`` has id, text and within, the runs (start, n) to look at, null for the whole
+    text. Equal ids have equal texts; a task marks them once.
+    """
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "start", "n", "anchor"]
+        names = ["id", "start", "n", "anchor", "digest"]
+        done: set[int] = set()
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             held = 0
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                first, n, least = anchors(np.frombuffer(text.encode(), np.uint8), length, anchor)
-                if len(first):
-                    for column, values in zip(out, (np.full(len(first), id_, np.int64), first, n, least)):
+            for id_, text, within in zip(*(c.to_pylist() for c in batch.columns)):
+                if id_ in done:
+                    continue
+                if len(done) < REMEMBERED:
+                    done.add(id_)
+                data = np.frombuffer(text.encode(), np.uint8)
+                for begin, end in [(0, len(data))] if within is None else [(r["start"], r["start"] + r["n"] + length - 1) for r in within]:
+                    own = data[begin:end]
+                    first, n, least = anchors(own, length, anchor)
+                    if not len(first):
+                        continue
+                    digest = mix(substrings(running(own), first, first + n + length - 1)).view(np.int64)
+                    # Anchors of another length are other anchors.
+                    least = mix(least.view(np.uint64) + np.uint64(anchor)).view(np.int64)
+                    for column, values in zip(out, (np.full(len(first), id_, np.int64), first + begin, n, least, digest)):
                         column.append(values)
                     held += len(first)
                 if held > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
-                    out, held = [[], [], [], []], 0
+                    out, held = [[], [], [], [], []], 0
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
-    return texts.select("id", "text").mapInArrow(mark, "id long, start long, n long, anchor long")
+    return texts.select("id", "text", "within").mapInArrow(mark, MARK)
+
+
+def shared_runs(marks: DataFrame, crowded: int) -> DataFrame:
+    """id, runs: the runs whose anchor is met elsewhere too, and whether it has many different segments."""
+    each = marks.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"))
+    met = each.groupBy("anchor").agg(F.sum("n").alias("met"), F.count(F.lit(1)).alias("kinds")).where("met > 1")
+    run = F.struct("start", "n", "anchor", (F.col("kinds") > crowded).alias("crowded"))
+    return join_unique(marks, met, ["anchor"], "inner").groupBy("id").agg(F.collect_set(run).alias("runs"))
 
 
 def occurrences(candidates: DataFrame, length: int, with_bytes: bool) -> DataFrame:
@@ -143,8 +165,8 @@ def occurrences(candidates: DataFrame, length: int, with_bytes: bool) -> DataFra
             for id_, times, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
                 for r in runs:
-                    for key, start, segment in _cut(data, r["start"], r["n"], r["anchor"], r["crowded"], length):
-                        out.append((key, _digest(segment), *((times, segment) if with_bytes else (id_, start))))
+                    segment = data[r["start"] : r["start"] + r["n"] + length - 1]
+                    out.append((r["anchor"], _digest(segment), *((times, segment) if with_bytes else (id_, r["start"]))))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                     out = []
@@ -195,24 +217,24 @@ def cut_texts(candidates: DataFrame, length: int) -> DataFrame:
     return candidates.mapInArrow(cut, "id long, n_removed long, n_spans long, kept binary")
 
 
+RUNS = "array<struct<start:long,n:long,anchor:long,crowded:boolean>>"
+WITHIN = "array<struct<start:long,n:long>>"
+
+
 def candidate_texts(docs: DataFrame, base: DataFrame, texts: DataFrame, length: int, anchor: int, crowded: int) -> DataFrame:
     """id, times, text, runs: each text with runs whose anchor is met elsewhere too, written."""
     spark = docs.sparkSession
     path = scratch_path(spark, "marks")
     # Marks go by a hash of the text; equal texts give equal marks.
-    long_ = id_and_text(docs).where(F.octet_length("text") >= length).select(F.xxhash64("text").alias("id"), "text")
+    long_ = id_and_text(docs).where(F.octet_length("text") >= length).select(F.xxhash64("text").alias("id"), "text", F.lit(None).cast(WITHIN).alias("within"))
     marked(long_, length, anchor).write.option("compression", "zstd").parquet(path)
-    marks = spark.read.schema("id long, start long, n long, anchor long").parquet(path)
-    shared = marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    run = F.struct("start", "n", "anchor", (F.col("met") > crowded).alias("crowded"))
-    runs = join_unique(marks, shared, ["anchor"], "inner").groupBy(F.col("id").alias("tid")).agg(F.collect_set(run).alias("runs"))
+    runs = shared_runs(spark.read.schema(MARK).parquet(path), crowded).withColumnRenamed("id", "tid")
     listed_path = scratch_path(spark, "runs")
     runs.join(texts, "tid").drop("tid").write.option("compression", "zstd").parquet(listed_path)
-    del runs, shared
+    del runs
     remove(spark, path)
     release(spark)
-    kinds = "array<struct<start:long,n:long,anchor:long,crowded:boolean>>"
-    listed = spark.read.schema(f"runs {kinds}, sha string, id long, times long, rep long").parquet(listed_path)
+    listed = spark.read.schema(f"runs {RUNS}, sha string, id long, times long, rep long").parquet(listed_path)
     # Each text is fetched once, from the row of its least doc_id.
     own = base.withColumn("rep", F.coalesce("doc_id", F.lit(-(1 << 62))))
     listed = listed.withColumn("rep", F.coalesce("rep", F.lit(-(1 << 62))))
@@ -220,7 +242,19 @@ def candidate_texts(docs: DataFrame, base: DataFrame, texts: DataFrame, length:
     path = scratch_path(spark, "candidates")
     found.write.option("compression", "zstd").parquet(path)
     remove(spark, listed_path)
-    return spark.read.schema(f"id long, times long, text string, runs {kinds}").parquet(path)
+    return spark.read.schema(f"id long, times long, text string, runs {RUNS}").parquet(path)
+
+
+def cut_finer(candidates: DataFrame, length: int, anchor: int, crowded: int) -> DataFrame:
+    """The candidates with longer anchors in the runs whose anchor is crowded, written."""
+    many = candidates.where(F.exists("runs", lambda r: r["crowded"]))
+    within = F.filter("runs", lambda r: r["crowded"])
+    within = F.transform(within, lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n")))
+    marks = stage(marked(many.select("id", "text", within.alias("within")), length, anchor), "finer-marks")
+    finer = shared_runs(marks, crowded).select("id", F.col("runs").alias("finer"))
+    kept = F.filter("runs", lambda r: ~r["crowded"])
+    runs = F.concat(kept, F.coalesce("finer", F.array().cast(RUNS)))
+    return stage(candidates.join(finer, "id", "left").select("id", "times", "text", runs.alias("runs")), "candidates")
 
 
 def repeated_spans(
@@ -245,23 +279,28 @@ def repeated_spans(
     first = (F.min("row").alias("id"), F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("rep"))
     texts = stage(rows.groupBy("sha", "tid").agg(*first), "texts")
     candidates = candidate_texts(docs, base, texts, length, anchor, crowded)
+    for longer in ((anchor + length) // 2, length):
+        # At last every string is its own anchor, which has no two segments.
+        if candidates.where(F.exists("runs", lambda r: r["crowded"])).take(1):
+            candidates = cut_finer(candidates, length, longer, crowded)
     release(spark)
     total = F.sum(F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["n"] + F.lit(length)))
     shards = max(1, -(-(candidates.agg(total).first()[0] or 0) // shard_bytes))
     verdicts = stage(judged(occurrences(candidates, length, True), shards, length), "verdicts")
     release(spark)
-    places = occurrences(candidates, length, False).join(verdicts, ["anchor", "segment_id"])
+    places = join_unique(occurrences(candidates, length, False), verdicts, ["anchor", "segment_id"], "inner")
     shifted = F.transform("runs", lambda r: F.struct((r["first"] + F.col("start")).alias("first"), (r["last"] + F.col("start")).alias("last")))
     spans = places.groupBy("id").agg(F.flatten(F.collect_list(shifted)).alias("spans"))
     cut = cut_texts(candidates.select("id", "text").join(spans, "id"), length)
     cut = cut.select("id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    of_text = texts.join(cut, "id", "left").select("sha", "tid", "n_removed", "n_spans", "kept_sha256")
+    of_text = texts.join(cut, "id", "left").select("sha", "tid", "times", "n_removed", "n_spans", "kept_sha256")
     done = join_unique(rows, of_text, ["sha", "tid"], "inner")
-    none = F.lit(0).cast("long")
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    whole = (F.col("times") > 1) & (F.col("n_bytes") >= length)
     return done.select(
         "doc_id",
         "n_bytes",
-        F.coalesce("n_removed", none).alias("n_removed"),
-        F.coalesce("n_spans", none).alias("n_spans"),
-        F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", none)).alias("n_removed"),
+        F.when(whole, one).otherwise(F.coalesce("n_spans", none)).alias("n_spans"),
+        F.when(whole, hashlib.sha256().hexdigest()).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
