@@ -21,17 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import ngram_join
 from .common import id_and_text, ship, stage
+from .encoder import Remembered
 
 FOLDS = 5
-# Near copies: five-word shingles of this Jaccard similarity or more, linked transitively.
-NEAR_WORDS = 5
-NEAR_PERCENT = 80
-# Labelled rows that the lexicon and the curve are learnt from, at most.
+# Labelled rows that the lexicon and the curve are learnt from, at most. They also bound
+# the lexicon and the exceptions, which hold every pattern and phrase that passes the tests.
 TRAINING_ROWS = 40_000
-LEXICON = 5_000
-EXCEPTIONS = 2_000
+# Chunks and words that a worker remembers; others are worked out anew.
+REMEMBERED = 300_000
 # A pattern occurs in this many toxic documents, or in fewer where these are few.
 LEAST_DOCUMENTS = 6
 LEAST_WEIGHT = 2.0
@@ -56,14 +54,24 @@ _LED = re.compile(r"(?<![\w@$!])[0134578@$]+[^\W\d_][\w@$]*")
 _BREAK = re.compile(r"[\W\d_]+")
 
 
-def fold(text: str) -> str:
-    """Lower-case words between single spaces, one space first and last."""
-    if not text.isascii():
-        text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower().translate(_HOMOGLYPHS)
+def _fold_chunk(chunk: str) -> str:
+    if not chunk.isascii():
+        chunk = _INVISIBLE.sub("", unicodedata.normalize("NFKC", chunk)).lower().translate(_HOMOGLYPHS)
     else:
-        text = text.lower()
+        chunk = chunk.lower()
     replace = lambda m: m[0].translate(_SUBSTITUTES)
-    return f" {_BREAK.sub(' ', _LED.sub(replace, _MIXED.sub(replace, text))).strip()} "
+    return _BREAK.sub(" ", _LED.sub(replace, _MIXED.sub(replace, chunk))).strip()
+
+
+_CHUNKS = Remembered(_fold_chunk, REMEMBERED)
+
+
+def fold(text: str) -> str:
+    """Lower-case words between single spaces, one space first and last.
+
+    No folding reaches over white space, so chunks between white space fold alone.
+    """
+    return f" {' '.join(filter(None, map(_CHUNKS.__getitem__, text.split())))} "
 
 
 def features(word: str) -> list[str]:
@@ -108,9 +116,8 @@ def matched(automaton: ahocorasick.Automaton, folded: str) -> dict[int, float]:
     return found
 
 
-def density(automaton: ahocorasick.Automaton, text: str) -> float:
+def density(automaton: ahocorasick.Automaton, folded: str) -> float:
     """Matched weight for each word, with ten words more so that few words weigh less."""
-    folded = fold(text)
     return sum(matched(automaton, folded).values()) / (folded.count(" ") - 1 + 10)
 
 
@@ -119,47 +126,50 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """text, toxic of at most ``most`` labelled documents outside the held-out fifth.
+    """folded, toxic of at most ``most`` labelled documents outside the held-out fifth.
 
     The documents are those of the smallest hashes of doc_id, so the choice does
-    not depend on their order. Near copies with one label count once: of each
-    component of the exact Jaccard join over these rows the text of the smallest
-    doc_id stays, and one of the texts without words. All others stay.
+    not depend on their order. Texts that fold alike count once for each label, near
+    copies each time. Texts are folded here once, and dealt out evenly.
     """
+    spark = docs.sparkSession
     rows = labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id"))
     rows = rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = stage(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labels")
     chosen = chosen.select(F.col("doc_id").alias("_labelled"), "toxic")
-    texts = id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
-    # A doc_id may have several texts; rows are told apart by a number of their own.
-    texts = stage(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "toxic"), "labelled")
-    near = ngram_join.jaccard_components(texts.select(F.col("row").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
-    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
-    texts = texts.join(near.select(F.col("doc_id").alias("row"), group.alias("near")), "row")
-    texts = texts.groupBy("near", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d"))
-    return stage(texts.select("d.text", "toxic"), "training")
+    texts = id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled")).select("text", "toxic")
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([fold(t) for t in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([found, batch.column(1)], names=["folded", "toxic"])
+
+    texts = texts.mapInArrow(folded, "folded string, toxic int")
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return stage(texts.dropDuplicates(["folded", "toxic"]).repartition(parts), "training")
 
 
 def _odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
 
 
-def _counted(texts: DataFrame, of_text, least: int = 1) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Documents of either label that each feature occurs in; rarer features are left out."""
+def _counted(texts: DataFrame, of_text, where: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Features with the toxic and clean documents that each occurs in, of those that pass ``where``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        find = of_text()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                met[toxic > 0].update(of_text(text))
+                met[toxic > 0].update(find(text))
         names = list(met[0].keys() | met[1].keys())
         columns = [pa.array(names, pa.string()), *(pa.array([m[f] for f in names], pa.int64()) for m in met)]
         yield pa.RecordBatch.from_arrays(columns, names=["feature", "clean", "toxic"])
 
-    counts = texts.select("text", "toxic").mapInArrow(count, "feature string, clean long, toxic long")
+    counts = texts.select("folded", "toxic").mapInArrow(count, "feature string, clean long, toxic long")
     counts = counts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # What remains is bounded by the words of the training rows.
-    found = counts.where((F.col("toxic") >= least) | (F.col("feature") == "")).toArrow()
+    # Bounded by the words of the training rows.
+    found = counts.where(where).toArrow()
     return found["feature"].to_pylist(), found["toxic"].to_numpy().astype(float), found["clean"].to_numpy().astype(float)
 
 
@@ -172,33 +182,48 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Lexi
     if not n_toxic or not n_clean:
         return Lexicon({}, ())
 
-    def words(text: str) -> set[str]:
-        return {f for w in set(fold(text).split()) for f in features(w)}
+    # Patterns of the toxic texts first; the clean ones are searched for these only.
+    def words():
+        found = Remembered(features, REMEMBERED)
+        return lambda text: {f for w in set(text.split()) for f in found[w]}
+
+    least = max(2, min(LEAST_DOCUMENTS, n_toxic // 20))
+    names, toxic, _ = _counted(texts.where("toxic > 0"), words, f"toxic >= {least}")
+    listed = frozenset(names)
 
-    names, toxic, clean = _counted(texts, words, max(2, min(LEAST_DOCUMENTS, n_toxic // 20)))
+    def listed_words():
+        found = Remembered(lambda w: [f for f in features(w) if f in listed], REMEMBERED)
+        return lambda text: {f for w in set(text.split()) for f in found[w]}
+
+    met, _, n = _counted(texts.where("toxic <= 0"), listed_words, "clean > 0")
+    clean_of = dict(zip(met, n.tolist()))
+    clean = np.array([clean_of.get(f, 0.0) for f in names])
     weight = _odds(toxic, clean, n_toxic, n_clean)
-    order = sorted(np.flatnonzero(weight >= LEAST_WEIGHT).tolist(), key=lambda i: (-weight[i], names[i]))[:LEXICON]
-    weights = {names[i]: float(weight[i]) for i in order}
-    automaton = Lexicon(weights, ()).automaton()
+    weights = {names[i]: float(weight[i]) for i in np.flatnonzero(weight >= LEAST_WEIGHT).tolist()}
 
-    def phrases(text: str) -> set[str]:
+    def phrases():
         """Matched words, alone where only a beginning matched, and with a neighbour."""
-        folded, out = fold(text), set()
-        for start in matched(automaton, folded):
-            word = folded[start + 1 : folded.index(" ", start + 1)]
-            before = folded[:start].rpartition(" ")[2]
-            after = folded[start + 1 + len(word) :].split(maxsplit=1)[:1]
-            if f" {word} " not in weights:
-                out.add(word)
-            if before:
-                out.add(f"{before} {word}")
-            if after:
-                out.add(f"{word} {after[0]}")
-        return out
-
-    names, toxic, clean = _counted(texts, phrases, 0)
-    harmless = np.flatnonzero((clean >= 3) & (_odds(toxic, clean, n_toxic, n_clean) <= 0))
-    exceptions = tuple(names[i] for i in sorted(harmless.tolist(), key=lambda i: (-clean[i], names[i]))[:EXCEPTIONS])
+        automaton = Lexicon(weights, ()).automaton()
+
+        def find(folded: str) -> set[str]:
+            out = set()
+            for start in matched(automaton, folded):
+                word = folded[start + 1 : folded.index(" ", start + 1)]
+                before = folded[folded.rfind(" ", 0, start) + 1 : start]
+                after = folded[start + 2 + len(word) : folded.find(" ", start + 2 + len(word))]
+                if f" {word} " not in weights:
+                    out.add(word)
+                if before:
+                    out.add(f"{before} {word}")
+                if after:
+                    out.add(f"{word} {after}")
+            return out
+
+        return find
+
+    names, toxic, clean = _counted(texts, phrases, "clean >= 3")
+    harmless = np.flatnonzero(_odds(toxic, clean, n_toxic, n_clean) <= 0)
+    exceptions = tuple(sorted(names[i] for i in harmless.tolist()))
     lexicon = Lexicon(weights, exceptions)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +232,11 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Lexi
             x = [density(automaton, t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1)], names=["x", "toxic"])
 
-    # One pair of numbers for each training row, whose number is bounded.
-    pairs = texts.select("text", "toxic").mapInArrow(measured, "x double, toxic int").toArrow()
-    slope, offset = logistic(pairs["x"].to_numpy(), (pairs["toxic"].to_numpy() > 0).astype(float))
+    # One pair of numbers for each training row, whose number is bounded; in an order of their own.
+    pairs = texts.select("folded", "toxic").mapInArrow(measured, "x double, toxic int").toArrow()
+    x, y = pairs["x"].to_numpy(), (pairs["toxic"].to_numpy() > 0).astype(float)
+    order = np.lexsort((y, x))
+    slope, offset = logistic(x[order], y[order])
     return Lexicon(weights, exceptions, slope, offset)
 
 
