@@ -52,12 +52,7 @@ def encode_documents(docs: DataFrame, path: str, tokenizer: str, end_id: int, co
                 starts = before + np.cumsum(lengths) - lengths
                 before += int(lengths.sum())
                 if count:
-                    for b in ids:
-                        found = np.frombuffer(b, enc.dtype)
-                        if len(found) > 4096:
-                            total += np.bincount(found, minlength=len(total))
-                        else:
-                            np.add.at(total, found, 1)
+                    total += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=len(total))
                 yield rows(batch.column(0), starts, lengths, ids, [None] * len(ids))
         if count and before:
             yield rows(pa.array([None], pa.int64()), [before], [0], [None], [total.tobytes()])
