@@ -2,11 +2,13 @@
 
 The key of a text is the 64-bit hash of its normalised form. The directory maps
 the leading bits of a key to a bucket; it is doubled, one more bit at a time,
-until no bucket holds more distinct keys than its capacity. Entries are written
-in key order by owner tasks, each of which holds a range of buckets. Texts with
-one key form a chain; they are told apart by their bytes. Copies are combined in
-the task that reads them before anything is shuffled, so a text that makes up a
-third of all rows arrives as one row for each task.
+until no bucket holds more distinct keys than its capacity. Buckets belong in
+ranges to owner tasks. A key that one row has needs no look at its text; the texts
+of the others go to the owner of their bucket, which walks the chain of each key and
+compares bytes. What it finds equal is one entry, with the smallest doc_id and the
+number of rows. Copies are combined by the task that read them before they go to
+their owner, so a text that makes up a third of all rows arrives as one row for each
+task.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pathways.functions.skew import join_unique
+
 from .common import SPACE, id_and_text, stage
 
 KEY_BITS = 64
@@ -61,6 +65,28 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, bits: int = KEY_BITS) -
     return slots.select("slot", "local_depth", start.alias("bucket")), depth
 
 
+def same_text(a: Column, b: Column) -> Column:
+    """Both are there and equal byte for byte."""
+    return F.coalesce(a == b, F.lit(False))
+
+
+def chained(entries: DataFrame) -> DataFrame:
+    """bucket, key, chain, keep_id, group_size, sha of (owner, bucket, key, norm, keep_id, group_size).
+
+    An owner has all entries of its buckets. It walks those of a key in the order of
+    their texts; an entry that differs from the one before begins the next link of the
+    chain, an equal one joins its link.
+    """
+    walk = Window.partitionBy("owner", "bucket", "key").orderBy("norm")
+    differs = ~same_text(F.lag("norm").over(walk), F.col("norm"))
+    links = entries.repartition("owner").withColumn("differs", differs.cast("bigint"))
+    links = links.withColumn("chain", F.sum("differs").over(walk.rowsBetween(Window.unboundedPreceding, 0)))
+    found = links.groupBy("owner", "bucket", "key", "chain").agg(
+        F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.min(F.sha2("norm", 256)).alias("sha")
+    )
+    return found.drop("owner")
+
+
 def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, bits: int = KEY_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain.
 
@@ -72,23 +98,19 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, bits: int = KEY_
     """
     text = normalised("text")
     base = id_and_text(docs)
-    hashed = base.select("doc_id", text.alias("norm")).withColumn("key", key_of(F.col("norm"), bits))
+    hashed = base.select("doc_id", text.alias("norm"), F.spark_partition_id().alias("task")).withColumn("key", key_of(F.col("norm"), bits))
     keys = stage(hashed.select("doc_id", "key", F.sha2("norm", 256).alias("sha")), "keys")
-    slots, depth = directory(keys.select("key").distinct(), capacity, bits)
-    # Texts are compared here, as grouping keys beside their hash.
-    texts = (
-        hashed.groupBy("key", "norm")
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", "keep_id", "group_size", F.sha2("norm", 256).alias("sha"))
-        .withColumn("slot", slot_of("key", depth))
-        .join(slots, "slot")
-        .drop("slot")
-    )
-    entries = stage(texts, "entries")
-    # Owner tasks: each takes a range of buckets and chains the texts of a key.
-    order = Window.partitionBy("bucket", "key").orderBy(F.col("keep_id").asc_nulls_last(), "sha")
-    owned = entries.repartitionByRange("bucket", "key").withColumn("chain", F.row_number().over(order))
-    index = stage(owned.sortWithinPartitions("bucket", "key", "chain"), "index")
+    held = keys.groupBy("key").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
+    held = stage(held, "distinct-keys")
+    slots, depth = directory(held.select("key"), capacity, bits)
+    placed = stage(held.withColumn("slot", slot_of("key", depth)).join(slots, "slot").drop("slot", "local_depth"), "placed")
+    alone = placed.where("group_size = 1").withColumn("chain", F.lit(1).cast("bigint"))
+    owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owner = F.shiftright(F.col("bucket") * owners, depth).alias("owner")
+    several = placed.where("group_size > 1").select("key", "bucket", owner)
+    met = join_unique(hashed, several, ["key"], "inner")
+    copies = met.groupBy("owner", "bucket", "key", "norm", "task").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    index = stage(alone.unionByName(chained(copies).select(*alone.columns)), "index")
     found = keys.join(index, ["key", "sha"])
     return found.select(
         "doc_id",

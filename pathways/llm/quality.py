@@ -27,13 +27,14 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= part / whole <= high``; a row whose whole is 0 passes."""
+    """``low <= part / whole <= high``; a row whose whole is 0, or less than ``least``, passes."""
 
     name: str
     part: str
     whole: str | None = None
     low: float | None = None
     high: float | None = None
+    least: int = 1
 
     def passes(self) -> Column:
         part = F.col(self.part)
@@ -45,14 +46,15 @@ class Rule:
         if self.high is not None:
             tests.append(part <= F.lit(self.high) * whole)
         test = reduce(lambda a, b: a & b, tests)
-        return test if self.whole is None else (whole == 0) | test
+        return test if self.whole is None else (whole < self.least) | test
 
 
 RULES = (
     Rule("words", "n_words", low=10, high=10_000_000),
     Rule("word_length", "word_chars", "n_words", low=2, high=15),
     Rule("symbols", "n_symbols", "n_words", high=0.25),
-    Rule("stop_words", "n_stop_words", "n_words", low=0.02),
+    # Fewer words than this may well have no common one among them.
+    Rule("stop_words", "n_stop_words", "n_words", low=0.02, least=30),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("cut_lines", "n_cut_lines", "n_lines", high=0.5),
     Rule("capitals", "n_capital_runs", "n_words", high=0.4),

@@ -29,7 +29,7 @@ def _rules() -> str:
         if r.high is not None:
             bounds.append(f"{r.part} <= CAST({r.high} AS DOUBLE) * {whole}")
         test = " AND ".join(bounds)
-        tests.append(f"({test})" if r.whole is None else f"({whole} = 0 OR ({test}))")
+        tests.append(f"({test})" if r.whole is None else f"({whole} < {r.least} OR ({test}))")
     return " AND ".join(tests)
 
 

@@ -53,6 +53,22 @@ def test_exact_duplicates_by_brute_force(spark, docs, options):
         assert found.select("bucket").distinct().count() > 4
 
 
+def test_the_chain_tells_texts_apart(spark, docs, monkeypatch):
+    """Without the comparison of bytes in the chain, texts of one key become one."""
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    monkeypatch.setattr(exact_dedup, "same_text", lambda a, b: F.coalesce(F.length(a) >= 0, F.lit(False)))
+    found = exact_dedup.exact_duplicates(docs, capacity=2, bits=3)
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) != expected_groups(awkward())
+
+
+def test_owners_read_repeated_keys_only_and_need_no_further_exchange(spark, docs):
+    entries = spark.createDataFrame([(0, 0, 5, "a", 1, 1), (0, 0, 5, "b", 2, 3), (0, 0, 5, "a", 0, 2)], "owner long, bucket long, key long, norm string, keep_id long, group_size long")
+    chained = exact_dedup.chained(entries)
+    assert sorted((r.keep_id, r.group_size, r.chain) for r in chained.collect()) == [(0, 3, 1), (2, 3, 2)]
+    plan = chained._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
 def test_directory_doubles_until_buckets_fit(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
     slots, depth = exact_dedup.directory(keys, capacity=90)
@@ -116,7 +132,7 @@ def test_rules_keep_prose_and_reject_junk(spark):
         "Buy### now$$$ cheap%%% the best&&& of*** all%%% to### us$$$ and&&& me*** it###",
         "THIS IS THE ONLY TEXT THAT SHOUTS AT ALL OF US AND IT IS NOT TO BE READ BY ANY",
         "\n".join(f"home{i} the and of |" for i in range(9)),
-        "zx qj wv kp fg hj lm nb vc xz ax df gh jk lq wq rt yu op",
+        " ".join(["zx qj wv kp fg hj lm nb vc xz ax df gh jk lq wq rt yu op"] * 2).replace("zx", "zy", 1),
         "a b",
         None,
     ]
@@ -124,6 +140,14 @@ def test_rules_keep_prose_and_reject_junk(spark):
     assert kept == [True, False, False, False, False, False, False]
 
 
+def test_few_words_need_no_common_one(spark):
+    """From 30 words on there must be common ones; of 29 there need be none."""
+    word = lambda i: "".join(chr(98 + (i * k + k) % 20) for k in range(1, 6)) + "x"
+    texts = [" ".join(word(i) for i in range(n)) for n in (10, 29, 30, 60)]
+    kept = [r.kept for r in quality.quality(table(spark, [*texts, texts[3] + " and the"])).orderBy("doc_id").collect()]
+    assert kept == [True, True, False, False, True]
+
+
 def test_rules_need_no_shuffle_and_no_python(spark, docs):
     plan = quality.quality(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
