@@ -57,8 +57,8 @@ WIDESPREAD = 1 << 17
 MOST = 8_000
 PIVOT_BATCH = 64
 # Largest matrix of a region, in cells of four bytes.
-DENSE_CELLS = 1 << 23
-MOST_BYTES = 8 << 20
+DENSE_CELLS = 1 << 22
+MOST_BYTES = 4 << 20
 PIVOTS = 8
 PART_ROWS = 500
 BATCH_BYTES = 1 << 21
@@ -515,6 +515,16 @@ def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int
     return found.select("region", F.explode("each").alias("part"), "kind", "rep", "whole", "text")
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
+    """region, part, rep, whole and the set of each row; few texts at a time."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(5)).to_numpy(zero_copy_only=False).tolist()
+        for a, b in slices(sizes, BATCH_BYTES):
+            own = batch.slice(a, b - a)
+            sets = shingle_sets(own.column(5).to_pylist(), words)
+            yield from zip(*(own.column(k).to_pylist() for k in (0, 1, 3, 4)), sets)
+
+
 def joined_families(dealt: DataFrame, words: int, percent: int) -> DataFrame:
     """region, a, b, n, diff: links of the small families; of large ones each document's difference to the pivot.
 
@@ -534,31 +544,28 @@ def joined_families(dealt: DataFrame, words: int, percent: int) -> DataFrame:
             ids.clear()
             sets.clear()
 
-        for batch in batches:
-            texts = batch.column(5).to_pylist()
-            found = [s for a, b in slices([len(t) for t in texts], BATCH_BYTES) for s in shingle_sets(texts[a:b], words)]
-            for region, part, rep, whole, s in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), found):
-                if key != (region, part):
-                    links()
-                    key, pivot, before = (region, part), None, None
-                if rep == before:
-                    continue
-                before = rep
-                if whole:
-                    ids.append(rep)
-                    sets.append(s)
+        for region, part, rep, whole, s in _with_sets(batches, words):
+            if key != (region, part):
+                links()
+                key, pivot, before = (region, part), None, None
+            if rep == before:
+                continue
+            before = rep
+            if whole:
+                ids.append(rep)
+                sets.append(s)
+                continue
+            if pivot is None:  # the pivot leads every part; one of them sends it on
+                pivot = s
+                if part:
                     continue
-                if pivot is None:  # the pivot leads every part; one of them sends it on
-                    pivot = s
-                    if part:
-                        continue
-                diff = difference(s, pivot).tobytes()
-                out.append((region, rep, None, len(s), diff))
-                held += len(diff)
-                if held > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-                    out.clear()
-                    held = 0
+            diff = difference(s, pivot).tobytes()
+            out.append((region, rep, None, len(s), diff))
+            held += len(diff)
+            if held > 1 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                out.clear()
+                held = 0
         links()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
