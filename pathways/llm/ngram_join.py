@@ -80,14 +80,22 @@ def class_counts(shingles: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes()
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of rows whose texts, in column ``text``, have ``most`` bytes together, or of one row."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).tolist()
+        for a, b in slices(sizes, most):
+            yield batch.slice(a, b - a)
+
+
 def widespread(docs: DataFrame, words: int, most: int, stages: Stages) -> np.ndarray:
     """Sorted shingles met most often, ``most`` of them; the result does not depend on them.
 
-    Only shingles found in three or more different texts of one batch are counted.
+    Only shingles found in three or more different texts of one stretch of rows are counted.
     """
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, 0, 4 * BATCH_BYTES):
             texts = list(dict.fromkeys(batch.column(0).to_pylist()))
             sets = [s for a, b in slices([len(t) for t in texts], BATCH_BYTES) for s in shingle_sets(texts[a:b], words)]
             all_ = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
@@ -129,36 +137,34 @@ def described(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Da
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late, sent, number = known.value, set(), 0
-        for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for a, b in slices([len(t) for t in texts], BATCH_BYTES):
-                sizes, digests, cells, counts, deal = [], [], [], [], []
-                for doc_id, s in zip(ids[a:b], shingle_sets(texts[a:b], words)):
-                    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    sizes.append(len(s))
-                    digests.append(digest)
-                    number += 1
-                    if not len(s) or doc_id is None or digest in sent:
-                        cells.append(None)
-                        counts.append(None)
-                        deal.append(int.from_bytes(digest[:6], "little") + number)
-                        continue
-                    if len(sent) < REMEMBERED:
-                        sent.add(digest)
-                    deal.append(int.from_bytes(digest[:7], "little"))
-                    counts.append(class_counts(s))
-                    if len(late):
-                        at = np.minimum(np.searchsorted(late, s), len(late) - 1)
-                        common = late[at] == s
-                        if common.any():
-                            s = np.concatenate((s[~common], s[common]))
-                    own = s[: prefix_length(len(s), percent) + 1]
-                    cells.append(own.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes())
-                columns = [
-                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(cells, pa.binary()), pa.array(counts, pa.binary()), pa.array(deal, pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts", "deal"])
+        for batch in _parts(batches, 1, BATCH_BYTES):
+            sizes, digests, cells, counts, deal = [], [], [], [], []
+            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words)):
+                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                sizes.append(len(s))
+                digests.append(digest)
+                number += 1
+                if not len(s) or doc_id is None or digest in sent:
+                    cells.append(None)
+                    counts.append(None)
+                    deal.append(int.from_bytes(digest[:6], "little") + number)
+                    continue
+                if len(sent) < REMEMBERED:
+                    sent.add(digest)
+                deal.append(int.from_bytes(digest[:7], "little"))
+                counts.append(class_counts(s))
+                if len(late):
+                    at = np.minimum(np.searchsorted(late, s), len(late) - 1)
+                    common = late[at] == s
+                    if common.any():
+                        s = np.concatenate((s[~common], s[common]))
+                own = s[: prefix_length(len(s), percent) + 1]
+                cells.append(own.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes())
+            columns = [
+                batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                pa.array(cells, pa.binary()), pa.array(counts, pa.binary()), pa.array(deal, pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "n", "set_id", "cells", "counts", "deal"])
 
     return docs.mapInArrow(describe, f"{ROW}, deal long")
 
@@ -517,12 +523,9 @@ def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int
 
 def _with_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
     """region, part, rep, whole and the set of each row; few texts at a time."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column(5)).to_numpy(zero_copy_only=False).tolist()
-        for a, b in slices(sizes, BATCH_BYTES):
-            own = batch.slice(a, b - a)
-            sets = shingle_sets(own.column(5).to_pylist(), words)
-            yield from zip(*(own.column(k).to_pylist() for k in (0, 1, 3, 4)), sets)
+    for batch in _parts(batches, 5, BATCH_BYTES):
+        sets = shingle_sets(batch.column(5).to_pylist(), words)
+        yield from zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)), sets)
 
 
 def joined_families(dealt: DataFrame, words: int, percent: int) -> DataFrame:
