@@ -20,13 +20,13 @@ _POWERS: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         made = []
         for base in (BASE, INVERSE):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
             made.append(np.cumprod(steps, dtype=np.uint64))
-        if size > 1 << 24:  # for one very long text only; not kept
+        if size > 1 << 21:  # for one very long text only; not kept
             return made[0][:n], made[1][:n]
         _POWERS[:] = made
     return _POWERS[0][:n], _POWERS[1][:n]

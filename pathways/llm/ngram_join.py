@@ -61,7 +61,8 @@ DENSE_CELLS = 1 << 22
 MOST_BYTES = 4 << 20
 PIVOTS = 8
 PART_ROWS = 500
-BATCH_BYTES = 1 << 21
+# Bytes of texts that are hashed together; each needs some fifty bytes of memory.
+BATCH_BYTES = 1 << 19
 # Bytes of a shingle's hash that name its cell.
 CELL = 6
 # Pairs of cell and document that are looked at together.
@@ -95,7 +96,7 @@ def widespread(docs: DataFrame, words: int, most: int, stages: Stages) -> np.nda
     """
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches, 0, 4 * BATCH_BYTES):
+        for batch in _parts(batches, 0, 16 * BATCH_BYTES):
             texts = list(dict.fromkeys(batch.column(0).to_pylist()))
             sets = [s for a, b in slices([len(t) for t in texts], BATCH_BYTES) for s in shingle_sets(texts[a:b], words)]
             all_ = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
