@@ -62,17 +62,20 @@ def apply_corrections(df: DataFrame, null_as_zero: bool = False) -> DataFrame:
     )
 
 
-def pathway_breakdown(report: DataFrame) -> DataFrame:
-    """Ready students by the pathways they met; unknown is a group of its own."""
+def pathway_flags(report: DataFrame) -> DataFrame:
+    """Ready students with the pathways they met, unknown where a count or score is missing."""
     taken = ["n_cambridge", "n_ap", "n_ib", "n_sdc", "n_ldc", "n_de", "clep"]
     epso = total_of(taken, null_as_zero=False)
     scores = (F.col("act_composite") >= ACT_READY) | (F.col("sat_total") >= SAT_READY)
-    return (
-        report.where(F.col("readiness") == "Y")
-        .groupBy(
-            scores.alias("pathway_act_sat"),
-            (epso >= EPSO_READY).alias("pathway_epso"),
-            (F.col("industry_cert") + epso >= EPSO_READY).alias("pathway_ic"),
-        )
-        .agg(F.count_distinct("student_key").alias("n"))
+    return report.where(F.col("readiness") == "Y").select(
+        "student_key",
+        scores.alias("pathway_act_sat"),
+        (epso >= EPSO_READY).alias("pathway_epso"),
+        (F.col("industry_cert") + epso >= EPSO_READY).alias("pathway_ic"),
     )
+
+
+def pathway_breakdown(report: DataFrame) -> DataFrame:
+    """Ready students by the pathways they met; unknown is a group of its own."""
+    flags = pathway_flags(report)
+    return flags.groupBy("pathway_act_sat", "pathway_epso", "pathway_ic").agg(F.count_distinct("student_key").alias("n"))

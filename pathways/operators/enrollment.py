@@ -33,7 +33,12 @@ def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame, join=join_
     their own counts, without adaptive execution.
     """
     periods = isp.withColumnRenamed("school_year", "isp_school_year")
-    assigned = (
+    return join(assigned_sections(sca, cs, join), periods, ["isp_id"], "inner")
+
+
+def assigned_sections(sca: DataFrame, cs: DataFrame, join=join_unique) -> DataFrame:
+    """Class assignments with their section, years and numbers told apart by side."""
+    return (
         join(sca, cs, SECTION_KEYS, "inner")
         .withColumn("cs_school_year", F.col("school_year"))
         .withColumnsRenamed(
@@ -41,7 +46,6 @@ def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame, join=join_
         )
         .drop("school_bu_id", "instructional_program_num")
     )
-    return join(assigned, periods, ["isp_id"], "inner")
 
 
 def with_institution(cs: DataFrame, colleges: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, else the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Folder every executor can reach: the one the cluster names, else the warehouse, which is told."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    logging.getLogger(__name__).warning("spark.checkpoint.dir names no shared folder; scratch files go to the warehouse, %s", warehouse)
+    return warehouse
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -42,12 +48,35 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its store."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    done = paths(path).getFileSystem(spark._jsc.hadoopConfiguration()).rename(paths(path), paths(to))
+    if not done:
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that are no longer referred to."""
     gc.collect()
     spark._jvm.System.gc()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back, so that it is the same at every reading.
+
+    For values that depend on how rows were dealt out, such as positions in a task.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Compute a frame that is read more than once only once.
 

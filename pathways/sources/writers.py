@@ -1,9 +1,13 @@
-"""Outputs. Each run or week gets its own partition; nothing is renamed."""
+"""Outputs. Each run or week gets its own partition."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from ..session import exists, remove, rename
+
 
 def write_versioned(df: DataFrame, path: str, run_id: str) -> str:
     """New partition for this run; earlier runs stay, the same run is refused."""
@@ -13,9 +17,26 @@ def write_versioned(df: DataFrame, path: str, run_id: str) -> str:
 
 
 def write_snapshot(df: DataFrame, path: str, date: str) -> str:
-    """Weekly snapshot; writing the same date again replaces it."""
-    target = f"{path.rstrip('/')}/snapshot_date={date}"
-    df.write.mode("overwrite").parquet(target)
+    """Weekly snapshot; writing the same date again replaces it.
+
+    The new files are written beside, in a folder that readers pass over, and take the
+    place of the old ones by renaming when they are complete. A run that was cut off
+    leaves the old snapshot: where it fell between the two renamings, the next writing of
+    that date puts the old one back first.
+    """
+    spark, folder = df.sparkSession, path.rstrip("/")
+    target = f"{folder}/snapshot_date={date}"
+    fresh, old = f"{folder}/_writing-{date}-{uuid.uuid4().hex}", f"{folder}/_replaced-{date}"
+    if exists(spark, old):
+        if exists(spark, target):
+            remove(spark, old)
+        else:
+            rename(spark, old, target)
+    df.write.parquet(fresh)
+    if exists(spark, target):
+        rename(spark, target, old)
+    rename(spark, fresh, target)
+    remove(spark, old)
     return target
 
 

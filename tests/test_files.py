@@ -58,6 +58,23 @@ def test_versions_stay_and_snapshots_are_replaced(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/s").count() == 2
 
 
+def test_a_run_that_fails_leaves_the_snapshot(spark, tmp_path):
+    folder, week = tmp_path / "s", "2019-01-04"
+    writers.write_snapshot(spark.range(3), str(folder), week)
+    with pytest.raises(Exception, match="cut off"):
+        writers.write_snapshot(spark.range(9).selectExpr("if(id > 7, raise_error('cut off'), id) AS id"), str(folder), week)
+    read = lambda: spark.read.parquet(str(folder)).where("snapshot_date = '2019-01-04'").count()
+    assert read() == 3
+    # Cut off between the renamings: the old snapshot is put back and then replaced.
+    (folder / f"snapshot_date={week}").rename(folder / f"_replaced-{week}")
+    writers.write_snapshot(spark.range(5), str(folder), week)
+    assert read() == 5 and not (folder / f"_replaced-{week}").exists()
+    # Cut off after the second: the new snapshot is there and the old one goes.
+    (folder / f"_replaced-{week}").mkdir()
+    writers.write_snapshot(spark.range(6), str(folder), week)
+    assert read() == 6 and not (folder / f"_replaced-{week}").exists()
+
+
 def test_table_sources(spark, tmp_path):
     spark.range(2).withColumnRenamed("id", "STUDENT_KEY").write.parquet(f"{tmp_path}/t")
     assert readers.read_table(spark, "t", str(tmp_path)).columns == ["student_key"]

@@ -1,7 +1,7 @@
 """Counts brought up to date from changes, against full runs."""
 
 from collections import Counter
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 import pytest
 from pyspark.sql import functions as F

@@ -1,4 +1,4 @@
-"""Changed tables counted incrementally, spells, and joins salted by measured keys."""
+"""Incremental counts, spells, measured salts, stored joins, digests of snapshots, row numbers and bitmaps."""
 
 from __future__ import annotations
 
@@ -13,12 +13,20 @@ from pathways.operators import cohort as H
 from pathways.operators import enrollment as E
 from pathways.operators import spells as S
 from pathways.plans import incremental as I
-from pathways.session import scratch_path
+from pathways.operators import asof as T
+from pathways.operators import audit as A
+from pathways.operators import bitmaps as M
+from pathways.operators import digests as G
+from pathways.operators import numbering as N
+from pathways.operators import report as R
+from pathways.plans import weekly as WK
+from pathways.session import scratch_path, stored
+from pathways.sources import bucketed as K
 
 from .course_sql import all_counts_ctes
 from .enrollment_queries import OPEN_SEGMENTS, SEGMENT, counted, enrollments
 from .registry import query
-from .report_queries import GRADUATES, WHOLE
+from .report_queries import CHANGED, COMPARED, FRESH, GRADUATES, SEVEN, WHOLE
 from .tables import Bound
 from .views import VIEWS
 
@@ -189,3 +197,125 @@ query(
         b.exams.select(F.col("student_id").alias("student_key"), "test_longname"), b.isp.select("student_key"), join=join_measured
     ),
 )
+
+# -- stored joins ---------------------------------------------------------------
+
+
+def stored_star(b: Bound) -> DataFrame:
+    folder = scratch_path(b.spark, "star")
+    K.store_star(b.isp, b.sca, b.cs, folder)
+    return K.stored_enrollments(b.spark, folder)
+
+
+query("course_enrollments_stored", "J1", "SELECT * FROM enr", stored_star)
+
+# -- digests of snapshots -------------------------------------------------------
+
+
+def digested(b: Bound, df: DataFrame) -> G.Digested:
+    path = scratch_path(b.spark, "snapshot")
+    G.write_digested(df, path, parts=64)
+    return G.Digested(b.spark, path)
+
+
+def changed_by_digest(b: Bound) -> DataFrame:
+    three = (b.snapshot_cur, b.snapshot_prev, b.snapshot_orig)
+    return G.changed_rows_digested(*[digested(b, WK.score_columns(df)) for df in three])
+
+
+query("changed_rows_by_digest", "U3", CHANGED, changed_by_digest)
+query(
+    "mismatches_by_column_and_digest", "R9",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(count(*) FILTER (p.{c} IS DISTINCT FROM c.{c}) AS BIGINT) AS n_different
+        FROM snapshot_prev p FULL JOIN snapshot_cur c USING (student_key)""" for c in COMPARED
+    ),
+    lambda b: G.mismatch_counts_digested(
+        *[digested(b, df.select("student_key", *COMPARED)) for df in (b.snapshot_prev, b.snapshot_cur)], COMPARED
+    ),
+)
+
+# -- row numbers ----------------------------------------------------------------
+
+query(
+    "crosswalk_numbered", "O2",
+    """SELECT *, row_number() OVER (ORDER BY epso_type NULLS LAST, exam_name DESC NULLS LAST, course_code NULLS LAST) AS line_no FROM crosswalk""",
+    lambda b: N.numbered(
+        b.crosswalk, [F.asc_nulls_last("epso_type"), F.desc_nulls_last("exam_name"), F.asc_nulls_last("course_code")], "line_no"
+    ),
+)
+query(
+    "service_periods_numbered", "O1",
+    "SELECT isp_id, student_key, end_date, row_number() OVER (ORDER BY end_date IS NULL DESC, end_date DESC, isp_id) AS line_no FROM isp",
+    lambda b: N.numbered(
+        b.isp.select("isp_id", "student_key", "end_date"), [F.desc_nulls_first("end_date"), F.asc("isp_id")], "line_no"
+    ),
+)
+
+# -- bitmaps --------------------------------------------------------------------
+
+
+def weekly_maps(b: Bound) -> DataFrame:
+    """Students by week, district and status."""
+    numbers = stored(M.student_numbers(b.file_history))
+    return stored(M.bitmaps(b.file_history, ["file_time", "district_no", "readiness"], numbers))
+
+
+query(
+    "students_by_week_from_bitmaps", "R11 A23",
+    "SELECT file_time, readiness, count(DISTINCT student_key) AS n_students FROM file_history GROUP BY ALL",
+    lambda b: M.students_in(weekly_maps(b), ["file_time", "readiness"]),
+)
+query(
+    "status_moves_from_bitmaps", "A23 R10",
+    """SELECT p.district_no, p.readiness AS readiness_before, c.readiness AS readiness_after, count(DISTINCT student_key) AS n_students
+      FROM (SELECT * FROM file_history WHERE file_time = DATE '2019-02-01') p
+      JOIN (SELECT * FROM file_history WHERE file_time = DATE '2019-03-01') c USING (student_key, district_no)
+      GROUP BY ALL""",
+    lambda b: M.moves(
+        weekly_maps(b), "file_time", "readiness", F.lit("2019-02-01").cast("date"), F.lit("2019-03-01").cast("date"), ["Y", "N", None], ["district_no"]
+    ),
+)
+PATHWAYS = ("pathway_act_sat", "pathway_epso", "pathway_ic")
+PATHWAY_SETS = [PATHWAYS, PATHWAYS[:2], PATHWAYS[::2], PATHWAYS[1:], *[(p,) for p in PATHWAYS], ()]
+
+
+def pathway_lattice(b: Bound) -> DataFrame:
+    flags = A.pathway_flags(R.report_names(b.snapshot_cur))
+    maps = stored(M.bitmaps(flags, list(PATHWAYS), stored(M.student_numbers(flags))))
+    return M.breakdowns(maps, list(PATHWAYS), PATHWAY_SETS)
+
+
+FLAGGED = f"""SELECT student_key, act_composite >= 21 OR sat_total >= 1060 AS pathway_act_sat, {SEVEN} >= 4 AS pathway_epso,
+      industry_cert + {SEVEN} >= 4 AS pathway_ic
+    FROM (SELECT student_key, act_composite, sat_total, industry_cert_earned AS industry_cert, {FRESH},
+      participate_clg_lvl_pgm AS clep FROM snapshot_cur WHERE readiness = 'Y')"""
+query(
+    "pathway_lattice_from_bitmaps", "A12 A13",
+    " UNION ALL ".join(
+        f"""SELECT '{",".join(own)}' AS grouping, {", ".join(p if p in own else f"CAST(NULL AS BOOLEAN) AS {p}" for p in PATHWAYS)},
+        count(DISTINCT student_key) AS n_students FROM ({FLAGGED}) {"GROUP BY " + ", ".join(own) if own else "HAVING count(*) > 0"}"""
+        for own in PATHWAY_SETS
+    ),
+    pathway_lattice,
+)
+
+# -- rows in force --------------------------------------------------------------
+
+
+def dated_appeals(b: Bound) -> DataFrame:
+    """Appeals with the day they came in."""
+    order = F.col("o_orderkey")
+    return b.raw("orders").select(
+        F.col("o_custkey").alias("student_key"), order.alias("appeal_id"),
+        F.date_add(F.lit("2018-12-15").cast("date"), (order % 100).cast("int")).alias("appealed_on"),
+    )
+
+
+query(
+    "appeals_with_status_in_force", "S6 J17 R11",
+    """SELECT a.student_key, a.appeal_id, a.appealed_on, h.file_time, h.readiness, h.n_adv_placement
+      FROM (SELECT o_custkey AS student_key, o_orderkey AS appeal_id, CAST(DATE '2018-12-15' + CAST(o_orderkey % 100 AS INT) AS DATE) AS appealed_on FROM orders) a
+      ASOF LEFT JOIN file_history h ON a.student_key = h.student_key AND a.appealed_on >= h.file_time""",
+    lambda b: T.in_force(dated_appeals(b), b.file_history, "student_key", "appealed_on", "file_time", ["readiness", "n_adv_placement"]),
+)
