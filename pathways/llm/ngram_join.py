@@ -517,7 +517,8 @@ def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int
     leads = ~F.col("whole") & (F.col("rep") == F.col("pivot"))
     each = F.when(leads, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod("h", "parts")))
     kind = F.when(leads, 0).otherwise(1).alias("kind")
-    placed = placed.select("region", "rep", "whole", kind, each.alias("each"), "doc_id", "hash")
+    # Written first: where the families are few they are sent to the texts, which stay in their tasks.
+    placed = stages(placed.select("region", "rep", "whole", kind, each.alias("each"), "doc_id", "hash"), "placed")
     found = join_unique(base, placed, ["doc_id", "hash"], "inner")
     return found.select("region", F.explode("each").alias("part"), "kind", "rep", "whole", "text")
 
@@ -727,7 +728,7 @@ def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes
     stages.drop("cells", "crowded", "split-cells", "still-crowded", "family-edges")
     dealt = family_rows(base, rows, families, most, most_bytes, stages)
     joined = stages(joined_families(dealt, words, percent), "joined")
-    stages.drop("members", "family-sizes")
+    stages.drop("members", "family-sizes", "placed")
     edges = joined.where("b is not null").select("a", "b")
     large = joined.where("b is null").select("region", F.col("a").alias("rep"), "n", "diff")
     if large.take(1):
