@@ -82,7 +82,7 @@ def class_counts(shingles: np.ndarray) -> bytes:
 
 
 def _parts(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Stretches of rows whose texts, in column ``text``, have ``most`` bytes together, or of one row."""
+    """Stretches of rows whose texts or bytes, in column ``text``, have ``most`` bytes together, or of one row."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).tolist()
         for a, b in slices(sizes, most):
@@ -625,8 +625,8 @@ def voronoi(members: DataFrame, percent: int, pivots: int) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sizes, sets = None, [], [], []
-        for batch in batches:
-            out = []
+        for batch in _parts(batches, 5, 1 << 20):
+            out, held = [], 0
             for region, part, kind, rep, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (region, part):
                     key, ids, sizes, sets = (region, part), [], [], []
@@ -645,9 +645,10 @@ def voronoi(members: DataFrame, percent: int, pivots: int) -> DataFrame:
                 for k in np.flatnonzero(far <= far.min() + 2 * radius + 1e-9).tolist():
                     near = not linked[k] and far[k] <= 2 * radius + 1e-9
                     out.append((region, ids[k], rep, n, raw, bool(linked[k]), bool(near)))
-                if len(out) > 2_000:
+                    held += len(raw)
+                if held > 1 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-                    out = []
+                    out, held = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
