@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,6 +22,7 @@ MOST_PIECES = 600_000
 # White space on which Python and the library's expressions may differ.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]")
 # A word of letters that no normal form joins with others, and the marks after it.
+_MARKS = ".,;:!?"
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
 
 
@@ -59,11 +62,12 @@ class Encoder:
         self.special = [t["content"] for t in told["added_tokens"]]
         self._special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
         alphabet = {b: c for b, c in zip(range(256), self._byte_characters())}
         self._bytes = {b: ord(c) for b, c in alphabet.items()}
         self.by_piece = Remembered(self._piece_ids, MOST_PIECES)
-        self.by_chunk = Remembered(lambda c: self._chunk_ids(c) if self._certain(c) else None, MOST_CHUNKS)
-        self.after_space = Remembered(lambda c: self._chunk_ids(" " + c) if self._certain(c) else None, MOST_CHUNKS)
+        self.by_chunk = Remembered(lambda c: self._chunk_ids(c) if c.isalpha() or self._certain(c) else None, MOST_CHUNKS)
+        self.after_space = Remembered(lambda c: self._chunk_ids(" " + c) if c.isalpha() or self._certain(c) else None, MOST_CHUNKS)
         self.line_end = self._chunk_ids("\n") if self.keeps_space else b""
 
     def _byte_characters(self) -> list[str]:
@@ -75,6 +79,14 @@ class Encoder:
     def pieces(self, chunk: str) -> list[str]:
         """Pre-tokens of a stretch of text without special tokens, as the model gets them."""
         space = self.keeps_space and chunk[:1] == " "
+        if self.drops_space or self.keeps_space:
+            # The common case of what follows: ASCII letters, and marks after them.
+            own = chunk[1:] if space else chunk
+            word = own.rstrip(_MARKS)
+            if word.isascii() and word.isalpha():
+                marks = own[len(word) :]
+                word = word.lower() if self.drops_space else chr(self._bytes[32]) + word if space else word
+                return [word, marks] if marks else [word]
         plain = _PLAIN.fullmatch(chunk, 1 if space else 0) if self.drops_space or self.keeps_space else None
         if plain:
             word, marks = plain.groups()
@@ -99,7 +111,10 @@ class Encoder:
         return chunk.split() == [chunk] and "\u180e" not in chunk
 
     def _piece_ids(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.dtype).tobytes()
+        ids = array(self._code, [t.id for t in self.tokenizer.model.tokenize(piece)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _chunk_ids(self, chunk: str) -> bytes:
         return b"".join([self.by_piece[p] for p in self.pieces(chunk)])
