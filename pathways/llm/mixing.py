@@ -21,6 +21,8 @@ from .common import WORD, stage
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
+# Sources that a schedule is made for.
+MOST_SOURCES = 10_000
 BLOCK_WORDS = 1024
 # Golden ratio as a fraction of 2^31, odd so that a period visits every point once.
 PERIOD, STEP = 1 << 31, 1327217885
@@ -88,8 +90,13 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def quotas(sizes: DataFrame, block: int = BLOCK_WORDS) -> list[Quota]:
-    """Targets of the sources by code point, null last. One row per source reaches the driver."""
-    found = sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
+    """Targets of the sources by code point, null last.
+
+    One row per source reaches the driver, MOST_SOURCES at most; more are an error.
+    """
+    found = sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     want = targets([r["size"] for r in found])
     return [Quota(r["source"], r["size"], r["rows"], t, block) for r, t in zip(found, want)]
