@@ -7,8 +7,10 @@ three levels.
    as to any; the tie goes to the first in a global order that puts widespread
    shingles last. The document at the boundary is copied to its next cells: a
    linked document can lack at most ``n - ceil(t n)`` of its shingles, so one more
-   than that many cells bring any two linked documents together, and one more
-   again brings them together in two. Cells of one document end here; a crowded
+   than that many cells bring any two linked documents together, and every cell more
+   brings them together in one more. A twentieth of the shingles is added, so that a
+   document with few cells that any other has can be linked with none and drops out:
+   documents that share a shingle or two by chance, as long ones do, end here. A crowded
    cell is split by the second cell that linked documents share.
 2. Pivots that are 64 classes of all shingles. A document's counts per class give
    its distances to them, and by the triangle inequality the distances of linked
@@ -63,6 +65,8 @@ PIVOTS = 8
 PART_ROWS = 500
 # Bytes of texts that are hashed together; each needs some fifty bytes of memory.
 BATCH_BYTES = 1 << 19
+# One cell more for so many shingles: linked documents have as many cells more in common.
+SPARE = 20
 # Bytes of a shingle's hash that name its cell.
 CELL = 6
 # Pairs of cell and document that are looked at together.
@@ -70,9 +74,14 @@ BUCKET = 1 << 20
 ROUNDS = 6
 
 
+def shared_least(n: int, percent: int) -> int:
+    """Cells that two linked sets of ``n`` shingles or more have in common, of those they go to."""
+    return min(1 + max(1, n // SPARE), -(-percent * n // 100))
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Cells that a set of ``n`` shingles goes to."""
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return n - -(-percent * n // 100) + shared_least(n, percent) if n else 0
 
 
 def class_counts(shingles: np.ndarray) -> bytes:
@@ -159,7 +168,7 @@ def described(docs: DataFrame, words: int, percent: int, last: np.ndarray) -> Da
                     common = late[at] == s
                     if common.any():
                         s = np.concatenate((s[~common], s[common]))
-                own = s[: prefix_length(len(s), percent) + 1]
+                own = s[: prefix_length(len(s), percent)]
                 cells.append(own.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes())
             columns = [
                 batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
@@ -194,7 +203,7 @@ def cell_numbers(cells: bytes) -> np.ndarray:
     return wide.view(np.uint64).reshape(-1)
 
 
-def shared_cells(reps: DataFrame, parts: int, percent: int) -> DataFrame:
+def shared_cells(reps: DataFrame, parts: int) -> DataFrame:
     """cell, rep: documents of each cell that has more than one.
 
     The pairs travel packed: the documents of a batch have neighbouring numbers, so a
@@ -204,7 +213,7 @@ def shared_cells(reps: DataFrame, parts: int, percent: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep = batch.column(0).to_numpy()
-            lists = [cell_numbers(c)[: prefix_length(n, percent)] for n, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            lists = [cell_numbers(c) for c in batch.column(1).to_pylist()]
             sizes = np.array([len(c) for c in lists])
             high = rep >> 16
             for a, b in slices(sizes.tolist(), BUCKET):
@@ -223,7 +232,7 @@ def shared_cells(reps: DataFrame, parts: int, percent: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "high", "cells", "low"])
 
-    packed = reps.select("rep", "n", "cells").mapInArrow(pack, "bucket long, high long, cells binary, low binary")
+    packed = reps.select("rep", "cells").mapInArrow(pack, "bucket long, high long, cells binary, low binary")
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of the cells met before, in this lot or an earlier one of the bucket."""
@@ -320,11 +329,31 @@ def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int
     return edges
 
 
+def with_enough(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages) -> DataFrame:
+    """The pairs of documents that have enough shared cells to be linked with any other.
+
+    A document linked with another has ``shared_least`` cells in common with it, counted
+    for the smallest set it can be linked with. Those with fewer go, and with them the cells
+    that one document is left in; a second round finds those that this leaves too few.
+    """
+    ceiling = lambda n: F.floor((percent * n + 99) / 100)
+    smallest = ceiling(F.col("n"))
+    need = F.least(1 + F.greatest(F.lit(1), F.floor(smallest / SPARE)), ceiling(smallest))
+    sizes = reps.select("rep", need.alias("need"))
+    for round_ in range(2):
+        held = pairs.groupBy("rep").agg(F.count(F.lit(1)).alias("held")).join(sizes, "rep").where("held >= need").select("rep", "need")
+        kept = stages(join_unique(pairs.select("cell", "rep"), held, ["rep"], "inner"), f"kept-{round_}")
+        several = kept.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell")
+        pairs = stages(join_unique(kept, several, ["cell"], "left_semi"), f"cells-{round_}")
+        stages.drop(f"kept-{round_}", "cells" if not round_ else f"cells-{round_ - 1}")
+    return pairs
+
+
 def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, stages: Stages) -> DataFrame:
     """a, b: documents that share a cell and may be linked; families are the components."""
 
     def crowded(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("least")).where(F.col("members") > most)
+        return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("least"), F.min("need").alias("need")).where(F.col("members") > most)
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -359,14 +388,16 @@ def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, sta
                 finer = mix(other + mix(np.array([own]))[0])
                 yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64)), pa.array(np.full(len(other), rep))], names=["cell", "rep"])
 
-    rows = join_unique(pairs, hot.select("cell"), ["cell"], "inner")
-    rows = join_unique(rows, reps.select("rep", "cells"), ["rep"], "inner").select("cell", "rep", "cells")
+    rows = join_unique(pairs, hot.select("cell", "least", F.col("need").alias("least_need")), ["cell"], "inner")
+    # A set so small that one cell may be all it shares: its cell is one family.
+    alone = rows.where("least_need < 2 and rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    rows = join_unique(rows.where("least_need > 1").select("cell", "rep"), reps.select("rep", "cells"), ["rep"], "inner").select("cell", "rep", "cells")
     finer = stages(rows.mapInArrow(split, "cell long, rep long"), "split-cells")
-    still = stages(crowded(finer), "still-crowded")
+    still = stages(crowded(finer.withColumn("need", F.lit(2))), "still-crowded")
     several = finer.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where(F.col("members").between(2, most)).select("cell")
     split_up = of_cells(join_unique(finer, several, ["cell"], "inner"))
     as_one = join_unique(finer, still.select("cell", "least"), ["cell"], "inner").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    return usual.unionByName(split_up).unionByName(as_one).distinct()
+    return usual.unionByName(split_up).unionByName(as_one).unionByName(alone).distinct()
 
 
 class Sets:
@@ -723,10 +754,11 @@ def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes
     rows = stages(rows.withColumn("rep", rep), "rows")
     reps = rows.where("cells is not null").select("rep", "n", "cells", "counts")
     pairs = reps.agg(F.sum(F.octet_length("cells") / CELL)).first()[0] or 0
-    pairs = stages(shared_cells(reps, parts_for(spark, int(pairs), BUCKET), percent), "cells")
+    pairs = stages(shared_cells(reps, parts_for(spark, int(pairs), BUCKET)), "cells")
+    pairs = with_enough(pairs, reps, percent, stages)
     families = components(stages(family_edges(reps, pairs, most, percent, stages), "family-edges"))
     families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
-    stages.drop("cells", "crowded", "split-cells", "still-crowded", "family-edges")
+    stages.drop("cells-1", "crowded", "split-cells", "still-crowded", "family-edges")
     dealt = family_rows(base, rows, families, most, most_bytes, stages)
     joined = stages(joined_families(dealt, words, percent), "joined")
     stages.drop("members", "family-sizes", "placed")

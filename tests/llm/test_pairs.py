@@ -187,17 +187,32 @@ def test_differences_to_a_pivot_keep_distances(lists):
     plain.prepare()
     relative.prepare()
     some = np.arange(len(sets))
-    assert (plain.shared(some) == relative.shared(some)).all()
+    others = ~np.eye(len(sets), dtype=bool)  # what a set shares with itself is not counted
+    assert (plain.shared(some) == relative.shared(some))[others].all()
     assert (ngram_join._balls(sets, 60) == ngram_join._balls(diffs, 60, sizes)).all()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1, max_size=90), st.data(), st.sampled_from([50, 67, 80, 90]))
+def test_linked_sets_share_as_many_cells_as_told(own, data, percent):
+    gone = data.draw(st.sets(st.sampled_from(sorted(own)), max_size=max(len(own) // 4, 1)))
+    other = (own - gone) | data.draw(st.sets(st.integers(401, 440), max_size=len(own) // 5))
+    shared = len(own & other)
+    if own == other or 100 * shared < percent * len(own | other):
+        return
+    order = data.draw(st.randoms()).sample(range(441), 441)
+    cells = [set(sorted(s, key=order.index)[: ngram_join.prefix_length(len(s), percent)]) for s in (own, other)]
+    for s in (own, other):
+        assert len(cells[0] & cells[1]) >= ngram_join.shared_least(-(-percent * len(s) // 100), percent)
+
+
 @pytest.mark.parametrize("bucket", [3, 1 << 20])
 def test_cells_with_several_documents(spark, monkeypatch, bucket):
     monkeypatch.setattr(ngram_join, "BUCKET", bucket)
     rows = [(r, 10, b"".join(int(c).to_bytes(6, "little") for c in cells), b"") for r, cells in
             ((1, (5, 9)), (2, (5, 8)), (70_000, (9, 4)), (70_001, (5, 1)), (1 << 34, (3, 2)), ((1 << 34) + 1, (2, 7)))]
     df = spark.createDataFrame(rows, "rep long, n long, cells binary, counts binary")
-    found = sorted(tuple(r) for r in ngram_join.shared_cells(df, 2, 85).collect())
+    found = sorted(tuple(r) for r in ngram_join.shared_cells(df, 2).collect())
     assert found == [(2, 1 << 34), (2, (1 << 34) + 1), (5, 1), (5, 2), (5, 70_001), (9, 1), (9, 70_000)]
 
 
