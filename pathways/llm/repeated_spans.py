@@ -5,8 +5,8 @@ substrings in it, its anchor; equal strings have equal anchors, so strings need
 to be compared within an anchor only. A run of neighbouring strings with one
 anchor is a segment. Anchors met once are done with. The segments of the others
 are counted, equal ones as one, and dealt into shards by anchor; in a shard the
-suffix array of all segments is induced, and its common prefixes tell which
-strings occur twice. A passage that very many texts share makes equal segments, so one;
+suffix array of all strings whose hash is met twice is induced, and its common prefixes
+tell which of them do occur twice. A passage that very many texts share makes equal segments, so one;
 an anchor with very many different segments is cut again by longer anchors, at last by
 the strings themselves.
 
@@ -27,7 +27,7 @@ from pathways.functions.skew import join_unique
 from pathways.session import release, remove, scratch_path
 
 from .common import id_and_text, ship, stage
-from .hashing import mix, running, substrings
+from .hashing import mix, running, slices, substrings
 from .ngram_join import _groups
 from .suffixes import common_prefixes, suffix_array
 
@@ -36,6 +36,8 @@ ANCHOR = 32
 SHARD_BYTES = 1 << 21
 # Different segments of an anchor beyond which longer anchors cut them again.
 CROWDED = 20_000
+# Bytes of segments that are hashed together.
+HASHED_BYTES = 1 << 18
 # Texts that a task remembers to have marked.
 REMEMBERED = 200_000
 SEPARATOR = 0xFF  # in no UTF-8 text
@@ -74,12 +76,40 @@ def anchors(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.
     return first, np.diff(np.append(first, n)), least[first].astype(np.int64)
 
 
+def met_twice(segments: list[bytes], length: int) -> list[np.ndarray]:
+    """For each segment, which of its strings may be met twice: those whose hash is."""
+    hashes = []
+    for a, b in slices([len(s) for s in segments], HASHED_BYTES):
+        data = np.frombuffer(b"".join(segments[a:b]), np.uint8)
+        sizes = np.array([len(s) for s in segments[a:b]], np.int64)
+        ends = np.cumsum(sizes)
+        strings = sizes - length + 1
+        starts = np.arange(strings.sum()) + np.repeat(ends - sizes - np.cumsum(strings) + strings, strings)
+        hashes.append(substrings(running(data), starts, starts + length))
+    every = np.concatenate(hashes)
+    order = np.argsort(every, kind="stable")
+    equal = np.concatenate(([False], every[order[1:]] == every[order[:-1]], [False]))
+    found = np.zeros(len(every), bool)
+    found[order] = equal[1:] | equal[:-1]
+    return np.split(found, np.cumsum([len(s) - length + 1 for s in segments])[:-1])
+
+
 def repeated_in(segments: list[bytes], times: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each distinct segment, which of its strings of ``length`` occur twice or more."""
-    sizes = np.array([len(s) + 1 for s in segments], np.int64)
+    """For each distinct segment, which of its strings of ``length`` occur twice or more.
+
+    Strings whose hash is met once cannot; only the others' bytes come into the suffix array.
+    """
+    own: list[tuple[int, int, int]] = []  # segment, first and last start of a stretch
+    for i, found in enumerate(met_twice(segments, length)):
+        own += [(i, a, b) for a, b in runs_of(found)]
+    out = [np.full(len(s) - length + 1, t > 1) for s, t in zip(segments, times.tolist())]
+    if not own:
+        return out
+    parts = [segments[i][a : b + length] for i, a, b in own]
+    sizes = np.array([len(s) + 1 for s in parts], np.int64)
     begins = np.cumsum(sizes) - sizes
     mark = bytes([SEPARATOR])
-    data = np.frombuffer(mark.join(segments) + mark + b"\0", np.uint8)
+    data = np.frombuffer(mark.join(parts) + mark + b"\0", np.uint8)
     text = data.astype(np.uint16) + 1
     text[-1] = 0
     order = suffix_array(text, 257)
@@ -87,10 +117,9 @@ def repeated_in(segments: list[bytes], times: np.ndarray, length: int) -> list[n
     found = np.zeros(len(data), bool)
     found[order[1:][shared]] = True
     found[order[:-1][shared]] = True
-    return [
-        np.ones(s - length, bool) if t > 1 else found[b : b + s - length]
-        for b, s, t in zip(begins.tolist(), sizes.tolist(), times.tolist())
-    ]
+    for (i, a, b), begin in zip(own, begins.tolist()):
+        out[i][a : b + 1] |= found[begin : begin + b - a + 1]
+    return out
 
 
 def runs_of(found: np.ndarray) -> list[tuple[int, int]]:
