@@ -17,6 +17,8 @@ USUAL = [
     "courses_against_exams", "merged_counts_max", "counts_pivoted", "cert_credit", "cert_credit_by_record", "vendor_extract_read",
     "snapshot_history_read", "csv_nulls_empty", "student_report", "whole_cohort_file", "final_report", "changed_values",
     "count_difference_distribution", "corrections_applied", "pathway_breakdown", "weekly_status", "proposed_comments", "status_flips",
+    "reconciled_catalogs", "courses_repeated_apart", "enrollment_spells_by_school_year", "enrollment_calendar_salted", "changed_rows_by_digest",
+    "service_periods_numbered", "pathway_lattice_from_bitmaps", "appeals_with_status_in_force",
 ]
 
 
