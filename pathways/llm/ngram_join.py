@@ -72,6 +72,7 @@ CELL = 6
 # Pairs of cell and document that are looked at together.
 BUCKET = 1 << 20
 ROUNDS = 6
+MAP_BITS = 1 << 23
 
 
 def shared_least(n: int, percent: int) -> int:
@@ -534,6 +535,22 @@ def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return both[~twice]
 
 
+def perhaps_in(base: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of ``base`` but for most of those that are no members: fewer texts are dealt out.
+
+    The members' hashes set bits of one map of MAP_BITS, a megabyte at any size of the
+    tables, which is sent to all tasks.
+    """
+    bit = F.pmod(F.xxhash64("doc_id", "hash"), F.lit(MAP_BITS)) + 1
+    maps = members.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    marked = base.withColumn("_bit", bit).withColumn("_bucket", F.bitmap_bucket_number("_bit"))
+    at = F.bitmap_bit_position("_bit")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(_byte, int(bitmap_bit_position(_bit) % 8)) % 2 = 1")
+    return marked.join(F.broadcast(maps), "_bucket").withColumn("_byte", byte).where(is_set).select(*base.columns)
+
+
 def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int, most_bytes: int, stages: Stages) -> DataFrame:
     """region, part, kind, rep, whole, text: each text of a family once, that of a large one's pivot in every part."""
     members = families.join(rows.where("cells is not null").select("rep", "doc_id", "hash", "n"), "rep")
@@ -550,7 +567,7 @@ def family_rows(base: DataFrame, rows: DataFrame, families: DataFrame, most: int
     kind = F.when(leads, 0).otherwise(1).alias("kind")
     # Written first: where the families are few they are sent to the texts, which stay in their tasks.
     placed = stages(placed.select("region", "rep", "whole", kind, each.alias("each"), "doc_id", "hash"), "placed")
-    found = join_unique(base, placed, ["doc_id", "hash"], "inner")
+    found = join_unique(perhaps_in(base, placed), placed, ["doc_id", "hash"], "inner")
     return found.select("region", F.explode("each").alias("part"), "kind", "rep", "whole", "text")
 
 

@@ -51,19 +51,21 @@ def test_held_out_accuracy_and_no_leak(spark):
 
 
 def test_unlike_training_texts_with_a_common_word_all_stay(spark):
-    rows = [(i, "are " + " ".join(f"t{i}w{k}" for k in range(30)), "en", "s", 0) for i in range(40)]
-    copies = [(100 + i, rows[i % 2][1] + f" more{i}", "en", "s", 0) for i in range(10)]
+    name = lambda i: "".join(chr(97 + i // 7**k % 7) for k in range(4))
+    rows = [(i, "are " + " ".join(f"{name(31 * i + k)} x" for k in range(30)), "en", "s", 0) for i in range(40)]
+    copies = [(100 + i, rows[i % 2][1].upper() + f" {i} !", "en", "s", 0) for i in range(10)]
+    near = [(150 + i, rows[i % 2][1] + " more" + name(i), "en", "s", 0) for i in range(10)]
     few = [(200 + i, t, "en", "s", 0) for i, t in enumerate(["", None, "are", "are you", "Are you", " "])]
-    docs = spark.createDataFrame([*rows, *copies, *few], SCHEMA)
-    labels = spark.createDataFrame([(r[0], int(r[0] % 4 == 0)) for r in [*rows, *copies, *few]], "doc_id long, toxic int")
+    every = [*rows, *copies, *near, *few]
+    docs = spark.createDataFrame(every, SCHEMA)
+    labels = spark.createDataFrame([(r[0], int(r[0] % 4 == 0)) for r in every], "doc_id long, toxic int")
     kept = Counter(map(tuple, toxicity.training_texts(docs, labels, 1000).collect()))
-    used = [r for r in [*rows, *copies, *few] if zlib.crc32(str(r[0]).encode()) % 5]
-    # Copies of row 0 or 1, or without words, or equal but for case: once for each label, by the smallest doc_id.
-    groups = {}
-    for i, t, *_ in used:
-        same = f"copy {i % 2}" if i < 2 or 100 <= i < 110 else " ".join(words(t)).lower()
-        groups.setdefault((same, int(i % 4 == 0)), (i, t or ""))
-    assert kept == Counter((t, toxic) for (_, toxic), (_, t) in groups.items()) and len(groups) > 30
+    used = [r for r in every if zlib.crc32(str(r[0]).encode()) % 5]
+    # Texts that fold alike once for each label, near copies each time.
+    assert kept == Counter({(toxicity.fold(t or ""), int(i % 4 == 0)) for i, t, *_ in used})
+    assert len(kept) > 40 and len(used) > len(kept)
+    few_rows = toxicity.training_texts(docs, labels, 7)
+    assert 0 < few_rows.count() <= 7
 
 
 def test_toxicity_of_awkward_rows_and_tables(spark):
@@ -87,7 +89,8 @@ def pipeline_rows():
     rows = [(i, t.replace("word", f"w{i}x"), lang, s, len(t)) for i, t, lang, s, _ in rows]
     same = (50, rows[0][1].replace(" ", "  ", 4), "en", "s1", 0)
     near = (51, rows[1][1] + "one more word", "en", "s2", 0)
-    return [*rows, same, near, *awkward()[:10]]
+    again = (2, rows[4][1].replace("w4x", "v4x"), "en", "s1", 0)  # another text with a used id
+    return [*rows, same, near, again, *awkward()[:10]]
 
 
 def test_pipeline_stage_by_stage(spark):
