@@ -12,7 +12,9 @@ three levels.
    document with few cells that any other has can be linked with none and drops out:
    documents that share a shingle or two by chance, as long ones do, end here. A crowded
    cell is split by the second cell that linked documents share.
-2. Pivots that are 64 classes of all shingles. A document's counts per class give
+   Where a cell has few documents its pairs are counted, and documents that meet in enough
+   of such cells belong to one family.
+2. In larger cells, pivots that are 64 classes of all shingles. A document's counts per class give
    its distances to them, and by the triangle inequality the distances of linked
    documents differ by little. Documents of a cell within that window of each
    other belong to one family; a cell gives the edges of a spanning forest only.
@@ -73,6 +75,9 @@ CELL = 6
 BUCKET = 1 << 20
 ROUNDS = 6
 MAP_BITS = 1 << 23
+# Documents of a cell whose pairs are counted; of larger cells the classes are compared.
+LIGHT = 64
+MET_PAIRS = 1 << 19
 
 
 def shared_least(n: int, percent: int) -> int:
@@ -350,6 +355,48 @@ def with_enough(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages)
     return pairs
 
 
+def met_often(pairs: DataFrame) -> DataFrame:
+    """a, b: documents that share enough cells of at most LIGHT documents.
+
+    Every two documents of such a cell are counted once; the counts of a pair are added up.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "k", "need"]
+
+        def counted(cell: np.ndarray, rep: np.ndarray, need: np.ndarray) -> Iterator[pa.RecordBatch]:
+            edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
+            begins, sizes = edge[:-1], np.diff(edge)
+            for d in np.unique(sizes[(sizes > 1) & (sizes <= LIGHT)]).tolist():
+                i, j = np.triu_indices(d, 1)
+                every = begins[sizes == d]
+                step = max(1, MET_PAIRS // len(i))
+                for at in range(0, len(every), step):
+                    place = every[at : at + step, None] + np.arange(d)
+                    r, m = rep[place], need[place]
+                    a, b, least = r[:, i].ravel(), r[:, j].ravel(), np.minimum(m[:, i], m[:, j]).ravel()
+                    order = np.lexsort((b, a))
+                    a, b, least = a[order], b[order], least[order]
+                    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+                    k = np.diff(np.append(first, len(a)))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[first], b[first], k, least[first])], names=names)
+
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
+            if len(held[0]):
+                last = int(np.searchsorted(held[0], held[0][-1]))  # the last cell may go on
+                if last:
+                    yield from counted(*[h[:last] for h in held])
+                held = [h[last:] for h in held]
+        if len(held[0]):
+            yield from counted(*held)
+
+    dealt = pairs.select("cell", "rep", "need").repartition("cell").sortWithinPartitions("cell", "rep")
+    met = dealt.mapInArrow(meet, "a long, b long, k long, need long")
+    return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("need").alias("need")).where("k >= need").select("a", "b")
+
+
 def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, stages: Stages) -> DataFrame:
     """a, b: documents that share a cell and may be linked; families are the components."""
 
@@ -375,9 +422,13 @@ def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, sta
         dealt = rows.select("cell", "rep", "n", "counts").repartition("cell").sortWithinPartitions("cell", "rep")
         return dealt.mapInArrow(edges, "a long, b long")
 
+    # Linked documents have enough cells in common; those that are all of few documents are counted.
+    often = met_often(pairs)
+    many = pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIGHT).select("cell")
+    pairs = stages(join_unique(pairs, stages(many, "many"), ["cell"], "left_semi"), "heavy-cells")
     hot = stages(crowded(pairs), "crowded")
     if not hot.take(1):
-        return of_cells(pairs).distinct()
+        return of_cells(pairs).unionByName(often).distinct()
     usual = of_cells(join_unique(pairs, hot.select("cell"), ["cell"], "left_anti"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +449,7 @@ def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, sta
     several = finer.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where(F.col("members").between(2, most)).select("cell")
     split_up = of_cells(join_unique(finer, several, ["cell"], "inner"))
     as_one = join_unique(finer, still.select("cell", "least"), ["cell"], "inner").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    return usual.unionByName(split_up).unionByName(as_one).unionByName(alone).distinct()
+    return often.unionByName(usual).unionByName(split_up).unionByName(as_one).unionByName(alone).distinct()
 
 
 class Sets:
@@ -775,7 +826,7 @@ def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes
     pairs = with_enough(pairs, reps, percent, stages)
     families = components(stages(family_edges(reps, pairs, most, percent, stages), "family-edges"))
     families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
-    stages.drop("cells-1", "crowded", "split-cells", "still-crowded", "family-edges")
+    stages.drop("cells-1", "many", "heavy-cells", "crowded", "split-cells", "still-crowded", "family-edges")
     dealt = family_rows(base, rows, families, most, most_bytes, stages)
     joined = stages(joined_families(dealt, words, percent), "joined")
     stages.drop("members", "family-sizes", "placed")
