@@ -10,6 +10,7 @@ from ..functions.nulls import as_col, join_na, not_in_keep_null, share_at_least,
 from ..functions.nulls import n_distinct as count_values
 from ..functions.skew import join_unique
 from ..rules import HALF, NON_CREDIT_COURSES
+from ..session import reuse
 
 SECTION_KEYS = ["instructional_program_num", "local_class_number", "school_bu_id", "school_year"]
 SEGMENT_KEYS = [
@@ -36,6 +37,17 @@ def course_enrollments(isp: DataFrame, sca: DataFrame, cs: DataFrame, join=join_
     return join(assigned_sections(sca, cs, join), periods, ["isp_id"], "inner")
 
 
+def enrollments_of_periods(isp: DataFrame, sca: DataFrame, cs: DataFrame, join=join_unique) -> DataFrame:
+    """The rows of ``course_enrollments`` for some of the periods only.
+
+    The assignments meet the periods first, so that those of other periods go at the
+    first join and need no shuffle of their own to be filtered.
+    """
+    periods = isp.withColumnsRenamed({"school_year": "isp_school_year", "school_bu_id": "isp_school_bu_id"})
+    taken = join(sca, periods, ["isp_id"], "inner")
+    return assigned_sections(taken, cs, join).withColumnRenamed("isp_school_bu_id", "school_bu_id")
+
+
 def assigned_sections(sca: DataFrame, cs: DataFrame, join=join_unique) -> DataFrame:
     """Class assignments with their section, years and numbers told apart by side."""
     return (
@@ -73,7 +85,9 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
     month, repeated rows counting each time. The days in any range are then the
     difference of two values, so no enrollment is ever multiplied by the days of
     its school year. Months without rows are not filled in: a misdated row adds
-    one month, wherever it lies. Repeats collapse to a count per date first.
+    one month, wherever it lies. Repeats collapse to a count per date first. The index
+    is written, so that its size is known when a join with it is planned: a small one is
+    broadcast at once and the enrollments are not shuffled for it.
     """
     key = ["school_bu_id", "school_year"]
     by_date = W.partitionBy(*key).orderBy("id_date")
@@ -99,7 +113,7 @@ def calendar_index(calendar: DataFrame) -> DataFrame:
         ),
     )
     in_order = F.sort_array(F.collect_list(F.struct("month", values.alias("values"))))
-    return (
+    return reuse(
         months.groupBy(*key)
         .agg(
             F.min("first_day").alias("first_day"),
@@ -135,6 +149,7 @@ def attach_calendar(enrollments: DataFrame, index: DataFrame, how: str = "left",
 def enrollment_days(students: DataFrame, courses: DataFrame, index: DataFrame, join=join_unique) -> DataFrame:
     """Cohort students, their courses if any, and the calendar of each course."""
     # The courses, the many side, stay on the left; students without one are added.
+    courses = reuse(courses)
     taken = join(courses, students, ["student_key"], "inner")
     without = students.join(courses.select("student_key").distinct(), "student_key", "left_anti")
     columns = [*students.columns, *[c for c in courses.columns if c != "student_key"]]
@@ -203,7 +218,10 @@ def fill_end_dates(
         raise ValueError(f"unknown fill scope: {scope}")
     if keys:
         last = enrollments.groupBy(*keys).agg(F.max("last_day").alias("fill_date"))
-        filled = join_na(enrollments, last, keys)
+        # An assignment that has its end needs no date: only the others are dealt out by scope.
+        ended = enrollments.where(F.col("sca_end_date").isNotNull())
+        opened = enrollments.where(F.col("sca_end_date").isNull())
+        filled = join_na(opened, last, keys).unionByName(ended.withColumn("fill_date", F.lit(None).cast("date")))
     else:
         last = enrollments.agg(F.max("last_day").alias("fill_date"))
         filled = enrollments.withColumn("fill_date", last.scalar())
@@ -361,6 +379,7 @@ def repeated_segments(segments: DataFrame, cohort: DataFrame, students: DataFram
     kept = ends_within_assignment(
         active_enrollments(join_unique(segments, students, ["student_key"], "left_semi"))
     )
+    kept = reuse(kept)  # read for the counts and for the rows
     counted = with_group_counts(kept, ["student_key", "course_code"], "course_code")
     repeated = min_share(counted.where(F.col("n_distinct") != F.col("n")))
     place = [c for c in ("system", "school") if c in cohort.columns]

@@ -20,11 +20,11 @@ from pathways.operators import digests as G
 from pathways.operators import numbering as N
 from pathways.operators import report as R
 from pathways.plans import weekly as WK
-from pathways.session import scratch_path, stored
+from pathways.session import reuse, scratch_path, stored
 from pathways.sources import bucketed as K
 
 from .course_sql import all_counts_ctes
-from .enrollment_queries import OPEN_SEGMENTS, SEGMENT, counted, enrollments
+from .enrollment_queries import OPEN_SEGMENTS, SEGMENT, enrollments, period_days
 from .registry import query
 from .report_queries import CHANGED, COMPARED, FRESH, GRADUATES, SEVEN, WHOLE
 from .tables import Bound
@@ -47,12 +47,18 @@ NEW_VALUES = {
 }
 
 
+class Before(Bound):
+    """The tables of the stored run; its sections are written, since both runs read them."""
+
+    cs = cached_property(lambda self: reuse(super(Before, self).cs))
+
+
 class Changed(Bound):
     """The tables a week later, and what changed in them."""
 
     @cached_property
     def before(self) -> Bound:
-        return Bound(self.spark, self.folder)
+        return Before(self.spark, self.folder)
 
     def _after(self, name: str) -> DataFrame:
         column, where, value = NEW_VALUES[name]
@@ -151,7 +157,7 @@ APART = f"""WITH kept AS (
 
 
 def attended_apart(b: Bound) -> DataFrame:
-    opened = E.segment_days(E.fill_end_dates(counted(b), "open_ended"))
+    opened = E.segment_days(E.fill_end_dates(period_days(b), "open_ended"))
     return S.repeated_apart(opened, H.counted_students(b.cohort))
 
 
@@ -187,7 +193,10 @@ query(
     """SELECT g.student_key, e.isp_id, e.course_code, e.isp_school_year, first_day, last_day, n_days
       FROM graduates g LEFT JOIN enr e USING (student_key) LEFT JOIN last_days USING (school_bu_id, isp_school_year)""",
     lambda b: E.enrollment_days(
-        H.counted_students(b.cohort), enrollments(b), E.calendar_index(b.calendar), join=join_measured
+        H.counted_students(b.cohort),
+        enrollments(b).select("student_key", "isp_id", "course_code", "isp_school_year", "school_bu_id"),
+        E.calendar_index(b.calendar).select("school_bu_id", "school_year", "first_day", "last_day", "n_days"),
+        join=join_measured,
     ).select("student_key", "isp_id", "course_code", "isp_school_year", "first_day", "last_day", "n_days"),
 )
 query(

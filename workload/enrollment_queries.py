@@ -36,8 +36,19 @@ def counted(b: Bound, open_ends: bool = True) -> DataFrame:
     return E.count_days(E.attach_calendar(enrollments(b), E.calendar_index(b.calendar)), open_ends)
 
 
+# Day totals need the keys and the service period of an enrollment. A section's other columns
+# would only add to what is shuffled: every row of a period meets the same assignments and
+# sections, so they never decide which of two rows of a period describes a segment.
+PERIOD = ["type_of_service", "first_name", "isp_school_year", "school_bu_id", "withdrawal_reason"]
+
+
+def period_days(b: Bound) -> DataFrame:
+    rows = enrollments(b).select(*E.SEGMENT_KEYS, *PERIOD)
+    return E.count_days(E.attach_calendar(rows, E.calendar_index(b.calendar)))
+
+
 def segments(b: Bound) -> DataFrame:
-    return E.segment_days(E.fill_end_dates(reuse(counted(b)), "global"))
+    return E.segment_days(E.fill_end_dates(reuse(period_days(b)), "global"))
 
 
 def usable(b: Bound) -> DataFrame:
@@ -268,7 +279,9 @@ query(
       SELECT e.* REPLACE (coalesce(cs_end_date, sca_end_date, top) AS cs_end_date, coalesce(sca_end_date, top) AS sca_end_date)
       FROM (SELECT e.*, max(last_day) OVER (PARTITION BY isp_school_year, course_code) AS top
         FROM enr e LEFT JOIN last_days USING (school_bu_id, isp_school_year)) e)""",
-    lambda b: E.fill_end_dates(counted(b), "by_year_course").select(*E.SEGMENT_KEYS),
+    lambda b: E.fill_end_dates(
+        reuse(counted(b).select(*E.SEGMENT_KEYS, "isp_school_year", "last_day")), "by_year_course"
+    ).select(*E.SEGMENT_KEYS),
 )
 query(
     "end_dates_filled_for_class_only", "W1",
@@ -339,7 +352,7 @@ REPEATED = f"""
 
 
 def repeated(b: Bound) -> DataFrame:
-    opened = E.segment_days(E.fill_end_dates(counted(b), "open_ended"))
+    opened = E.segment_days(E.fill_end_dates(period_days(b), "open_ended"))
     return E.repeated_segments(opened, b.cohort, H.counted_students(b.cohort))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from pathways.operators.crosswalk import best_conversion, title_type
 from pathways.operators.exams import sdc_exams
 from pathways.rules import CERT_NAMES
+from pathways.session import reuse
 
 from .names import PATTERNS, SNAPSHOT_SCORES, VENDOR_CERTS
 
@@ -102,20 +103,29 @@ class Bound:
 
     @cached_property
     def sca(self) -> DataFrame:
-        year, line = F.year("o_orderdate"), F.col("l_linenumber")
-        return (
-            self.raw("lineitem")
-            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                F.col("o_orderkey").alias("isp_id"),
-                F.col("l_partkey").alias("instructional_program_num"),
-                line.alias("local_class_number"),
-                (F.col("o_custkey") % 10).alias("school_bu_id"),
-                year.alias("school_year"),
-                _jan10(year, line * 7 + 2 * F.col("l_quantity")).alias("sca_begin_date"),
-                F.when(F.col("l_returnflag") != "N", _jan10(year, line * 7 + 110)).alias(
-                    "sca_end_date"
-                ),
+        # Joined once and written: the sections are drawn from it, and plans read it many times.
+        year, line = F.col("school_year"), F.col("local_class_number")
+        lines = self.raw("lineitem").select(
+            F.col("l_orderkey").alias("isp_id"),
+            F.col("l_partkey").alias("instructional_program_num"),
+            F.col("l_linenumber").alias("local_class_number"),
+            _int(F.col("l_linenumber") * 7 + 2 * F.col("l_quantity")).alias("begins"),
+            (F.col("l_returnflag") != "N").alias("ends"),
+        )
+        orders = self.raw("orders").select(
+            F.col("o_orderkey").alias("isp_id"),
+            (F.col("o_custkey") % 10).alias("school_bu_id"),
+            F.year("o_orderdate").alias("school_year"),
+        )
+        return reuse(
+            lines.join(orders, "isp_id").select(
+                "isp_id",
+                "instructional_program_num",
+                "local_class_number",
+                "school_bu_id",
+                "school_year",
+                _jan10(year, F.col("begins")).alias("sca_begin_date"),
+                F.when(F.col("ends"), _jan10(year, line * 7 + 110)).alias("sca_end_date"),
             )
         )
 
