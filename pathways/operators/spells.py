@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import join_na, share_at_least
 from ..functions.skew import join_unique
 from ..rules import HALF
+from ..session import reuse
 from .enrollment import COURSE_DAYS, ENROLLED_DAYS, active_enrollments, ends_within_assignment
 
 SLICE_DAYS = 366
@@ -67,10 +68,17 @@ def with_spells(
 
 def spells(df: DataFrame, keys: list[str], begin: str, end: str, slice_days: int = SLICE_DAYS) -> DataFrame:
     """One row per spell: its first begin, last end (null where open) and number of intervals."""
-    rows = with_spells(df, keys, begin, end, slice_days).where("spell is not null")
-    closes = F.when(F.count(F.lit(1)) == F.count(end), F.max(F.greatest(end, begin)))
+    # One row per group and day of beginning, read for the sweep and for the totals; no interval is shuffled by itself.
+    days = reuse(
+        df.where(F.col(begin).isNotNull())
+        .groupBy(*keys, begin)
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(end).alias("_ended"), F.max(F.greatest(end, begin)).alias("_last"))
+    )
+    days = days.withColumn(end, F.when(F.col("_n") == F.col("_ended"), F.col("_last")))
+    rows = with_spells(days, keys, begin, end, slice_days)
+    closes = F.when(F.sum("_n") == F.sum("_ended"), F.max("_last"))
     return rows.groupBy(*keys, "spell").agg(
-        F.min(begin).alias(begin), closes.alias(end), F.count(F.lit(1)).alias("n_intervals")
+        F.min(begin).alias(begin), closes.alias(end), F.sum("_n").alias("n_intervals")
     )
 
 
@@ -86,7 +94,8 @@ def repeated_apart(
     kept = ends_within_assignment(
         active_enrollments(join_unique(segments, students, ["student_key"], "left_semi"))
     )
-    attended = kept.where(share_at_least(ENROLLED_DAYS, COURSE_DAYS, HALF))
-    numbered = with_spells(attended, list(keys), "sca_begin_date", "sca_end_date")
+    # Each is read twice: for the sweep and its rows, for the numbers of spells and their rows.
+    attended = reuse(kept.where(share_at_least(ENROLLED_DAYS, COURSE_DAYS, HALF)))
+    numbered = reuse(with_spells(attended, list(keys), "sca_begin_date", "sca_end_date"))
     n_spells = numbered.groupBy(*keys).agg(F.max("spell").alias("n_spells")).where("n_spells > 1")
     return join_na(numbered, n_spells, list(keys), "inner")
