@@ -68,8 +68,10 @@ def join_measured(
     as many parts as it has shares; its lookup row is copied to each of them, and no
     other lookup row is copied. Missing keys match nothing, but are spread too. Rows
     take their part by a hash of the whole row, so a rerun task deals them as before.
-    The counting reads the key columns of ``df`` twice, before the join is planned.
+    The counting reads the key columns of ``df`` twice, before the join is planned; ``df``
+    is written first, so that it is computed once and the counting reads its keys only.
     """
+    df = reuse(df)
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Written where a shared folder is named: read on both sides, at most ``partitions`` rows.
     hot = reuse(hot_keys(df, on, partitions))
