@@ -79,25 +79,30 @@ def pulled_students(t: Inputs, rules: Rules) -> DataFrame:
     return H.cohort_students(source, rules.cohort_year, rules.mode)
 
 
-def tagged_enrollments(t: Inputs, rules: Rules, domains: tuple[str, ...]) -> DataFrame:
-    """Tagged course enrollments of the pulled students."""
-    sections = tagged_sections(t, rules, domains)
+def tagged_enrollments(
+    t: Inputs, rules: Rules, domains: tuple[str, ...], sections: DataFrame | None = None, join=E.course_enrollments
+) -> DataFrame:
+    """Tagged course enrollments of the pulled students; ``sections`` are those tagged before."""
+    if sections is None:
+        sections = tagged_sections(t, rules, domains)
     periods = H.only_students(t.isp, pulled_students(t, rules)).select(
         "isp_id", "student_key", "school_year", "school_bu_id", "withdrawal_reason",
         "begin_date", "end_date",
     )
-    return E.course_enrollments(periods, t.sca, sections)
+    return join(periods, t.sca, sections)
 
 
 def filled_enrollments(
-    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None
+    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None, tagged: DataFrame | None = None
 ) -> DataFrame:
     """Tagged course enrollments of the pulled students with days and filled dates.
 
     ``fills`` holds fill dates worked out before, by domain and scope, for a run
-    over some of the students only.
+    over some of the students only; ``tagged`` the tagged enrollments, where a run has them already.
     """
-    enrollments = E.attach_calendar(tagged_enrollments(t, rules, domains), E.calendar_index(t.calendar))
+    if tagged is None:
+        tagged = tagged_enrollments(t, rules, domains)
+    enrollments = E.attach_calendar(tagged, E.calendar_index(t.calendar))
     wanted = {rules.fill[d] for d in domains}
     open_ended = [d for d in domains if rules.fill[d] != "class_only"]
     if len(wanted) == 1:
@@ -151,13 +156,13 @@ def _fill_mixed(counted: DataFrame, rules: Rules, domains: tuple[str, ...]) -> D
 
 
 def attended_courses(
-    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None
+    t: Inputs, rules: Rules, domains: tuple[str, ...], fills: DataFrame | None = None, tagged: DataFrame | None = None
 ) -> DataFrame:
     """(domain, student, course) attended for at least half, counted students only."""
     students = H.counted_students(t.cohort, rules.mode)
     kept = E.ends_within_assignment(
         E.active_enrollments(
-            H.only_students(filled_enrollments(t, rules, domains, fills), students)
+            H.only_students(filled_enrollments(t, rules, domains, fills, tagged), students)
         )
     )
     credit = not_in_keep_null("course_code", NON_CREDIT_COURSES) | ~F.col("domain").isin(
@@ -241,10 +246,14 @@ def _with_exam_only(courses: DataFrame, t: Inputs, rules: Rules) -> DataFrame:
 
 
 def course_counts(
-    t: Inputs, rules: Rules, domains: tuple[str, ...] = COURSE_DOMAINS, fills: DataFrame | None = None
+    t: Inputs,
+    rules: Rules,
+    domains: tuple[str, ...] = COURSE_DOMAINS,
+    fills: DataFrame | None = None,
+    tagged: DataFrame | None = None,
 ) -> DataFrame:
     """(student_key, epso_type, n_courses) of the course-based domains."""
-    courses = with_evidence(attended_courses(t, rules, domains, fills), t, rules, domains)
+    courses = with_evidence(attended_courses(t, rules, domains, fills, tagged), t, rules, domains)
     if set(domains) - set(NEEDS_NO_EXAM):
         by_exam = ~F.col("domain").isin(*NEEDS_NO_EXAM)
         courses = courses.where(F.col("course_code").isNotNull() | ~by_exam).distinct()
@@ -327,8 +336,10 @@ def ic_counts(t: Inputs, rules: Rules = Rules()) -> DataFrame:
     return C.cert_credit(accepted, legacy_bundle=rules.legacy_bundle)
 
 
-def all_counts(t: Inputs, rules: Rules = Rules(), fills: DataFrame | None = None) -> DataFrame:
+def all_counts(
+    t: Inputs, rules: Rules = Rules(), fills: DataFrame | None = None, tagged: DataFrame | None = None
+) -> DataFrame:
     """Counts of all eight types, stacked."""
     return N.stack(
-        course_counts(t, rules, fills=fills), clep_counts(t, rules), ic_counts(t, rules), sdc_counts(t, rules)
+        course_counts(t, rules, fills=fills, tagged=tagged), clep_counts(t, rules), ic_counts(t, rules), sdc_counts(t, rules)
     )

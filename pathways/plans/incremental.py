@@ -119,7 +119,7 @@ def affected_students(new: Inputs, changes: dict[str, Change]) -> DataFrame:
 
 
 def of_students(t: Inputs, students: DataFrame) -> Inputs:
-    """The tables with the rows of some students only; lookups stay whole."""
+    """The tables with the rows of some students only; lookups and assignments, which name no student, stay whole."""
 
     def mine(df: DataFrame | None, column: str) -> DataFrame | None:
         if df is None:
@@ -128,25 +128,29 @@ def of_students(t: Inputs, students: DataFrame) -> Inputs:
         kept = df.withColumn("_student", key)
         return join_unique(kept, students.select(F.col("student_key").alias("_student")), ["_student"], "left_semi").drop("_student")
 
-    isp = mine(t.isp, "student_key")
-    sca = None if t.sca is None else join_unique(t.sca, isp.select("isp_id").distinct(), ["isp_id"], "left_semi")
     return Inputs(
-        cohort=mine(t.cohort, "student_key"), history=mine(t.history, "student_key"), isp=isp, sca=sca, cs=t.cs,
+        cohort=mine(t.cohort, "student_key"), history=mine(t.history, "student_key"),
+        isp=mine(t.isp, "student_key"), sca=t.sca, cs=t.cs,
         calendar=t.calendar, catalog=t.catalog, crosswalk=t.crosswalk, exams=mine(t.exams, "student_id"),
         sdc=mine(t.sdc, "student_id"), college_reported=mine(t.college_reported, "student_id"),
         certs=mine(t.certs, "student_id"), approved=t.approved, conversion=t.conversion,
     )
 
 
+def enrollments_of(t: Inputs, students: DataFrame, rules: Rules, sections: DataFrame | None = None) -> DataFrame:
+    """Tagged course enrollments of some students."""
+    return tagged_enrollments(of_students(t, students), rules, COURSE_DOMAINS, sections, E.enrollments_of_periods)
+
+
 def filling(rules: Rules) -> tuple[str, ...]:
     """Domains whose missing ends are filled with a date that other students' rows decide."""
     return tuple(d for d in COURSE_DOMAINS if rules.fill[d] in ("global", "by_year_course"))
 
 
-def touched_calendars(t: Inputs, rules: Rules) -> DataFrame:
-    """Enrollments by scope of the fill date, school and school year."""
+def touched_calendars(tagged: DataFrame, rules: Rules) -> DataFrame:
+    """Tagged enrollments by scope of the fill date, school and school year."""
     domains = filling(rules)
-    rows = with_scope(tagged_enrollments(t, rules, domains), rules, domains)
+    rows = with_scope(tagged.where(F.col("domain").isin(*domains)), rules, domains)
     return rows.groupBy(*SCOPE, *CALENDAR).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -164,16 +168,18 @@ def full_state(t: Inputs, rules: Rules = Rules()) -> State:
         scope = "domain string, scope_year int, scope_course int"
         touched = spark.createDataFrame([], f"{scope}, school_bu_id long, isp_school_year int, n long")
         return State(reuse(all_counts(t, rules)), touched, spark.createDataFrame([], f"{scope}, fill_date date"))
-    touched = reuse(touched_calendars(t, rules))
+    # Joined once, for the numbers of enrollments and for the counts.
+    tagged = reuse(tagged_enrollments(t, rules, COURSE_DOMAINS))
+    touched = reuse(touched_calendars(tagged, rules))
     fills = reuse(fill_dates(touched, t.calendar))
-    return State(reuse(all_counts(t, rules, fills)), touched, fills)
+    return State(reuse(all_counts(t, rules, fills, tagged)), touched, fills)
 
 
-def _students_with_open_ends(t: Inputs, rules: Rules, scopes: DataFrame) -> DataFrame:
-    """Students with an assignment without an end in one of the scopes."""
+def _students_with_open_ends(t: Inputs, rules: Rules, scopes: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Students with an assignment without an end in one of the scopes; ``tagged`` are the tagged sections."""
     domains = filling(rules)
     opened = t.sca.where("sca_end_date is null")
-    sections = join_unique(tagged_sections(t, rules, domains), scopes.select("domain").distinct(), ["domain"], "left_semi")
+    sections = join_unique(tagged, scopes.select("domain").distinct(), ["domain"], "left_semi")
     periods = H.only_students(t.isp, pulled_students(t, rules)).select("isp_id", "student_key", "school_year", "school_bu_id")
     rows = with_scope(E.course_enrollments(periods, opened, sections), rules, domains).select("student_key", *SCOPE)
     marked = join_na(rows, scopes.select(*SCOPE).withColumn("changed", F.lit(True)), list(SCOPE))
@@ -197,9 +203,11 @@ def refresh(state: State, old: Inputs, new: Inputs, changes: dict[str, Change],
     """
     students = reuse(affected_students(new, changes))
     touched, fills = state.touched, state.fills
+    sections = reuse(tagged_sections(new, rules, COURSE_DOMAINS))
+    tagged = reuse(enrollments_of(new, students, rules, sections))
     if filling(rules):
-        before = touched_calendars(of_students(old, students), rules)
-        after = touched_calendars(of_students(new, students), rules)
+        before = touched_calendars(enrollments_of(old, students, rules), rules)
+        after = touched_calendars(tagged, rules)
         moved = before.withColumn("n", -F.col("n")).unionByName(after)
         touched = state.touched.unionByName(moved).groupBy(*SCOPE, *CALENDAR).agg(F.sum("n").alias("n")).where("n <> 0")
         touched = reuse(touched)
@@ -209,8 +217,11 @@ def refresh(state: State, old: Inputs, new: Inputs, changes: dict[str, Change],
         scopes = dates.groupBy(*SCOPE, "fill_date").agg(F.sum("_n").alias("_n")).where("_n <> 0").select(*SCOPE).distinct()
         scopes = reuse(scopes)
         if scopes.take(1):
-            further = _students_with_open_ends(new, rules, scopes)
-            students = reuse(students.unionByName(further).distinct())
-    counted = all_counts(of_students(new, students), rules, fills)
+            # Only the students that come in by this are joined; the others' enrollments are there.
+            opened = _students_with_open_ends(new, rules, scopes, sections)
+            further = reuse(join_unique(opened, students, ["student_key"], "left_anti"))
+            tagged = reuse(tagged.unionByName(enrollments_of(new, further, rules, sections)))
+            students = reuse(students.unionByName(further))
+    counted = all_counts(of_students(new, students), rules, fills, tagged)
     kept = join_unique(state.counts, students, ["student_key"], "left_anti")
     return Refreshed(State(reuse(kept.unionByName(counted)), touched, fills), students)
