@@ -12,9 +12,12 @@ three levels.
    document with few cells that any other has can be linked with none and drops out:
    documents that share a shingle or two by chance, as long ones do, end here. A crowded
    cell is split by the second cell that linked documents share.
-   Where a cell has few documents its pairs are counted, and documents that meet in enough
-   of such cells belong to one family.
-2. In larger cells, pivots that are 64 classes of all shingles. A document's counts per class give
+   Each cell has a lead, the first of its documents; who shares enough cells with a lead
+   belongs to its family, and two such documents need no comparison with each other. So a
+   family of near copies costs a row for each document and cell, not for each pair.
+   The other pairs of a cell are counted where they are few, and documents that meet in
+   enough of such cells belong to one family.
+2. In the other cells, pivots that are 64 classes of all shingles. A document's counts per class give
    its distances to them, and by the triangle inequality the distances of linked
    documents differ by little. Documents of a cell within that window of each
    other belong to one family; a cell gives the edges of a spanning forest only.
@@ -48,6 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathways.functions.skew import join_unique
+from pathways.session import release
 
 from .common import Stages, id_and_text, parts_for, ship
 from .components import components
@@ -75,7 +79,8 @@ CELL = 6
 BUCKET = 1 << 20
 ROUNDS = 6
 MAP_BITS = 1 << 23
-# Documents of a cell whose pairs are counted; of larger cells the classes are compared.
+# Documents of a cell whose pairs are counted, or twice those that are not of its lead's family;
+# of other cells the classes are compared.
 LIGHT = 64
 MET_PAIRS = 1 << 19
 
@@ -209,8 +214,8 @@ def cell_numbers(cells: bytes) -> np.ndarray:
     return wide.view(np.uint64).reshape(-1)
 
 
-def shared_cells(reps: DataFrame, parts: int) -> DataFrame:
-    """cell, rep: documents of each cell that has more than one.
+def shared_cells(reps: DataFrame, parts: int, leads: bool = False) -> DataFrame:
+    """cell, rep: documents of each cell that has more than one; with ``leads`` also one of them, lead.
 
     The pairs travel packed: the documents of a batch have neighbouring numbers, so a
     pair takes the bytes of its cell and two more.
@@ -243,6 +248,7 @@ def shared_cells(reps: DataFrame, parts: int) -> DataFrame:
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of the cells met before, in this lot or an earlier one of the bucket."""
         bucket, lot, held = None, [], 0
+        names = ["cell", "rep", "lead"] if leads else ["cell", "rep"]
         seen, first, told = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
 
         def emit() -> Iterator[pa.RecordBatch]:
@@ -250,26 +256,28 @@ def shared_cells(reps: DataFrame, parts: int) -> DataFrame:
             cell = np.concatenate([c for c, _ in lot])
             rep = np.concatenate([r for _, r in lot])
             lot, held = [], 0
-            order = np.argsort(cell, kind="stable")
+            order = np.lexsort((rep, cell))
             cell, rep = cell[order], rep[order]
             edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
-            names, count = cell[edge[:-1]], np.diff(edge)
-            at = np.minimum(np.searchsorted(seen, names), max(len(seen) - 1, 0))
-            old = (seen[at] == names) if len(seen) else np.zeros(len(names), bool)
+            own, count = cell[edge[:-1]], np.diff(edge)
+            at = np.minimum(np.searchsorted(seen, own), max(len(seen) - 1, 0))
+            old = (seen[at] == own) if len(seen) else np.zeros(len(own), bool)
             again = at[old & ~told[at]] if len(seen) else at[:0]
             many = old | (count > 1)
             take = np.repeat(many, count)
+            lead = np.where(old, first[at], rep[edge[:-1]]) if len(seen) else rep[edge[:-1]]
             out_cell, out_rep = np.concatenate((seen[again], cell[take])), np.concatenate((first[again], rep[take]))
+            out_lead = np.concatenate((first[again], np.repeat(lead, count)[take]))
             if len(again):
                 told[again] = True
             fresh = ~old
-            merged = np.concatenate((seen, names[fresh]))
+            merged = np.concatenate((seen, own[fresh]))
             place = np.argsort(merged, kind="stable")
             seen = merged[place]
             first = np.concatenate((first, rep[edge[:-1]][fresh]))[place]
             told = np.concatenate((told, many[fresh]))[place]
             if len(out_cell):
-                yield pa.RecordBatch.from_arrays([pa.array(out_cell.view(np.int64)), pa.array(out_rep)], names=["cell", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(out_cell.view(np.int64)), pa.array(out_rep), pa.array(out_lead)][: len(names)], names=names)
 
         for batch in batches:
             for own, high, cells, low in zip(*(c.to_pylist() for c in batch.columns)):
@@ -285,8 +293,8 @@ def shared_cells(reps: DataFrame, parts: int) -> DataFrame:
         if lot:
             yield from emit()
 
-    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(several, "cell long, rep long")
+    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "high")
+    return dealt.mapInArrow(several, "cell long, rep long" + ", lead long" * leads)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]:
@@ -335,37 +343,123 @@ def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int
     return edges
 
 
-def with_enough(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages) -> DataFrame:
-    """The pairs of documents that have enough shared cells to be linked with any other.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of whole runs of rows with equal values in the first one, of a sorted partition."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last run may go on
+        if held and (last or held[-1][0][-1] != columns[0][0]):
+            ended = last if last else 0
+            yield [np.concatenate(c) for c in zip(*held, [c[:ended] for c in columns])]
+            held = []
+        elif last:
+            yield [c[:last] for c in columns]
+        held.append([c[last:] for c in columns])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _edges_of_runs(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+
 
-    A document linked with another has ``shared_least`` cells in common with it, counted
-    for the smallest set it can be linked with. Those with fewer go, and with them the cells
-    that one document is left in; a second round finds those that this leaves too few.
+HELD = "cell long, rep long, need long, lead long, joined long"
+
+
+def with_enough(pairs: DataFrame, bit: int) -> DataFrame:
+    """The rows of HELD of the documents that have enough shared cells to be linked with any other.
+
+    A document linked with another has ``need`` cells in common with it. Those with fewer
+    go. ``bit`` is set in ``joined`` where the document has as many cells in common with the
+    lead of the cell, or is it: all such documents of a cell are of one family. A row with a
+    negative lead tells a document's need only.
+    """
+    names = [c.split()[0] for c in HELD.split(", ")]
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rep, cell, need, lead, joined in _runs(batches):
+            edge = _edges_of_runs(rep)
+            least = np.repeat(np.maximum.reduceat(need, edge[:-1]), np.diff(edge))
+            in_cell = lead >= 0
+            held = np.repeat(np.add.reduceat(in_cell.astype(np.int64), edge[:-1]), np.diff(edge))
+            keep = np.flatnonzero(in_cell & (held >= least) & (least > 0))
+            if not len(keep):
+                continue
+            keep = keep[np.lexsort((lead[keep], rep[keep]))]
+            rep, cell, need, lead, joined = rep[keep], cell[keep], least[keep], lead[keep], joined[keep]
+            runs = np.flatnonzero(np.concatenate(([True], (rep[1:] != rep[:-1]) | (lead[1:] != lead[:-1]), [True])))
+            together = np.repeat(np.diff(runs), np.diff(runs))
+            joined = joined | np.where((together >= need) | (rep == lead), bit, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cell, rep, need, lead, joined)], names=names)
+
+    rows = pairs.select("rep", "cell", "need", "lead", "joined")
+    return rows.repartition("rep").sortWithinPartitions("rep").mapInArrow(enough, HELD)
+
+
+def still_open(held: DataFrame) -> DataFrame:
+    """The rows of the cells that have documents of more than their lead's family; the lead is the first of the others."""
+    names = [c.split()[0] for c in HELD.split(", ")]
+
+    def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, rep, need, joined in _runs(batches):
+            edge = _edges_of_runs(cell)
+            size = np.diff(edge)
+            lead = np.minimum.reduceat(np.where(joined > 0, np.iinfo(np.int64).max, rep), edge[:-1])
+            take = np.repeat((size > 1) & (lead < np.iinfo(np.int64).max), size)
+            lead = np.repeat(lead, size)
+            if take.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[take]) for c in (cell, rep, need, lead, joined)], names=names)
+
+    rows = held.select("cell", "rep", "need", "joined")
+    return rows.repartition("cell").sortWithinPartitions("cell", "rep").mapInArrow(unlike, HELD)
+
+
+def candidates(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Rows of HELD that are to be compared yet, and a, b: documents that share enough cells with the lead of a cell.
+
+    The need of a document is ``shared_least``, counted for the smallest set it can be linked with.
     """
     ceiling = lambda n: F.floor((percent * n + 99) / 100)
     smallest = ceiling(F.col("n"))
     need = F.least(1 + F.greatest(F.lit(1), F.floor(smallest / SPARE)), ceiling(smallest))
-    sizes = reps.select("rep", need.alias("need"))
-    for round_ in range(2):
-        held = pairs.groupBy("rep").agg(F.count(F.lit(1)).alias("held")).join(sizes, "rep").where("held >= need").select("rep", "need")
-        kept = stages(join_unique(pairs.select("cell", "rep"), held, ["rep"], "inner"), f"kept-{round_}")
-        several = kept.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell")
-        pairs = stages(join_unique(kept, several, ["cell"], "left_semi"), f"cells-{round_}")
-        stages.drop(f"kept-{round_}", "cells" if not round_ else f"cells-{round_ - 1}")
-    return pairs
+    none = F.lit(0).cast("long")
+    sizes = reps.select(none.alias("cell"), "rep", F.lit(-1).cast("long").alias("lead"), need.cast("long").alias("need"), none.alias("joined"))
+    rows = pairs.select("cell", "rep", "lead", none.alias("need"), none.alias("joined")).unionByName(sizes)
+    joins = lambda held, bit: held.where(f"joined & {bit} > 0 and rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    held = stages(with_enough(rows, 1), "held")
+    stages.drop("cells")
+    edges = stages(joins(held, 1), "lead-edges")
+    rows = stages(still_open(held), "open-cells")
+    stages.drop("held")
+    release(reps.sparkSession)
+    # A second time for what is left, with other leads.
+    rows = stages(with_enough(rows, 2), "held-again")
+    stages.drop("open-cells")
+    return rows, edges.unionByName(joins(rows, 2))
 
 
 def met_often(pairs: DataFrame) -> DataFrame:
-    """a, b: documents that share enough cells of at most LIGHT documents.
+    """a, b: documents that share enough cells in which the documents to be compared are few.
 
-    Every two documents of such a cell are counted once; the counts of a pair are added up.
+    Every two documents of such a cell that are not both of its lead's family are counted
+    once; the counts of a pair are added up.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "k", "need"]
 
-        def counted(cell: np.ndarray, rep: np.ndarray, need: np.ndarray) -> Iterator[pa.RecordBatch]:
-            edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
+        def added(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> pa.RecordBatch:
+            order = np.lexsort((b, a))
+            a, b, least = a[order], b[order], least[order]
+            first = np.flatnonzero(np.concatenate((np.ones(min(len(a), 1), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+            k = np.diff(np.append(first, len(a)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (a[first], b[first], k, least[first])], names=names)
+
+        for cell, rep, need, joined in _runs(batches):
+            edge = _edges_of_runs(cell)
             begins, sizes = edge[:-1], np.diff(edge)
             for d in np.unique(sizes[(sizes > 1) & (sizes <= LIGHT)]).tolist():
                 i, j = np.triu_indices(d, 1)
@@ -373,32 +467,28 @@ def met_often(pairs: DataFrame) -> DataFrame:
                 step = max(1, MET_PAIRS // len(i))
                 for at in range(0, len(every), step):
                     place = every[at : at + step, None] + np.arange(d)
-                    r, m = rep[place], need[place]
-                    a, b, least = r[:, i].ravel(), r[:, j].ravel(), np.minimum(m[:, i], m[:, j]).ravel()
-                    order = np.lexsort((b, a))
-                    a, b, least = a[order], b[order], least[order]
-                    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-                    k = np.diff(np.append(first, len(a)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[first], b[first], k, least[first])], names=names)
-
-        held = [np.empty(0, np.int64)] * 3
-        for batch in batches:
-            held = [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
-            if len(held[0]):
-                last = int(np.searchsorted(held[0], held[0][-1]))  # the last cell may go on
-                if last:
-                    yield from counted(*[h[:last] for h in held])
-                held = [h[last:] for h in held]
-        if len(held[0]):
-            yield from counted(*held)
-
-    dealt = pairs.select("cell", "rep", "need").repartition("cell").sortWithinPartitions("cell", "rep")
+                    r, m, f = rep[place], need[place], joined[place]
+                    apart = ((f[:, i] & f[:, j]) == 0).ravel()
+                    if apart.any():
+                        yield added(r[:, i].ravel()[apart], r[:, j].ravel()[apart], np.maximum(m[:, i], m[:, j]).ravel()[apart])
+            for begin, d in zip(begins[sizes > LIGHT].tolist(), sizes[sizes > LIGHT].tolist()):
+                r, m, f = (c[begin : begin + d] for c in (rep, need, joined))
+                of_lead = max(((f & bit) > 0 for bit in (1, 2)), key=np.count_nonzero)
+                others = np.flatnonzero(~of_lead)
+                if len(others) > LIGHT // 2:
+                    continue
+                for x in others.tolist():
+                    with_ = np.flatnonzero(((f & f[x]) == 0) & (of_lead | (np.arange(d) > x)))
+                    yield added(np.minimum(r[x], r[with_]), np.maximum(r[x], r[with_]), np.maximum(m[x], m[with_]))
+
+    dealt = pairs.select("cell", "rep", "need", "joined").repartition("cell").sortWithinPartitions("cell", "rep")
     met = dealt.mapInArrow(meet, "a long, b long, k long, need long")
-    return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("need").alias("need")).where("k >= need").select("a", "b")
+    return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("need").alias("need")).where("k >= need").select("a", "b")
 
 
 def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, stages: Stages) -> DataFrame:
     """a, b: documents that share a cell and may be linked; families are the components."""
+    pairs, of_leads = candidates(pairs, reps, percent, stages)
 
     def crowded(rows: DataFrame) -> DataFrame:
         return rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("least"), F.min("need").alias("need")).where(F.col("members") > most)
@@ -422,29 +512,26 @@ def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, sta
         dealt = rows.select("cell", "rep", "n", "counts").repartition("cell").sortWithinPartitions("cell", "rep")
         return dealt.mapInArrow(edges, "a long, b long")
 
-    # Linked documents have enough cells in common; those that are all of few documents are counted.
-    often = met_often(pairs)
-    many = pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIGHT).select("cell")
+    # Linked documents have enough cells in common; those that have all few documents to compare are counted.
+    often = stages(met_often(pairs).unionByName(of_leads), "met-edges")
+    n, of_lead = F.count(F.lit(1)), [F.sum((F.col("joined").bitwiseAND(bit) > 0).cast("long")) for bit in (1, 2)]
+    many = pairs.groupBy("cell").agg(n.alias("n"), F.greatest(*of_lead).alias("of_lead"))
+    many = many.where((F.col("n") > LIGHT) & (F.col("n") - F.col("of_lead") > LIGHT // 2)).select("cell")
+    release(reps.sparkSession)
+    left = pairs
     pairs = stages(join_unique(pairs, stages(many, "many"), ["cell"], "left_semi"), "heavy-cells")
     hot = stages(crowded(pairs), "crowded")
     if not hot.take(1):
         return of_cells(pairs).unionByName(often).distinct()
     usual = of_cells(join_unique(pairs, hot.select("cell"), ["cell"], "left_anti"))
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cell, rep, cells in zip(*(c.to_pylist() for c in batch.columns)):
-                other = cell_numbers(cells)
-                own = np.int64(cell).view(np.uint64)
-                other = other[other != own]
-                finer = mix(other + mix(np.array([own]))[0])
-                yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64)), pa.array(np.full(len(other), rep))], names=["cell", "rep"])
-
     rows = join_unique(pairs, hot.select("cell", "least", F.col("need").alias("least_need")), ["cell"], "inner")
     # A set so small that one cell may be all it shares: its cell is one family.
     alone = rows.where("least_need < 2 and rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    rows = join_unique(rows.where("least_need > 1").select("cell", "rep"), reps.select("rep", "cells"), ["rep"], "inner").select("cell", "rep", "cells")
-    finer = stages(rows.mapInArrow(split, "cell long, rep long"), "split-cells")
+    # Linked documents share a second one of the cells that are left; two crowded ones split each other once.
+    others = left.select("cell", "rep").join(hot.select("cell", F.lit(True).alias("hot")), "cell", "left").select("rep", F.col("cell").alias("other"), "hot")
+    rows = rows.where("least_need > 1").select("cell", "rep").join(others, "rep").where("hot is null and other <> cell or other > cell")
+    finer = stages(rows.select(F.xxhash64("cell", "other").alias("cell"), "rep"), "split-cells")
     still = stages(crowded(finer.withColumn("need", F.lit(2))), "still-crowded")
     several = finer.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where(F.col("members").between(2, most)).select("cell")
     split_up = of_cells(join_unique(finer, several, ["cell"], "inner"))
@@ -822,14 +909,16 @@ def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes
     rows = stages(rows.withColumn("rep", rep), "rows")
     reps = rows.where("cells is not null").select("rep", "n", "cells", "counts")
     pairs = reps.agg(F.sum(F.octet_length("cells") / CELL)).first()[0] or 0
-    pairs = stages(shared_cells(reps, parts_for(spark, int(pairs), BUCKET)), "cells")
-    pairs = with_enough(pairs, reps, percent, stages)
+    pairs = stages(shared_cells(reps, parts_for(spark, int(pairs), BUCKET), leads=True), "cells")
+    release(spark)
     families = components(stages(family_edges(reps, pairs, most, percent, stages), "family-edges"))
     families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
-    stages.drop("cells-1", "many", "heavy-cells", "crowded", "split-cells", "still-crowded", "family-edges")
+    stages.drop("lead-edges", "held-again", "met-edges", "many", "heavy-cells", "crowded", "split-cells", "still-crowded", "family-edges")
+    release(spark)
     dealt = family_rows(base, rows, families, most, most_bytes, stages)
     joined = stages(joined_families(dealt, words, percent), "joined")
     stages.drop("members", "family-sizes", "placed")
+    release(spark)
     edges = joined.where("b is not null").select("a", "b")
     large = joined.where("b is null").select("region", F.col("a").alias("rep"), "n", "diff")
     if large.take(1):

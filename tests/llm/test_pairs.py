@@ -176,6 +176,32 @@ def test_families_larger_than_a_task_are_cut_and_joined_exactly(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == want
 
 
+def test_a_crowded_family_takes_a_row_for_each_document_and_cell(spark, monkeypatch):
+    """A cell with more than ``most`` near copies is not multiplied by the other cells, nor its pairs listed."""
+    rng = np.random.default_rng(4)
+    docs = []
+    for i in range(90):
+        w = [f"w{k}" for k in range(400)]
+        for k in rng.choice(400, 3, replace=False):
+            w[k] = f"d{i}x{k}"
+        docs.append((i, " ".join(w)))
+    docs += [(200 + i, " ".join(f"w{k}" if k < 150 else f"o{i}x{k}" for k in range(400))) for i in range(3)]
+    rows = {}
+    write = ngram_join.Stages.__call__
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join.Stages, "__call__", counted)
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], SCHEMA)
+    found = ngram_join.jaccard_components(df, most=70)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == jaccard_components(docs, 3, 90)
+    cells = sum(ngram_join.prefix_length(n, 90) for n, _ in jaccard_components(docs, 3, 90).values())
+    assert len(docs) < max(rows.values()) <= cells
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=12, unique=True), min_size=2, max_size=12))
 def test_differences_to_a_pivot_keep_distances(lists):
