@@ -366,16 +366,17 @@ def _edges_of_runs(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
 
 
-HELD = "cell long, rep long, need long, lead long, joined long"
+HELD = "cell long, rep long, need long, lead long, joined long, together long"
+OPEN = "cell long, rep long, need long, lead long, joined long"
 
 
-def with_enough(pairs: DataFrame, bit: int) -> DataFrame:
+def with_enough(pairs: DataFrame) -> DataFrame:
     """The rows of HELD of the documents that have enough shared cells to be linked with any other.
 
     A document linked with another has ``need`` cells in common with it. Those with fewer
-    go. ``bit`` is set in ``joined`` where the document has as many cells in common with the
-    lead of the cell, or is it: all such documents of a cell are of one family. A row with a
-    negative lead tells a document's need only.
+    go. ``together`` is the number of cells that the document has in common with the lead of
+    the cell, as their lead; -1 for the lead itself. A row with a negative lead tells a
+    document's need only.
     """
     names = [c.split()[0] for c in HELD.split(", ")]
 
@@ -391,34 +392,41 @@ def with_enough(pairs: DataFrame, bit: int) -> DataFrame:
             keep = keep[np.lexsort((lead[keep], rep[keep]))]
             rep, cell, need, lead, joined = rep[keep], cell[keep], least[keep], lead[keep], joined[keep]
             runs = np.flatnonzero(np.concatenate(([True], (rep[1:] != rep[:-1]) | (lead[1:] != lead[:-1]), [True])))
-            together = np.repeat(np.diff(runs), np.diff(runs))
-            joined = joined | np.where((together >= need) | (rep == lead), bit, 0)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cell, rep, need, lead, joined)], names=names)
+            together = np.where(rep == lead, -1, np.repeat(np.diff(runs), np.diff(runs)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cell, rep, need, lead, joined, together)], names=names)
 
     rows = pairs.select("rep", "cell", "need", "lead", "joined")
     return rows.repartition("rep").sortWithinPartitions("rep").mapInArrow(enough, HELD)
 
 
-def still_open(held: DataFrame) -> DataFrame:
-    """The rows of the cells that have documents of more than their lead's family; the lead is the first of the others."""
-    names = [c.split()[0] for c in HELD.split(", ")]
+def still_open(held: DataFrame, bit: int) -> DataFrame:
+    """The rows of the cells that have documents of more than their lead's family; the lead is the first of the others.
+
+    ``bit`` is set in ``joined`` where a document has enough cells in common with the lead, or is
+    it: two documents of a cell with the same bit are of one family.
+    """
+    names = [c.split()[0] for c in OPEN.split(", ")]
 
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, rep, need, joined in _runs(batches):
+        for cell, rep, need, joined, together in _runs(batches):
             edge = _edges_of_runs(cell)
             size = np.diff(edge)
-            lead = np.minimum.reduceat(np.where(joined > 0, np.iinfo(np.int64).max, rep), edge[:-1])
-            take = np.repeat((size > 1) & (lead < np.iinfo(np.int64).max), size)
-            lead = np.repeat(lead, size)
+            # Without its lead no document of a cell is joined.
+            of_lead = np.repeat(np.maximum.reduceat(np.where(together < 0, need, 0), edge[:-1]), size)
+            own = (of_lead > 0) & ((together < 0) | (together >= np.maximum(need, of_lead)))
+            joined = joined | np.where(own, bit, 0)
+            one = np.bitwise_and.reduceat(joined, edge[:-1]) > 0
+            lead = np.repeat(np.minimum.reduceat(np.where(own, np.iinfo(np.int64).max, rep), edge[:-1]), size)
+            take = np.repeat((size > 1) & ~one, size)
             if take.any():
                 yield pa.RecordBatch.from_arrays([pa.array(c[take]) for c in (cell, rep, need, lead, joined)], names=names)
 
-    rows = held.select("cell", "rep", "need", "joined")
-    return rows.repartition("cell").sortWithinPartitions("cell", "rep").mapInArrow(unlike, HELD)
+    rows = held.select("cell", "rep", "need", "joined", "together")
+    return rows.repartition("cell").sortWithinPartitions("cell", "rep").mapInArrow(unlike, OPEN)
 
 
 def candidates(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages) -> tuple[DataFrame, DataFrame]:
-    """Rows of HELD that are to be compared yet, and a, b: documents that share enough cells with the lead of a cell.
+    """Rows of OPEN that are to be compared yet, and a, b: documents that share enough cells with the lead of a cell.
 
     The need of a document is ``shared_least``, counted for the smallest set it can be linked with.
     """
@@ -426,19 +434,20 @@ def candidates(pairs: DataFrame, reps: DataFrame, percent: int, stages: Stages)
     smallest = ceiling(F.col("n"))
     need = F.least(1 + F.greatest(F.lit(1), F.floor(smallest / SPARE)), ceiling(smallest))
     none = F.lit(0).cast("long")
-    sizes = reps.select(none.alias("cell"), "rep", F.lit(-1).cast("long").alias("lead"), need.cast("long").alias("need"), none.alias("joined"))
-    rows = pairs.select("cell", "rep", "lead", none.alias("need"), none.alias("joined")).unionByName(sizes)
-    joins = lambda held, bit: held.where(f"joined & {bit} > 0 and rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
-    held = stages(with_enough(rows, 1), "held")
-    stages.drop("cells")
-    edges = stages(joins(held, 1), "lead-edges")
-    rows = stages(still_open(held), "open-cells")
-    stages.drop("held")
-    release(reps.sparkSession)
-    # A second time for what is left, with other leads.
-    rows = stages(with_enough(rows, 2), "held-again")
-    stages.drop("open-cells")
-    return rows, edges.unionByName(joins(rows, 2))
+    sizes = reps.select("rep", need.cast("long").alias("need"))
+    rows = pairs.select("cell", "rep", "lead", none.alias("need"), none.alias("joined"))
+    rows = rows.unionByName(sizes.select(none.alias("cell"), "rep", F.lit(-1).cast("long").alias("lead"), "need", none.alias("joined")))
+    of_leads = []
+    for bit in (1, 2):  # a second time for what is left, with other leads
+        held = stages(with_enough(rows), f"held-{bit}")
+        stages.drop("cells", "open-1")
+        found = held.where("together >= need").select("rep", F.col("lead").alias("a"), "together").distinct()
+        found = join_unique(found, sizes.withColumnRenamed("rep", "a"), ["a"], "inner").where("together >= need")
+        of_leads.append(stages(found.select("a", F.col("rep").alias("b")), f"lead-edges-{bit}"))
+        rows = stages(still_open(held, bit), f"open-{bit}")
+        stages.drop(f"held-{bit}")
+        release(reps.sparkSession)
+    return rows, of_leads[0].unionByName(of_leads[1])
 
 
 def met_often(pairs: DataFrame) -> DataFrame:
@@ -913,7 +922,7 @@ def _components(docs: DataFrame, words: int, percent: int, most: int, most_bytes
     release(spark)
     families = components(stages(family_edges(reps, pairs, most, percent, stages), "family-edges"))
     families = families.select(F.col("node").alias("rep"), F.col("component").alias("region"))
-    stages.drop("lead-edges", "held-again", "met-edges", "many", "heavy-cells", "crowded", "split-cells", "still-crowded", "family-edges")
+    stages.drop("lead-edges-1", "lead-edges-2", "open-2", "met-edges", "many", "heavy-cells", "crowded", "split-cells", "still-crowded", "family-edges")
     release(spark)
     dealt = family_rows(base, rows, families, most, most_bytes, stages)
     joined = stages(joined_families(dealt, words, percent), "joined")

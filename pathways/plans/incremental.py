@@ -118,8 +118,11 @@ def affected_students(new: Inputs, changes: dict[str, Change]) -> DataFrame:
     return reduce(DataFrame.unionByName, found).where("student_key is not null").distinct()
 
 
-def of_students(t: Inputs, students: DataFrame) -> Inputs:
-    """The tables with the rows of some students only; lookups and assignments, which name no student, stay whole."""
+def of_students(t: Inputs, students: DataFrame, assignments: bool = True) -> Inputs:
+    """The tables with the rows of some students only; lookups, which name no student, stay whole.
+
+    So do the assignments without ``assignments``: for those who join them with the periods anyway.
+    """
 
     def mine(df: DataFrame | None, column: str) -> DataFrame | None:
         if df is None:
@@ -128,9 +131,12 @@ def of_students(t: Inputs, students: DataFrame) -> Inputs:
         kept = df.withColumn("_student", key)
         return join_unique(kept, students.select(F.col("student_key").alias("_student")), ["_student"], "left_semi").drop("_student")
 
+    isp, sca = mine(t.isp, "student_key"), t.sca
+    if assignments and sca is not None:
+        sca = join_unique(sca, isp.select("isp_id").distinct(), ["isp_id"], "left_semi")
     return Inputs(
         cohort=mine(t.cohort, "student_key"), history=mine(t.history, "student_key"),
-        isp=mine(t.isp, "student_key"), sca=t.sca, cs=t.cs,
+        isp=isp, sca=sca, cs=t.cs,
         calendar=t.calendar, catalog=t.catalog, crosswalk=t.crosswalk, exams=mine(t.exams, "student_id"),
         sdc=mine(t.sdc, "student_id"), college_reported=mine(t.college_reported, "student_id"),
         certs=mine(t.certs, "student_id"), approved=t.approved, conversion=t.conversion,
@@ -139,7 +145,7 @@ def of_students(t: Inputs, students: DataFrame) -> Inputs:
 
 def enrollments_of(t: Inputs, students: DataFrame, rules: Rules, sections: DataFrame | None = None) -> DataFrame:
     """Tagged course enrollments of some students."""
-    return tagged_enrollments(of_students(t, students), rules, COURSE_DOMAINS, sections, E.enrollments_of_periods)
+    return tagged_enrollments(of_students(t, students, assignments=False), rules, COURSE_DOMAINS, sections, E.enrollments_of_periods)
 
 
 def filling(rules: Rules) -> tuple[str, ...]:
@@ -222,6 +228,6 @@ def refresh(state: State, old: Inputs, new: Inputs, changes: dict[str, Change],
             further = reuse(join_unique(opened, students, ["student_key"], "left_anti"))
             tagged = reuse(tagged.unionByName(enrollments_of(new, further, rules, sections)))
             students = reuse(students.unionByName(further))
-    counted = all_counts(of_students(new, students), rules, fills, tagged)
+    counted = all_counts(of_students(new, students, assignments=False), rules, fills, tagged)
     kept = join_unique(state.counts, students, ["student_key"], "left_anti")
     return Refreshed(State(reuse(kept.unionByName(counted)), touched, fills), students)

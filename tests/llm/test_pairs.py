@@ -202,6 +202,25 @@ def test_a_crowded_family_takes_a_row_for_each_document_and_cell(spark, monkeypa
     assert len(docs) < max(rows.values()) <= cells
 
 
+def test_a_long_lead_gathers_no_short_documents(spark, monkeypatch):
+    """Short documents that are stretches of a long one are of no family: it needs more cells than they have."""
+    long = [f"w{k}" for k in range(3_000)]
+    docs = [(0, " ".join(long))] + [(1 + i, " ".join(long[i * 150 : i * 150 + 100])) for i in range(20)]
+    rows = {}
+    write = ngram_join.Stages.__call__
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join.Stages, "__call__", counted)
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], SCHEMA)
+    found = ngram_join.jaccard_components(df)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == jaccard_components(docs, 3, 90)
+    assert rows["family-edges"] == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=12, unique=True), min_size=2, max_size=12))
 def test_differences_to_a_pivot_keep_distances(lists):
