@@ -60,6 +60,9 @@ from .hashing import mix, shingle_sets, slices
 WORDS = 3
 PERCENT = 90
 CLASSES = 64
+# Sets of so many shingles have their classes cut in sixteen: chance hides less of a distance.
+LONG = 2_000
+FINE = 16 * CLASSES
 # Shingles that go last in the order: bounds what is sent to all tasks.
 WIDESPREAD = 1 << 17
 MOST = 8_000
@@ -97,7 +100,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 def class_counts(shingles: np.ndarray) -> bytes:
     """Counts per class modulo 256: around the circle they are never farther apart than the counts."""
-    counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=CLASSES)
+    n = FINE if len(shingles) >= LONG else CLASSES
+    counts = np.bincount((shingles >> np.uint64(65 - n.bit_length())).astype(np.int64), minlength=n)
     return counts.astype(np.uint8).tobytes()
 
 
@@ -320,10 +324,22 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]
         yield pa.Table.from_batches(held)
 
 
-def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def forest(reps: np.ndarray, sizes: np.ndarray, counts: list[bytes], percent: int) -> list[tuple[int, int]]:
     """Spanning forest of the documents whose sizes and class counts allow a link."""
     edges = []
     left = np.arange(len(reps))
+    long = np.array([len(c) > CLASSES for c in counts], bool)
+    fine_at = np.cumsum(long) - 1
+    fine = np.frombuffer(b"".join(c for c in counts if len(c) > CLASSES), np.uint8).reshape(-1, FINE)
+    coarse = np.empty((len(reps), CLASSES), np.int16)
+    coarse[long] = fine.reshape(-1, CLASSES, FINE // CLASSES).sum(2) & 0xFF
+    coarse[~long] = np.frombuffer(b"".join(c for c in counts if len(c) == CLASSES), np.uint8).reshape(-1, CLASSES)
+
+    def near_enough(counts: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """The symmetric difference of linked sets is a small part of their sizes."""
+        apart = (counts.astype(np.int16) - own) & 0xFF
+        return (100 + percent) * np.minimum(apart, 256 - apart).sum(1) <= (100 - percent) * total
+
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
@@ -332,10 +348,11 @@ def forest(reps: np.ndarray, sizes: np.ndarray, counts: np.ndarray, percent: int
             near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
             at = np.flatnonzero(near)
             if len(at):
-                apart = (counts[left[at]] - counts[p]) & 0xFF
-                apart = np.minimum(apart, 256 - apart).sum(1)
-                # The symmetric difference of linked sets is a small part of their sizes.
-                at = at[(100 + percent) * apart <= (100 - percent) * (n + m[at])]
+                at = at[near_enough(coarse[left[at]], coarse[p], n + m[at])]
+            if len(at) and long[p]:
+                both = np.flatnonzero(long[left[at]])
+                far = ~near_enough(fine[fine_at[left[at[both]]]], fine[fine_at[p]].astype(np.int16), n + m[at[both]])
+                at = np.delete(at, both[far])
             if len(at):
                 edges += [(int(reps[p]), int(reps[q])) for q in left[at]]
                 queue += left[at].tolist()
@@ -508,8 +525,7 @@ def family_edges(reps: DataFrame, pairs: DataFrame, most: int, percent: int, sta
             if g.num_rows < 2:
                 continue
             ids = g.column(1).to_numpy()
-            counts = np.frombuffer(b"".join(g.column(3).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
-            new = [e for e in forest(ids, g.column(2).to_numpy(), counts, percent) if e not in seen]
+            new = [e for e in forest(ids, g.column(2).to_numpy(), g.column(3).to_pylist(), percent) if e not in seen]
             if len(seen) < 1_000_000:
                 seen.update(new)
             if new:

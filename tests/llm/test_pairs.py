@@ -221,6 +221,18 @@ def test_a_long_lead_gathers_no_short_documents(spark, monkeypatch):
     assert rows["family-edges"] == 0
 
 
+def test_unlike_long_sets_are_told_apart_by_finer_classes():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)) for n in (12_000, 12_000, 12_010, 2_005)]
+    near = sets[0].copy()
+    near[:300] = rng.integers(0, 2**63, 300)
+    sets += [np.unique(near), sets[3][:1_990], sets[3][3:]]
+    counts = [ngram_join.class_counts(s) for s in sets]
+    assert [len(c) for c in counts] == [1024] * 5 + [64, 1024]
+    found = ngram_join.forest(np.arange(7), np.array([len(s) for s in sets]), counts, 90)
+    assert sorted(map(sorted, found)) == [[0, 4], [3, 5], [3, 6]]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=12, unique=True), min_size=2, max_size=12))
 def test_differences_to_a_pivot_keep_distances(lists):
