@@ -17,7 +17,7 @@ three levels.
    family of near copies costs a row for each document and cell, not for each pair.
    The other pairs of a cell are counted where they are few, and documents that meet in
    enough of such cells belong to one family.
-2. In the other cells, pivots that are 64 classes of all shingles. A document's counts per class give
+2. In the other cells, pivots that are 64 classes of all shingles, or 1024 for long sets. A document's counts per class give
    its distances to them, and by the triangle inequality the distances of linked
    documents differ by little. Documents of a cell within that window of each
    other belong to one family; a cell gives the edges of a spanning forest only.
